@@ -127,24 +127,23 @@ def _bucket(step: str) -> Column:
     return F.col("d") if unit is None else F.trunc("d", unit)
 
 
-def forecast(history: DataFrame, weeks: float, level: float = DEFAULT_LEVEL) -> DataFrame:
-    """(series, granularity, unit, period, ds, yhat, yhat_lower, yhat_upper, ci_range).
-
-    Daily values are averaged per reporting period; the first period may be a
-    partial week because histories end at a month start. Values never fall below
-    zero and the upper bound never below the estimate.
-    """
-    horizon = Horizon(weeks)
+def _projected(history: DataFrame, horizon: Horizon, level: float) -> DataFrame:
+    """Reporting periods of every series with unrounded values and the series' history end."""
     z = NormalDist().inv_cdf(0.5 + level / 2)
     fits = fit_trend(history, horizon.divisor)
     off = F.unix_date("d").cast("double") - F.col("mean_x")
     yhat = F.col("mean_y") + F.col("slope") * off
     spread = F.lit(z) * F.col("sigma") * F.sqrt(1 + 1 / F.col("points") + off * off / F.col("sxx"))
     by_time = Window.partitionBy("series").orderBy("bucket")
-    buckets = (
+    zero = F.lit(0.0)
+    shown = {"monthly": "yyyy-MM", "annual": "yyyy"}.get(horizon.granularity, "yyyy-MM-dd")
+    return (
         future_days(fits, horizon)
-        .select("series", "d", _bucket(horizon.granularity).alias("bucket"), yhat.alias("yhat"), spread.alias("spread"))
-        .groupBy("series", "bucket")
+        .select(
+            "series", "points", "last_y", "d", _bucket(horizon.granularity).alias("bucket"),
+            yhat.alias("yhat"), spread.alias("spread"),
+        )
+        .groupBy("series", "points", "last_y", "bucket")
         .agg(
             F.min("d").alias("ds"),
             F.avg("yhat").alias("yhat"),
@@ -153,18 +152,29 @@ def forecast(history: DataFrame, weeks: float, level: float = DEFAULT_LEVEL) ->
         )
         .withColumn("period", F.row_number().over(by_time))
         .filter(F.col("period") <= horizon.periods)
+        .select(
+            "series", "points", "last_y", "period",
+            F.date_format("ds", shown).alias("ds"),
+            F.greatest("yhat", zero).alias("yhat"),
+            F.greatest("lower", zero).alias("lower"),
+            F.greatest(F.col("upper"), F.col("yhat"), zero).alias("upper"),
+        )
     )
-    zero = F.lit(0.0)
-    shown = {"monthly": "yyyy-MM", "annual": "yyyy"}.get(horizon.granularity, "yyyy-MM-dd")
-    clipped = buckets.select(
-        "series",
-        "period",
-        F.date_format("ds", shown).alias("ds"),
-        F.greatest("yhat", zero).alias("yhat"),
-        F.greatest("lower", zero).alias("lower"),
-        F.greatest(F.col("upper"), F.col("yhat"), zero).alias("upper"),
-    )
-    return clipped.select(
+
+
+def _interval_text() -> Column:
+    return F.concat(F.lit("+/- "), fixed_text((F.col("upper") - F.col("lower")) / 2, 2))
+
+
+def forecast(history: DataFrame, weeks: float, level: float = DEFAULT_LEVEL) -> DataFrame:
+    """(series, granularity, unit, period, ds, yhat, yhat_lower, yhat_upper, ci_range).
+
+    Daily values are averaged per reporting period; the first period may be a
+    partial week because histories end at a month start. Values never fall below
+    zero and the upper bound never below the estimate.
+    """
+    horizon = Horizon(weeks)
+    return _projected(history, horizon, level).select(
         "series",
         F.lit(horizon.granularity).alias("granularity"),
         F.lit(UNITS[horizon.granularity]).alias("unit"),
@@ -173,7 +183,7 @@ def forecast(history: DataFrame, weeks: float, level: float = DEFAULT_LEVEL) ->
         round_half_up(F.col("yhat"), 2).alias("yhat"),
         round_half_up(F.col("lower"), 2).alias("yhat_lower"),
         round_half_up(F.col("upper"), 2).alias("yhat_upper"),
-        F.concat(F.lit("+/- "), fixed_text((F.col("upper") - F.col("lower")) / 2, 2)).alias("ci_range"),
+        _interval_text().alias("ci_range"),
     )
 
 
@@ -192,60 +202,52 @@ def calendar(history: DataFrame, weeks: float) -> DataFrame:
     )
 
 
-def direction(history: DataFrame, weeks: float, level: float = DEFAULT_LEVEL, band_pct: float = 5.0) -> DataFrame:
-    """up / down / flat per series: last forecast against last history value."""
-    horizon = Horizon(weeks)
-    last = history.groupBy("series").agg(
-        F.count(F.lit(1)).alias("points"), (F.max_by("y", "ds") / F.lit(horizon.divisor)).alias("last_y")
-    )
-    ends = forecast(history, weeks, level).groupBy("series").agg(
-        F.count(F.lit(1)).alias("forecast_periods"), F.max_by("yhat", "period").alias("last_yhat")
-    )
+def _ends(history: DataFrame, horizon: Horizon, level: float, band_pct: float, *extra: Column) -> DataFrame:
+    """Per series: change from the last history value to the last forecast value."""
     change = F.when(
         (F.col("forecast_periods") >= 3) & (F.col("points") >= 3),
         (F.col("last_yhat") - F.col("last_y")) / F.nullif(F.col("last_y"), F.lit(0.0)) * 100,
     )
     return (
-        last.join(ends, "series")
+        _projected(history, horizon, level)
+        .groupBy("series", "points", "last_y")
+        .agg(
+            F.count(F.lit(1)).alias("forecast_periods"),
+            F.max_by(round_half_up(F.col("yhat"), 2), "period").alias("last_yhat"),
+            *extra,
+        )
         .withColumn("change", F.coalesce(change, F.lit(0.0)))
-        .select(
-            "series",
-            "points",
-            "forecast_periods",
-            round_half_up(F.col("change"), 1).alias("change_pct"),
-            F.when(F.col("change") > band_pct, "up").when(F.col("change") < -band_pct, "down")
-            .otherwise("flat").alias("trend_direction"),
+        .withColumn(
+            "trend_direction",
+            F.when(F.col("change") > band_pct, "up").when(F.col("change") < -band_pct, "down").otherwise("flat"),
         )
     )
 
 
+def direction(history: DataFrame, weeks: float, level: float = DEFAULT_LEVEL, band_pct: float = 5.0) -> DataFrame:
+    """up / down / flat per series: last forecast against last history value."""
+    return _ends(history, Horizon(weeks), level, band_pct).select(
+        "series", "points", "forecast_periods", round_half_up(F.col("change"), 1).alias("change_pct"),
+        "trend_direction",
+    )
+
+
 def summary(history: DataFrame, weeks: float, level: float = DEFAULT_LEVEL, shown: int = 3) -> DataFrame:
     """One sentence per series with its direction and the first intervals."""
     horizon = Horizon(weeks)
-    intervals = (
-        forecast(history, weeks, level)
-        .filter(F.col("period") <= shown)
-        .groupBy("series")
-        .agg(
-            F.array_join(
-                F.transform(
-                    F.array_sort(F.collect_list(F.struct("period", "ds", "ci_range"))),
-                    lambda x: F.concat(x["ds"], F.lit(": "), x["ci_range"]),
-                ),
-                "; ",
-            ).alias("ci")
-        )
+    first = F.when(F.col("period") <= shown, F.struct("period", "ds", _interval_text().alias("ci_range")))
+    intervals = F.array_join(
+        F.transform(
+            F.array_sort(F.collect_list(first)), lambda x: F.concat(x["ds"], F.lit(": "), x["ci_range"])
+        ),
+        "; ",
     )
-    return (
-        direction(history, weeks, level)
-        .join(intervals, "series")
-        .select(
-            "series",
-            F.concat(
-                F.lit("Based on "), F.col("points").cast("string"), F.lit(" months of historical data, "),
-                F.lit("total GMV is forecasted to be "), "trend_direction", F.lit(". Next "),
-                F.col("forecast_periods").cast("string"), F.lit(f" {horizon.granularity} periods forecasted. "),
-                F.lit("Confidence intervals: "), "ci",
-            ).alias("model_summary"),
-        )
+    return _ends(history, horizon, level, 5.0, intervals.alias("ci")).select(
+        "series",
+        F.concat(
+            F.lit("Based on "), F.col("points").cast("string"), F.lit(" months of historical data, "),
+            F.lit("total GMV is forecasted to be "), "trend_direction", F.lit(". Next "),
+            F.col("forecast_periods").cast("string"), F.lit(f" {horizon.granularity} periods forecasted. "),
+            F.lit("Confidence intervals: "), "ci",
+        ).alias("model_summary"),
     )

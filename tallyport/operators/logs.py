@@ -59,17 +59,8 @@ def screen_sql(log: DataFrame, column: str = "sql") -> DataFrame:
     )
 
 
-def _candidates(text: Column) -> Column:
-    """Places the JSON may be in: a fence, the widest array or object, the whole text."""
-    return F.filter(
-        F.array(
-            F.regexp_extract(text, r"(?s)```(?:json)?\s*\n?(.*?)```", 1),
-            F.regexp_extract(text, r"(?s)(\[.*\])", 1),
-            F.regexp_extract(text, r"(?s)(\{.*\})", 1),
-            text,
-        ),
-        lambda c: F.trim(c) != "",
-    )
+# Where the JSON may be: a code fence, the widest array or object, the whole text.
+PLACES = (r"(?s)```(?:json)?\s*\n?(.*?)```", r"(?s)(\[.*\])", r"(?s)(\{.*\})", r"(?s)(.*)")
 
 
 def _without_trailing_commas(text: Column) -> Column:
@@ -80,15 +71,13 @@ def _quoted_keys(text: Column) -> Column:
     return F.regexp_replace(text, r"([{,])\s*(\w+)\s*:", '$1"$2":')
 
 
-def _repairs(raw: Column) -> Column:
-    """The candidate itself, then variants with common mistakes undone."""
-    text = F.trim(raw)
+def _repairs(text: Column) -> Column:
+    """Variants of a candidate with common mistakes undone."""
     missing = F.length(F.regexp_replace(text, "[^{]", "")) - F.length(F.regexp_replace(text, "[^}]", ""))
     closed = F.when(
         missing > 0, _quoted_keys(_without_trailing_commas(F.concat(text, F.repeat(F.lit("}"), missing))))
     )
     return F.array(
-        text,
         _without_trailing_commas(text),
         _without_trailing_commas(_quoted_keys(text)),
         _without_trailing_commas(F.regexp_replace(text, r"'([^']*)':", '"$1":')),
@@ -115,15 +104,22 @@ def parse_responses(responses: DataFrame, column: str = "response") -> DataFrame
     The first candidate that is valid JSON and passes the checks is taken: a known
     strategy and no statement that changes data. Absent fields get their defaults.
     """
-    attempts = F.flatten(F.transform(_candidates(F.trim(F.col(column))), _repairs))
-    parsed = F.transform(F.filter(attempts, lambda a: a.isNotNull() & F.trim(a).startswith("{")), _valid)
 
     def acceptable(r: Column) -> Column:
         strategy = F.coalesce(r["strategy"], F.lit(RESPONSE_DEFAULTS["strategy"]))
         sql = F.coalesce(r["sql"], F.lit(""))
         return r["_broken"].isNull() & strategy.isin(*STRATEGIES) & ~starts_blocked(sql)
 
-    with_hit = responses.withColumn("_hit", F.get(F.filter(parsed, acceptable), F.lit(0)))
+    def first_valid(attempts: Column) -> Column:
+        objects = F.filter(attempts, lambda a: a.isNotNull() & F.trim(a).startswith("{"))
+        return F.get(F.filter(F.transform(objects, _valid), acceptable), F.lit(0))
+
+    # coalesce stops at the first hit, so a sound response is parsed once and the
+    # repairs run for broken ones only.
+    text = F.trim(F.col(column))
+    places = {f"_place_{i}": F.trim(F.regexp_extract(text, place, 1)) for i, place in enumerate(PLACES)}
+    tries = [t for name in places for t in (first_valid(F.array(name)), first_valid(_repairs(F.col(name))))]
+    with_hit = responses.withColumns(places).withColumn("_hit", F.coalesce(*tries)).drop(*places)
     fields = {
         name: F.when(F.col("_hit").isNotNull(), F.coalesce(F.col(f"_hit.{name}"), F.lit(default)))
         for name, default in RESPONSE_DEFAULTS.items()

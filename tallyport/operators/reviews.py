@@ -1,9 +1,10 @@
 """Review text mining: keywords, themes, sentiment figures.
 
-Input rows have review_id, review_score, review_comment_message, category and
-`weight`, the number of order items the row stands for. A review of an order with
-three items of one category is one row of weight 3 instead of three copies of its
-text; every count below is a sum of weights.
+A review counts once per item of its order, under the category of the item. The
+input keeps one row per review, so that a text is read, normalised and tokenised
+once: `weight` is the number of items and `categories` an array of (category,
+weight) over the distinct categories of the order. Every count below is a sum of
+weights.
 """
 
 from __future__ import annotations
@@ -76,18 +77,39 @@ NO_THEME_SUMMARY = "No dominant negative text theme detected from keyword topic
 
 
 def review_rows(c: Commerce) -> DataFrame:
-    """Text reviews by product category, all of them, with item weights."""
+    """All reviews with text whose order has items of a known product."""
     texts = c.text_reviews.filter(F.col("review_comment_message").isNotNull()).select(
         "review_id", "order_id", "review_score", "review_comment_title", "review_comment_message"
     )
-    categories = order_category_items(c).select("order_id", "category", F.col("item_rows").alias("weight"))
-    return (
-        texts.join(categories, "order_id")
-        .join(c.orders.select("order_id"), "order_id", "left_semi")
-        .select(
-            "review_id", "review_score", "review_comment_title", "review_comment_message", "category", "weight"
+    # The array holds the distinct categories of one order, never its items.
+    categories = (
+        order_category_items(c)
+        .groupBy("order_id")
+        .agg(
+            F.sum("item_rows").alias("weight"),
+            F.collect_list(F.struct("category", F.col("item_rows").alias("weight"))).alias("categories"),
         )
     )
+    return (
+        texts.join(c.orders.select("order_id"), "order_id", "left_semi")
+        .join(categories, "order_id")
+        .drop("order_id")
+    )
+
+
+def single_category_rows(reviews: DataFrame) -> DataFrame:
+    """Reviews with a plain `category` column in the shape the functions below take."""
+    one = F.lit(1).cast("long").alias("weight")
+    return reviews.select(
+        *[name for name in reviews.columns if name != "category"],
+        one,
+        F.array(F.struct(F.col("category").cast("string").alias("category"), one)).alias("categories"),
+    )
+
+
+def by_category(rows: DataFrame) -> DataFrame:
+    """One row per review and category with the weight of that category."""
+    return rows.select(*[n for n in rows.columns if n not in ("weight", "categories")], F.inline("categories"))
 
 
 def sentiment(score: Column) -> Column:
@@ -156,14 +178,13 @@ def _theme_hits(rows: DataFrame, themes: Sequence[Theme]) -> DataFrame:
         )
     return (
         with_sentiment(rows)
-        .select(
-            "sentiment", "review_score", "category", "weight", normalise("review_comment_message").alias("text")
-        )
+        .select("sentiment", "review_score", "categories", normalise("review_comment_message").alias("text"))
         .filter(text != "")
         .select(
-            "sentiment", "review_score", "category", "weight",
+            "sentiment", "review_score", "categories",
             F.explode(F.filter(hits, lambda h: (h["theme_no"] < 0) | (F.size(h["words"]) > 0))).alias("hit"),
         )
+        .select("sentiment", "review_score", "hit", F.inline("categories"))
         .groupBy("sentiment", F.col("hit.theme_no").alias("theme_no"), "category")
         .agg(
             F.sum("weight").alias("n"),
@@ -303,7 +324,8 @@ def category_sentiment(rows: DataFrame, min_reviews: int = 5) -> DataFrame:
     """Mean score of each category; 0 when none of its reviews has a score."""
     score, weight = F.col("review_score"), F.col("weight")
     return (
-        rows.groupBy("category")
+        by_category(rows.select("review_score", "categories"))
+        .groupBy("category")
         .agg(
             F.sum(score.cast("long") * weight).alias("score"),
             F.sum(F.when(score.isNotNull(), weight)).alias("scored"),
@@ -388,7 +410,9 @@ def review_sample(
     At most `at_most` rows, negative ones first.
     """
     kind = F.coalesce(sentiment(F.col("review_score")), F.lit("other"))
-    keys = rows.select("review_id", "review_score", "category", "review_comment_message").withColumn("kind", kind)
+    # Shortened before ranking, so no full text is sorted or moved.
+    excerpt = F.substring(F.coalesce("review_comment_message", F.lit("")), 1, width).alias("excerpt")
+    keys = by_category(rows.select("review_id", "review_score", kind.alias("kind"), excerpt, "weight", "categories"))
     in_kind = Window.partitionBy("kind").orderBy("review_id", F.asc_nulls_last("category"))
     ranked = keys.withColumn("pos", F.row_number().over(in_kind)).filter(F.col("pos") <= plain)
     # At most `plain` rows of each of three kinds remain.
@@ -403,8 +427,5 @@ def review_sample(
         chosen.filter(~by_kind | strata)
         .withColumn("line", F.row_number().over(order))
         .filter(F.col("line") <= at_most)
-        .select(
-            "line", "review_score", "category",
-            F.substring(F.coalesce("review_comment_message", F.lit("")), 1, width).alias("excerpt"),
-        )
+        .select("line", "review_score", "category", "excerpt")
     )

@@ -19,7 +19,10 @@ from tallyport.operators import reconcile as compare
 from tallyport.operators import whatif
 from tallyport.operators.reviews import Theme
 from tallyport.plans.metric import metric
-from tallyport.roles import Commerce, from_star
+from tallyport.roles import Commerce
+from tallyport.session import prepare
+from tallyport.sources.staging import staged
+from tallyport.star_roles import from_star
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -69,8 +72,7 @@ def table_query(make: Query) -> Query:
     """Register a query that reads star tables directly."""
 
     def run(spark: SparkSession, root: str) -> DataFrame:
-        from_star(spark, root)
-        return make(spark, root)
+        return make(prepare(spark), root)
 
     QUERIES[make.__name__] = run
     return make
@@ -204,7 +206,9 @@ def installment_matrix(c):
 
 @query
 def review_category_rows(c):
-    return reviews.review_rows(c).select("review_id", "review_score", "category", "weight", "review_comment_message")
+    return reviews.by_category(reviews.review_rows(c)).select(
+        "review_id", "review_score", "category", "weight", "review_comment_message"
+    )
 
 
 @query
@@ -249,7 +253,9 @@ def weight_freight_corr(c):
 
 @query
 def trim_p95(c):
-    return diagnostics.trim_p95(diagnostics.weight_freight_bins(c), "weight_g", "freight")
+    # The points are read three times: for the limits, the fallback and the result.
+    points = staged(diagnostics.weight_freight_bins(c), "weight_freight_bins")
+    return diagnostics.trim_p95(points, "weight_g", "freight")
 
 
 @query
@@ -309,7 +315,7 @@ def anomaly_summary(c):
 
 @query
 def what_if_remove_worst(c):
-    return whatif.remove_worst_sellers(c, rollups.published(c, SELLERS))
+    return whatif.remove_worst_sellers(c, staged(rollups.published(c, SELLERS), SELLERS))
 
 
 @query

@@ -8,203 +8,62 @@ stays lazy, so an operator that touches two roles scans two tables.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyport.functions.numbers import units
 from tallyport.schemas import BASE_TABLES
 from tallyport.session import prepare
 
 
-@dataclass(frozen=True)
+ROLES = (
+    "orders", "order_items", "products", "customers", "sellers", "payments", "order_reviews", "geolocation",
+    "translation", "text_reviews",
+)
+
+
 class Commerce:
-    orders: DataFrame
-    order_items: DataFrame
-    products: DataFrame
-    customers: DataFrame
-    sellers: DataFrame
-    payments: DataFrame
-    order_reviews: DataFrame
-    geolocation: DataFrame
-    translation: DataFrame
-    # Reviews that carry text; the same table unless the source keeps them apart.
-    text_reviews: DataFrame
-    delivered_status: str = "delivered"
+    """The role frames, each made on first use so that a query opens only its own tables.
+
+    `text_reviews` are the reviews that carry text: the same table as
+    `order_reviews` unless the source keeps them apart.
+    """
+
+    def __init__(self, makers: Mapping[str, Callable[[], DataFrame]], delivered_status: str = "delivered"):
+        self._makers = dict(makers)
+        self.delivered_status = delivered_status
+
+    def __getattr__(self, role: str) -> DataFrame:
+        if role.startswith("_") or role not in self._makers:
+            raise AttributeError(role)
+        frame = self._makers[role]()
+        setattr(self, role, frame)
+        return frame
 
     def delivered_orders(self) -> DataFrame:
         return self.orders.filter(F.col("order_status") == self.delivered_status)
 
 
+def from_tables(table: Callable[[str], DataFrame], delivered_status: str = "delivered") -> Commerce:
+    """Roles over the nine commerce tables, opened by name."""
+    names = {role: role for role in ROLES} | {
+        "translation": "product_category_name_translation", "text_reviews": "order_reviews",
+    }
+    return Commerce({role: partial(table, name) for role, name in names.items()}, delivered_status)
+
+
 def from_frames(tables: Mapping[str, DataFrame], delivered_status: str = "delivered") -> Commerce:
-    return Commerce(
-        orders=tables["orders"],
-        order_items=tables["order_items"],
-        products=tables["products"],
-        customers=tables["customers"],
-        sellers=tables["sellers"],
-        payments=tables["payments"],
-        order_reviews=tables["order_reviews"],
-        geolocation=tables["geolocation"],
-        translation=tables["product_category_name_translation"],
-        text_reviews=tables["order_reviews"],
-        delivered_status=delivered_status,
-    )
+    return from_tables(tables.__getitem__, delivered_status)
 
 
 def from_catalog(spark: SparkSession, database: str | None = None) -> Commerce:
     prepare(spark)
     prefix = f"{database}." if database else ""
-    return from_frames({name: spark.table(prefix + name) for name in BASE_TABLES})
+    return from_tables(lambda name: spark.table(prefix + name))
 
 
 def from_parquet(spark: SparkSession, root: str) -> Commerce:
     prepare(spark)
-    return from_frames(
-        {name: spark.read.schema(schema).parquet(f"{root}/{name}") for name, schema in BASE_TABLES.items()}
-    )
-
-
-# English names of the star schema's part types; STANDARD has none on purpose, so
-# the fallback to the original name is exercised.
-STAR_TRANSLATION = [
-    ("ECONOMY", "economy_goods"),
-    ("LARGE", "large_goods"),
-    ("MEDIUM", "medium_goods"),
-    ("PROMO", "promotion_goods"),
-    ("SMALL", "small_goods"),
-]
-
-
-def from_star(spark: SparkSession, root: str) -> Commerce:
-    """Commerce roles over a directory of star-schema Parquet tables."""
-    prepare(spark)
-
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{root}/{name}.parquet")
-
-    ordered = F.col("o_orderdate")
-    lead_days = F.pmod(units("o_totalprice"), F.lit(45)).cast("int")
-
-    def after(days) -> F.Column:
-        return F.timestamp_add("DAY", days, ordered)
-
-    orders = table("orders").select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderstatus").alias("order_status"),
-        ordered.alias("order_purchase_timestamp"),
-        ordered.alias("order_approved_at"),
-        after(F.lit(1)).alias("order_delivered_carrier_date"),
-        F.when(lead_days != 44, after(lead_days)).alias("order_delivered_customer_date"),
-        after(F.lit(30)).alias("order_estimated_delivery_date"),
-    )
-    order_items = table("lineitem").select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("order_item_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_suppkey").alias("seller_id"),
-        F.col("l_shipdate").alias("shipping_limit_date"),
-        F.col("l_extendedprice").alias("price"),
-        (F.col("l_quantity") * F.rint(F.col("l_tax") * 100) * 0.5).alias("freight_value"),
-    )
-    products = table("part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.when(F.col("p_size") != 50, F.col("p_type")).alias("product_category_name"),
-        F.length("p_name").cast("double").alias("product_name_length"),
-        F.lit(None).cast("double").alias("product_description_length"),
-        (F.col("p_size") % 5).cast("double").alias("product_photos_qty"),
-        (F.col("p_size") * 250).cast("double").alias("product_weight_g"),
-        (F.col("p_size") + 10).cast("double").alias("product_length_cm"),
-        (F.col("p_size") % 20 + 2).cast("double").alias("product_height_cm"),
-        (F.col("p_size") % 30 + 6).cast("double").alias("product_width_cm"),
-    )
-    nation = table("nation").select("n_nationkey", "n_name")
-    customer = table("customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    customers = customer.select(
-        F.col("c_custkey").alias("customer_id"),
-        F.expr("c_custkey div 2").alias("customer_unique_id"),
-        F.pmod("c_custkey", F.lit(1000)).cast("int").alias("customer_zip_code_prefix"),
-        F.col("c_mktsegment").alias("customer_city"),
-        F.col("n_name").alias("customer_state"),
-    )
-    sellers = (
-        table("supplier")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("s_suppkey").alias("seller_id"),
-            F.pmod("s_suppkey", F.lit(1500)).cast("int").alias("seller_zip_code_prefix"),
-            F.lit("SELLER CITY").alias("seller_city"),
-            F.col("n_name").alias("seller_state"),
-        )
-    )
-    # One payment per order and a voucher beside it for every fifth customer.
-    main = F.struct(
-        F.lit(1).alias("seq"),
-        F.col("o_orderpriority").alias("kind"),
-        (F.pmod("o_custkey", F.lit(14)) + 1).cast("int").alias("parts"),
-        F.col("o_totalprice").alias("value"),
-    )
-    voucher = F.struct(
-        F.lit(2).alias("seq"), F.lit("VOUCHER").alias("kind"), F.lit(1).alias("parts"), F.lit(10.0).alias("value")
-    )
-    payments = (
-        table("orders")
-        .select(
-            F.col("o_orderkey").alias("order_id"),
-            F.inline(F.when(F.col("o_custkey") % 5 == 0, F.array(main, voucher)).otherwise(F.array(main))),
-        )
-        .select(
-            "order_id",
-            F.col("seq").alias("payment_sequential"),
-            F.col("kind").alias("payment_type"),
-            F.col("parts").alias("payment_installments"),
-            F.col("value").alias("payment_value"),
-        )
-    )
-    # One scored review per order and return flag.
-    flag_score = F.when(F.col("flag") == "R", 1).when(F.col("flag") == "A", 3).otherwise(5)
-    order_reviews = (
-        table("lineitem")
-        .groupBy(F.col("l_orderkey").alias("order_id"), F.col("l_returnflag").alias("flag"))
-        .agg(F.max("l_shipdate").alias("seen"))
-        .select(
-            F.concat_ws("-", "order_id", "flag").alias("review_id"),
-            "order_id",
-            flag_score.alias("review_score"),
-            F.lit("").alias("review_comment_title"),
-            F.lit("").alias("review_comment_message"),
-            F.col("seen").alias("review_creation_date"),
-            F.timestamp_add("DAY", F.lit(2), F.col("seen")).alias("review_answer_timestamp"),
-        )
-    )
-    # Documents are reviews of the order with the same number; labels give stars.
-    text_reviews = (
-        table("documents")
-        .join(table("labels"), "doc_id", "left")
-        .select(
-            F.col("doc_id").alias("review_id"),
-            F.col("doc_id").alias("order_id"),
-            (F.col("quality") * 2 + (1 - F.col("toxic")) * 2 + 1).cast("int").alias("review_score"),
-            F.col("source").alias("review_comment_title"),
-            F.col("text").alias("review_comment_message"),
-            F.lit(None).cast("timestamp").alias("review_creation_date"),
-            F.lit(None).cast("timestamp").alias("review_answer_timestamp"),
-        )
-    )
-    geolocation = customer.select(
-        F.pmod("c_custkey", F.lit(1000)).cast("int").alias("geolocation_zip_code_prefix"),
-        (F.col("c_nationkey") - 20 + F.pmod("c_custkey", F.lit(4)) * 0.25).cast("double").alias("geolocation_lat"),
-        (F.col("c_nationkey") * 2 - 70 + F.pmod("c_custkey", F.lit(8)) * 0.125).cast("double").alias("geolocation_lng"),
-        F.col("c_mktsegment").alias("geolocation_city"),
-        F.col("n_name").alias("geolocation_state"),
-    )
-    translation = spark.createDataFrame(
-        STAR_TRANSLATION, BASE_TABLES["product_category_name_translation"]
-    )
-    return Commerce(
-        orders, order_items, products, customers, sellers, payments, order_reviews,
-        geolocation, translation, text_reviews, delivered_status="F",
-    )
+    return from_tables(lambda name: spark.read.schema(BASE_TABLES[name]).parquet(f"{root}/{name}"))
