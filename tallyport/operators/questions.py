@@ -124,7 +124,9 @@ def horizon_weeks(question: Column, default: int = 6) -> Column:
         return F.when(digits != "", digits.cast("decimal(38,0)").cast("long"))
 
     weeks, days, months = amount(r"(\d{1,18})\s*周"), amount(r"(\d{1,18})\s*天"), amount(r"(\d{1,17})\s*个?月")
-    return F.coalesce(weeks, F.greatest(F.lit(1).cast("long"), F.floor(days / 7)), months * 4, F.lit(default).cast("long"))
+    # greatest() skips nulls, so an absent number of days must stay absent.
+    from_days = F.when(days.isNotNull(), F.greatest(F.lit(1).cast("long"), F.floor(days / 7)))
+    return F.coalesce(weeks, from_days, months * 4, F.lit(default).cast("long"))
 
 
 def with_params(questions: DataFrame) -> DataFrame:

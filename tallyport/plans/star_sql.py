@@ -852,7 +852,7 @@ _PARAMS = f"""{_QUESTIONS}, raw AS (SELECT *, regexp_extract(question, '(\\d+)',
       nullif(regexp_extract(question, '(\\d+)\\s*个?月', 1), '') AS m FROM q),
     params AS (SELECT conv_id, turn,
       CAST(CASE WHEN digits = '' THEN 20 ELSE greatest(1, least(100, CAST(digits AS HUGEINT))) END AS INTEGER) AS top_n,
-      CAST(coalesce(CAST(w AS HUGEINT), greatest(1, CAST(d AS HUGEINT) // 7), CAST(m AS HUGEINT) * 4, 6) AS BIGINT) AS horizon_weeks
+      CAST(coalesce(CAST(w AS HUGEINT), CASE WHEN d IS NOT NULL THEN greatest(1, CAST(d AS HUGEINT) // 7) END, CAST(m AS HUGEINT) * 4, 6) AS BIGINT) AS horizon_weeks
       FROM raw)"""
 SQL["question_params"] = f"WITH {_PARAMS} SELECT * FROM params"
 SQL["forecast_granularity"] = f"""WITH {_PARAMS} SELECT conv_id, turn, horizon_weeks,

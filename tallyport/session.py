@@ -34,6 +34,7 @@ def local_session(app: str = "tallyport", cores: str | int = "*",
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in JOB_SETTINGS.items():
         builder = builder.config(key, value)
