@@ -11,10 +11,12 @@ from tallyport.functions.dates import days_between
 from tallyport.functions.numbers import from_units, percent, ratio, ratio_rounded, round_half_up, units
 from tallyport.operators.facts import (
     category_review_items,
+    order_category_items,
     order_review_scores,
     product_categories,
 )
 from tallyport.roles import Commerce
+from tallyport.sources.staging import staged
 
 DONE, DUE, BOUGHT = (
     "order_delivered_customer_date",
@@ -226,9 +228,9 @@ def platform_score(reviews: DataFrame) -> DataFrame:
 
 def worst_example_per_category(c: Commerce, reviews: DataFrame, n: int = 10) -> DataFrame:
     """The n lowest rated categories, each with its worst review as an example."""
-    per_order = category_review_items(c, reviews)
     stats = (
-        per_order.groupBy("category")
+        category_review_items(c, reviews)
+        .groupBy("category")
         .agg(
             F.sum(F.col("score_sum") * F.col("item_rows")).alias("score"),
             F.sum(F.col("scored") * F.col("item_rows")).alias("scored"),
@@ -240,11 +242,7 @@ def worst_example_per_category(c: Commerce, reviews: DataFrame, n: int = 10) ->
         .orderBy(F.asc_nulls_first("exact_score"), "category")
         .limit(n)
     )
-    order_categories = (
-        c.order_items.select("order_id", "product_id").join(product_categories(c), "product_id")
-        .select("order_id", "category").distinct()
-    )
-    # Rank keys first; only the winners fetch their text.
+    # Rank keys without their text; only the winners fetch it.
     order = Window.partitionBy("category").orderBy(
         "review_score", F.desc_nulls_last("review_answer_timestamp"), "review_id"
     )
@@ -252,25 +250,24 @@ def worst_example_per_category(c: Commerce, reviews: DataFrame, n: int = 10) ->
     winners = (
         low.select("review_id", "order_id", "review_score", "review_answer_timestamp")
         .join(c.orders.select("order_id"), "order_id", "left_semi")
-        .join(order_categories, "order_id")
+        .join(order_category_items(c).select("order_id", "category"), "order_id")
         .withColumn("rank", F.row_number().over(order))
         .filter("rank = 1")
         .select("category", "review_id")
     )
-    examples = winners.join(
-        low.select("review_id", F.col("review_comment_message").alias("example")), "review_id"
-    ).select("category", "example")
-    return (
-        stats.join(examples, "category", "left")
-        .select(
-            "category",
-            round_half_up(F.col("exact_score"), 2).alias("avg_review_score"),
-            "total_reviews",
-            "bad_reviews",
-            percent(F.col("bad_reviews"), F.col("total_reviews")).alias("bad_review_pct"),
-            "total_orders",
-            F.coalesce("example", F.lit("N/A")).alias("example_bad_comment"),
-        )
+    picked = staged(stats.join(winners, "category", "left"), "worst_categories")
+    # `picked` has at most n rows, so it may be broadcast and the texts stay in place.
+    examples = low.select("review_id", F.col("review_comment_message").alias("example")).join(
+        F.broadcast(picked.select("review_id").distinct()), "review_id"
+    )
+    return picked.join(examples, "review_id", "left").select(
+        "category",
+        round_half_up(F.col("exact_score"), 2).alias("avg_review_score"),
+        "total_reviews",
+        "bad_reviews",
+        percent(F.col("bad_reviews"), F.col("total_reviews")).alias("bad_review_pct"),
+        "total_orders",
+        F.coalesce("example", F.lit("N/A")).alias("example_bad_comment"),
     )
 
 

@@ -458,7 +458,8 @@ def decision_signals(c):
 
 @query
 def sentiment_summary(c):
-    return reviews.sentiment_summary(reviews.review_rows(c), THEMES, STOP_WORDS)
+    # Scores, keywords and themes each read the rows.
+    return reviews.sentiment_summary(staged(reviews.review_rows(c), "review_rows"), THEMES, STOP_WORDS)
 
 
 @query
