@@ -197,15 +197,23 @@ def state_centroids(c: Commerce, values: DataFrame, state: str = "customer_state
 
 
 def state_ranking_base(c: Commerce, year: int) -> DataFrame:
-    """State ranking of a year from the base tables, by a time range."""
+    """State ranking of a year from the base tables, by a time range.
+
+    The year selects few orders, so they are joined before items are summed: items
+    of other years never get into an aggregation, and the selected orders are
+    broadcast when they are small.
+    """
     bought = F.col(BOUGHT)
-    orders = c.delivered_orders().filter(
-        (bought >= F.lit(f"{year}-01-01")) & (bought < F.lit(f"{year + 1}-01-01"))
+    orders = (
+        c.delivered_orders()
+        .filter((bought >= F.lit(f"{year}-01-01")) & (bought < F.lit(f"{year + 1}-01-01")))
+        .select("order_id", "customer_id")
     )
-    per_order = c.order_items.groupBy("order_id").agg(F.sum(units("price")).alias("price_units"))
     return (
-        orders.select("order_id", "customer_id")
-        .join(per_order, "order_id")
+        c.order_items.select("order_id", "price")
+        .join(orders, "order_id")
+        .groupBy("order_id", "customer_id")
+        .agg(F.sum(units("price")).alias("price_units"))
         .join(c.customers.select("customer_id", "customer_state"), "customer_id")
         .groupBy("customer_state")
         .agg(from_units(F.sum("price_units")).alias("total_gmv"), F.count(F.lit(1)).alias("total_orders"))

@@ -16,7 +16,7 @@ from tallyport.functions.dates import days_between, month_key
 from tallyport.functions.numbers import from_units, percent, ratio_rounded, units
 from tallyport.operators.facts import delivered_months, order_review_scores, product_categories
 from tallyport.roles import Commerce
-from tallyport.schemas import ROLLUPS
+from tallyport.schemas import ROLLUP_KEYS, ROLLUPS
 
 
 def monthly_sales(c: Commerce) -> DataFrame:
@@ -217,12 +217,13 @@ def seller_perf_exact(c: Commerce) -> DataFrame:
 def refresh(spark: SparkSession, c: Commerce, root: str) -> DataFrame:
     """Rebuild all rollups under `root` and report (rollup, row_count).
 
-    Written one directory each, replaced as a whole. Rollups are small next to the
-    base tables, so a few files per rollup are enough; counts come from the files.
+    Written one directory each, replaced as a whole; counts come from the files.
     """
     for name, frame in build_all(c).items():
-        # Range partitions by month keep min/max statistics of ym tight per file.
-        frame.repartitionByRange("ym").sortWithinPartitions("ym").write.mode("overwrite").parquet(f"{root}/{name}")
+        # Ranges over the whole key keep the ym statistics of each file tight and
+        # split a month that holds most rows.
+        keys = ROLLUP_KEYS[name]
+        frame.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(f"{root}/{name}")
     return row_counts(read_all(spark, root))
 
 

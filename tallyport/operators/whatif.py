@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyport.functions.numbers import from_units, percent, ratio, round_half_up, units
+from tallyport.functions.numbers import fixed_text, from_units, percent, ratio, round_half_up, units
 from tallyport.operators.facts import order_category_items, order_review_scores
 from tallyport.operators.metrics import worst_segments
 from tallyport.roles import Commerce
@@ -104,3 +104,15 @@ def remove_worst_categories(c: Commerce, n: int = 2) -> DataFrame:
     worst = staged(worst_segments(scores, "category", n), "worst_categories")
     touched = order_category_items(c).join(worst.select("category"), "category", "left_semi")
     return what_if_remove(c.order_reviews, touched, worst, scores)
+
+
+def what_if_sentence(comparison: DataFrame) -> DataFrame:
+    """The comparison row of `what_if_remove` as one sentence."""
+    return comparison.select(
+        F.concat(
+            F.lit("What-if: removing/screening the worst "), F.col("removed_count").cast("string"),
+            F.lit(" sellers changes average review score from "), fixed_text(F.col("current_avg_score"), 3),
+            F.lit(" to "), fixed_text(F.col("new_avg_score"), 3),
+            F.lit(" ("), fixed_text(F.col("improvement_pct"), 1), F.lit("%)."),
+        ).alias("summary")
+    )

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyport.functions.dates import days_between, month_key
@@ -219,3 +219,15 @@ def metric(
     return result.select(
         *dims, *measures, F.lit(source.name).alias("source"), F.lit(source.strategy).alias("strategy")
     )
+
+
+def catalogue(spark: SparkSession) -> DataFrame:
+    """What can be asked: one row per source and measure."""
+    rows = [
+        (s.name, s.strategy, list(s.dimensions), measure, sorted(m.keep))
+        for s in (*ROLLUP_SOURCES, *BASE_SOURCES)
+        for measure, m in s.measures.items()
+    ]
+    return spark.createDataFrame(
+        rows, "source string, strategy string, dimensions array<string>, measure string, needs array<string>"
+    )

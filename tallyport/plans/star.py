@@ -318,6 +318,11 @@ def what_if_remove_worst(c):
     return whatif.remove_worst_sellers(c, staged(rollups.published(c, SELLERS), SELLERS))
 
 
+@query
+def what_if_summary(c):
+    return whatif.what_if_sentence(whatif.remove_worst_sellers(c, staged(rollups.published(c, SELLERS), SELLERS)))
+
+
 @query
 def what_if_remove_categories(c):
     return whatif.remove_worst_categories(c)

@@ -496,6 +496,14 @@ SQL["what_if_remove_worst"] = on(
     what_if("mv", "SELECT order_id FROM i WHERE seller_id IN (SELECT seller_id FROM gone)"),
     f"gone AS ({worst('seller_id', 'mv', 20)})",
 )
+SQL["what_if_summary"] = on(
+    SEL,
+    """SELECT 'What-if: removing/screening the worst ' || removed_count || ' sellers changes average review score from '
+         || CAST(CAST(current_avg_score AS DECIMAL(30,3)) AS VARCHAR) || ' to ' || CAST(CAST(new_avg_score AS DECIMAL(30,3)) AS VARCHAR)
+         || ' (' || CAST(CAST(improvement_pct AS DECIMAL(30,1)) AS VARCHAR) || '%).' AS summary FROM w""",
+    f"gone AS ({worst('seller_id', 'mv', 20)})",
+    "w AS (" + what_if("mv", "SELECT order_id FROM i WHERE seller_id IN (SELECT seller_id FROM gone)") + ")",
+)
 SQL["what_if_remove_categories"] = with_roles(
     "d i p r",
     what_if("cat", "SELECT order_id FROM i JOIN p USING (product_id) WHERE category IN (SELECT category FROM gone)"),
