@@ -19,19 +19,21 @@ def normalise(text: Column | str) -> Column:
     return F.regexp_replace(plain, r"[̀-ͯ]", "")
 
 
-def tokens(text: Column | str, stop_words: Iterable[str] = ()) -> Column:
-    """Words of three or more letters a-z in text order, repeats kept.
+def words(text: Column | str) -> Column:
+    """Runs of letters, digits and underscores of the normalised text, in order."""
+    return F.split(F.regexp_replace(normalise(text), r"[^\p{L}\p{N}_]+", " "), " ")
+
 
-    A run of letters, digits and underscores is one word, so 'abc1' is no token.
-    """
-    words = F.split(F.regexp_replace(normalise(text), r"[^\p{L}\p{N}_]+", " "), " ")
+def is_token(word: Column, stop_words: Iterable[str] = ()) -> Column:
+    """Three or more letters a-z and no stop word; 'abc1' is no token."""
     stop = sorted(set(stop_words))
+    good = word.rlike("^[a-z]{3,}$")
+    return good & ~word.isin(stop) if stop else good
 
-    def keep(word: Column) -> Column:
-        good = word.rlike("^[a-z]{3,}$")
-        return good & ~word.isin(stop) if stop else good
 
-    return F.filter(words, keep)
+def tokens(text: Column | str, stop_words: Iterable[str] = ()) -> Column:
+    """Tokens of the text in order, repeats kept."""
+    return F.filter(words(text), lambda word: is_token(word, stop_words))
 
 
 def contains_any(text: Column, words: Iterable[str]) -> Column:

@@ -213,7 +213,7 @@ def _ends(history: DataFrame, horizon: Horizon, level: float, band_pct: float, *
         .groupBy("series", "points", "last_y")
         .agg(
             F.count(F.lit(1)).alias("forecast_periods"),
-            F.max_by(round_half_up(F.col("yhat"), 2), "period").alias("last_yhat"),
+            F.max_by("yhat", "period").alias("last_yhat"),
             *extra,
         )
         .withColumn("change", F.coalesce(change, F.lit(0.0)))

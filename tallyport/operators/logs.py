@@ -32,18 +32,21 @@ def repaired_sql(sql: Column) -> Column:
     return sql
 
 
+def stripped(text: Column) -> Column:
+    """Without white space, line breaks included, at both ends."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def cleaned_sql(text: Column) -> Column:
     """SQL out of a code fence, without comment lines and final semicolon."""
-    text = F.trim(text)
-    fenced = F.regexp_extract(text, r"(?s)```(?:sql)?\s*\n?(.*?)```", 1)
-    text = F.when(text.rlike(r"(?s)```(?:sql)?\s*\n?.*?```"), fenced).otherwise(text)
-    text = F.regexp_replace(text, r"(?m)^--.*$", "")
-    trimmed = F.regexp_replace(text, r"^\s+|\s+$", "")
-    return F.regexp_replace(F.regexp_replace(trimmed, r";\s*$", ""), r"^\s+|\s+$", "")
+    fence = r"(?s)```(?:sql)?\s*\n?(.*?)```"
+    inner = F.when(text.rlike(fence), F.regexp_extract(text, fence, 1)).otherwise(text)
+    bare = stripped(F.regexp_replace(stripped(inner), r"(?m)^--.*$", ""))
+    return stripped(F.regexp_replace(bare, r";\s*$", ""))
 
 
 def starts_blocked(sql: Column) -> Column:
-    return F.upper(F.trim(sql)).rlike("^(" + "|".join(BLOCKED_VERBS) + ")")
+    return sql.rlike(r"(?i)^\s*(" + "|".join(BLOCKED_VERBS) + ")")
 
 
 def screen_sql(log: DataFrame, column: str = "sql") -> DataFrame:
@@ -94,7 +97,9 @@ def _valid(candidate: Column) -> Column:
     tells broken text from absent fields.
     """
     return F.from_json(
-        candidate, RESPONSE_SCHEMA + ", _broken string", {"columnNameOfCorruptRecord": "_broken"}
+        candidate,
+        RESPONSE_SCHEMA + ", _broken string",
+        {"columnNameOfCorruptRecord": "_broken", "allowSingleQuotes": "false"},
     )
 
 
@@ -111,13 +116,17 @@ def parse_responses(responses: DataFrame, column: str = "response") -> DataFrame
         return r["_broken"].isNull() & strategy.isin(*STRATEGIES) & ~starts_blocked(sql)
 
     def first_valid(attempts: Column) -> Column:
-        objects = F.filter(attempts, lambda a: a.isNotNull() & F.trim(a).startswith("{"))
+        objects = F.filter(attempts, lambda a: a.rlike(r"^\s*\{"))
         return F.get(F.filter(F.transform(objects, _valid), acceptable), F.lit(0))
 
     # coalesce stops at the first hit, so a sound response is parsed once and the
     # repairs run for broken ones only.
-    text = F.trim(F.col(column))
-    places = {f"_place_{i}": F.trim(F.regexp_extract(text, place, 1)) for i, place in enumerate(PLACES)}
+    places = {
+        f"_place_{i}": stripped(F.regexp_extract(F.col(column), place, 1)) for i, place in enumerate(PLACES)
+    }
+    # The whole text is often the object itself; trying it twice gains nothing.
+    *_, found, whole = places
+    places[whole] = F.when(places[whole] != places[found], places[whole])
     tries = [t for name in places for t in (first_valid(F.array(name)), first_valid(_repairs(F.col(name))))]
     with_hit = responses.withColumns(places).withColumn("_hit", F.coalesce(*tries)).drop(*places)
     fields = {

@@ -155,7 +155,7 @@ def needed_jobs(questions: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame
         questions.withColumn(
             "needs_reviews", contains_any(q, rules.reviews) | kind.isin("diagnostic", "prescriptive")
         )
-        .withColumn("needs_forecast", (kind == "predictive") | contains_any(F.col("question"), rules.forecast))
+        .withColumn("needs_forecast", (kind == "predictive") | contains_any(q, rules.forecast))
         .withColumn("needs_what_if", contains_any(q, rules.what_if) & contains_any(q, rules.what_if_targets))
         .withColumn("needs_anomaly", contains_any(q, rules.anomaly))
     )

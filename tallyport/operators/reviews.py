@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyport.functions.numbers import fixed_text, percent, ratio, ratio_rounded
-from tallyport.functions.text import matched, normalise, tokens
+from tallyport.functions.text import is_token, matched, normalise, words
 from tallyport.operators.diagnostics import negative_categories
 from tallyport.operators.facts import order_category_items
 from tallyport.roles import Commerce
@@ -128,7 +128,8 @@ def review_keywords(rows: DataFrame, stop_words: Sequence[str] = STOP_WORDS_PT,
     """
     counts = (
         with_sentiment(rows)
-        .select("sentiment", "weight", F.explode(tokens("review_comment_message", stop_words)).alias("word"))
+        .select("sentiment", "weight", F.explode(words("review_comment_message")).alias("word"))
+        .filter(is_token(F.col("word"), stop_words))
         .groupBy("sentiment", "word")
         .agg(F.sum("weight").alias("n"))
     )
@@ -208,7 +209,7 @@ def review_themes(
     the share of the reviews of that sentiment with non-empty text.
     """
     hits = _theme_hits(rows, themes)
-    words = [name for name in hits.columns if name.startswith("word_")]
+    counters = [name for name in hits.columns if name.startswith("word_")]
     by_category = Window.partitionBy("sentiment", "theme_no").orderBy(
         F.col("category").isNull(), F.desc("n"), "category"
     )
@@ -227,7 +228,7 @@ def review_themes(
             ),
             lambda x: x["category"],
         ).alias("top_categories"),
-        *[F.sum(w).alias(w) for w in words],
+        *[F.sum(w).alias(w) for w in counters],
     )
     # At most one row per theme and sentiment from here on.
     same_sentiment = Window.partitionBy("sentiment")
@@ -236,7 +237,7 @@ def review_themes(
         F.transform(
             F.element_at(keyword_lists, F.col("theme_no") + 1),
             lambda word, i: F.struct(
-                (-F.element_at(F.array(*[F.col(w) for w in words]), i + 1)).alias("minus_n"), word.alias("word")
+                (-F.element_at(F.array(*[F.col(w) for w in counters]), i + 1)).alias("minus_n"), word.alias("word")
             ),
         ),
         lambda x: x["minus_n"] < 0,
@@ -368,7 +369,7 @@ def sentiment_summary(
     rows: DataFrame, themes: Sequence[Theme] = THEMES_PT, stop_words: Sequence[str] = STOP_WORDS_PT
 ) -> DataFrame:
     """One row: a sentence on scores and keywords and one on the main negative theme."""
-    words = (
+    keywords = (
         ranked_words(review_keywords(rows, stop_words, 5))
         .filter("sentiment = 'negative'")
         .select(F.array_join("words", ", "))
@@ -392,7 +393,7 @@ def sentiment_summary(
     scores = F.concat(
         F.lit("Average review score: "), fixed_text(ratio(F.col("score"), F.col("scored")), 1), F.lit("/5. "),
         share("positive"), F.lit("% positive (4-5★), "), share("negative"),
-        F.lit("% negative (1-2★). Top negative keywords: "), F.coalesce(words, F.lit("")), F.lit("."),
+        F.lit("% negative (1-2★). Top negative keywords: "), F.coalesce(keywords, F.lit("")), F.lit("."),
     )
     theme = F.coalesce(main_theme, F.lit(NO_THEME_SUMMARY))
     return _summary(rows).select(

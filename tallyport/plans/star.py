@@ -653,7 +653,7 @@ def question_reports(spark, root):
 @table_query
 def followup_context(spark, root):
     turns = spark.read.parquet(f"{root}/conversations.parquet")
-    return questions.follow_up_context(turns, rules=RULES, block=4)
+    return questions.follow_up_context(turns, rules=RULES)
 
 
 @query

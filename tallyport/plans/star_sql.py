@@ -589,7 +589,7 @@ SQL["forecast_interval_text"] = forecast(
 def direction_cte(weeks: int) -> str:
     divisor = _PLAN[weeks][3]
     return f"""dir AS (SELECT series, points, fps, CASE WHEN fps >= 3 AND points >= 3
-          THEN ({rnd('last_yhat', 2)} - last_y) / last_y * 100 ELSE 0 END AS change
+          THEN (last_yhat - last_y) / last_y * 100 ELSE 0 END AS change
         FROM (SELECT series, count(*) AS points, arg_max(y, ds) / {divisor}::DOUBLE AS last_y FROM h GROUP BY 1)
         JOIN (SELECT series, count(*) AS fps, arg_max(yhat, period) AS last_yhat FROM fc GROUP BY 1) USING (series))"""
 
@@ -852,7 +852,7 @@ _TYPE = (
 SQL["question_type"] = f"""WITH {_QUESTIONS}, k AS (SELECT *, {_TYPE} AS analysis_type FROM q)
     SELECT conv_id, turn, analysis_type,
       {any_of(_LOW, star.RULES.reviews)} OR analysis_type IN ('diagnostic', 'prescriptive') AS needs_reviews,
-      analysis_type = 'predictive' OR {any_of('question', star.RULES.forecast)} AS needs_forecast,
+      analysis_type = 'predictive' OR {any_of(_LOW, star.RULES.forecast)} AS needs_forecast,
       {any_of(_LOW, star.RULES.what_if)} AND {any_of(_LOW, star.RULES.what_if_targets)} AS needs_what_if,
       {any_of(_LOW, star.RULES.anomaly)} AS needs_anomaly FROM k"""
 _PARAMS = f"""{_QUESTIONS}, raw AS (SELECT *, regexp_extract(question, '(\\d+)', 1) AS digits,

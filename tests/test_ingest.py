@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tallyport.functions.dates import lenient_timestamp
 from tallyport.operators import ingest
-from tallyport.plans.metric import choose, metric
 from tallyport.operators import rollups
+from tallyport.plans.metric import catalogue, choose, metric
+from tallyport.roles import from_catalog, from_parquet
 from tallyport.schemas import BASE_TABLES, KEYS
 from tallyport.sources import files
 
@@ -66,6 +67,7 @@ def test_load_all_builds_nine_tables(spark, export, tmp_path):
         [str(export / "geolocation.csv")], str(tmp_path), {"beleza_saude": "beauty_health"},
     )
     assert set(tables) == set(BASE_TABLES)
+    assert from_parquet(spark, str(tmp_path)).orders.count() == 4
     for name, frame in tables.items():
         assert [(f.name, f.dataType) for f in frame.schema] == [(f.name, f.dataType) for f in BASE_TABLES[name]], name
         assert frame.groupBy(*KEYS[name]).count().filter("count > 1").isEmpty(), name
@@ -131,6 +133,7 @@ def test_catalogue_tables_and_reports(spark, shop, tmp_path):
         files.write_table(shop.orders, "shop_db.orders")
         files.write_table(shop.orders, "shop_db.orders")
         assert spark.table("shop_db.orders").count() == 5
+        assert from_catalog(spark, "shop_db").delivered_orders().count() == 4
     finally:
         spark.sql("DROP DATABASE shop_db CASCADE")
     files.write_csv_report(shop.sellers, str(tmp_path / "report"))
@@ -163,3 +166,8 @@ def test_metric_gives_the_same_from_view_and_base(shop):
     assert ("SP", "credit_card", 2, 2.5) in rows_of(pay, "customer_state", "payment_type", "total_transactions", "avg_installments")
     late = metric(shop, stored, ["customer_state"], ["on_time_rate", "delayed_orders", "avg_delivery_days"])
     assert rows_of(late)[0][:4] == ("RJ", 100.0, 0, 20.0)
+
+
+def test_catalogue_lists_every_measure(spark):
+    got = {(r.source, r.measure) for r in catalogue(spark).collect()}
+    assert ("mv_monthly_sales", "avg_basket") in got and ("delivered_items", "unique_customers") in got

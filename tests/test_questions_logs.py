@@ -112,6 +112,9 @@ GOOD = {"strategy": "view", "reasoning": "r", "sql": "SELECT 1 FROM olist_orders
         ('{"strategy": "view", "sql": "SELECT 1"', "view", "SELECT 1"),
         ('prefix {"sql": "SELECT 1"} suffix', "base_table", "SELECT 1"),
         ("{}", "base_table", ""),
+        ('\n\n{"sql": "SELECT 1"}\n', "base_table", "SELECT 1"),
+        ("{'strategy': 'view'}", None, None),
+        ('{"sql": "\\n drop table x"}', None, None),
         ('{"strategy": "magic"}', None, None),
         ('{"sql": "drop table x"}', None, None),
         ("no json here", None, None),
@@ -136,6 +139,7 @@ def test_parse_responses(spark, text, strategy, sql):
         ("```sql\nWITH x AS (SELECT 1) SELECT * FROM x;\n```", "WITH x AS (SELECT 1) SELECT * FROM x", "ok"),
         ("-- note\nselect 1 ;  ", "select 1", "ok"),
         ("  delete from orders", "delete from orders", "blocked"),
+        ("\n\tupdate orders set x = 1", "update orders set x = 1", "blocked"),
         ("SHOW TABLES", "SHOW TABLES", "not_select"),
         ("", "", "empty"),
     ],
