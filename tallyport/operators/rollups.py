@@ -17,19 +17,25 @@ from tallyport.functions.numbers import from_units, percent, ratio_rounded, unit
 from tallyport.operators.facts import delivered_months, order_review_scores, product_categories
 from tallyport.roles import Commerce
 from tallyport.schemas import ROLLUP_KEYS, ROLLUPS
+from tallyport.sources.staging import staged
 
 
-def monthly_sales(c: Commerce) -> DataFrame:
-    # One row per order before the join: orders then count as rows, and a huge
-    # order is folded on the map side.
+def order_totals(c: Commerce) -> DataFrame:
+    """Delivered orders with their month and item sums, one row per order.
+
+    Items are summed per order before the join: orders then count as rows, and a
+    huge order is folded on the map side.
+    """
     per_order = c.order_items.groupBy("order_id").agg(
         F.sum(units("price")).alias("price_units"),
         F.sum(units("freight_value")).alias("freight_units"),
     )
+    return delivered_months(c).join(per_order, "order_id")
+
+
+def monthly_sales(c: Commerce, totals: DataFrame | None = None) -> DataFrame:
     sums = (
-        delivered_months(c)
-        .drop("customer_id")
-        .join(per_order, "order_id")
+        (order_totals(c) if totals is None else totals)
         .groupBy("ym")
         .agg(
             F.sum("price_units").alias("price_units"),
@@ -47,12 +53,10 @@ def monthly_sales(c: Commerce) -> DataFrame:
     )
 
 
-def state_sales(c: Commerce) -> DataFrame:
-    per_order = c.order_items.groupBy("order_id").agg(F.sum(units("price")).alias("price_units"))
+def state_sales(c: Commerce, totals: DataFrame | None = None) -> DataFrame:
     buyers = c.customers.select("customer_id", "customer_unique_id", "customer_state")
     return (
-        delivered_months(c)
-        .join(per_order, "order_id")
+        (order_totals(c) if totals is None else totals)
         .join(buyers, "customer_id")
         .groupBy("ym", "customer_state")
         .agg(
@@ -218,8 +222,14 @@ def refresh(spark: SparkSession, c: Commerce, root: str) -> DataFrame:
     """Rebuild all rollups under `root` and report (rollup, row_count).
 
     Written one directory each, replaced as a whole; counts come from the files.
+    The sums per order are computed once for the two rollups that need them.
     """
-    for name, frame in build_all(c).items():
+    totals = staged(order_totals(c), "order_totals")
+    frames = build_all(c) | {
+        "mv_monthly_sales": monthly_sales(c, totals),
+        "mv_state_sales": state_sales(c, totals),
+    }
+    for name, frame in frames.items():
         # Ranges over the whole key keep the ym statistics of each file tight and
         # split a month that holds most rows.
         keys = ROLLUP_KEYS[name]

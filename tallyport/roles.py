@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyport.schemas import BASE_TABLES
-from tallyport.session import prepare
+from tallyport.session import prepare, size_shuffles
 
 
 ROLES = (
@@ -66,4 +66,5 @@ def from_catalog(spark: SparkSession, database: str | None = None) -> Commerce:
 
 def from_parquet(spark: SparkSession, root: str) -> Commerce:
     prepare(spark)
+    size_shuffles(spark, root)
     return from_tables(lambda name: spark.read.schema(BASE_TABLES[name]).parquet(f"{root}/{name}"))

@@ -24,6 +24,32 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Stored input per shuffle partition, and the most partitions a shuffle starts with.
+# Queries read a fraction of the columns, so a partition shuffles far less than this.
+INPUT_PER_PARTITION = 512 * 1024 * 1024
+MOST_PARTITIONS = 40_000
+
+
+def shuffle_partitions(stored_bytes: int, configured: int) -> int:
+    """Shuffle partitions to start with; never fewer than the session asks for."""
+    return max(configured, min(MOST_PARTITIONS, -(-stored_bytes // INPUT_PER_PARTITION)))
+
+
+def size_shuffles(spark: SparkSession, root: str) -> None:
+    """Start shuffles with partitions that fit the stored size of `root`.
+
+    Adaptive execution merges partitions that turn out small but does not split
+    evenly large ones, so the starting number has to follow the data.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stored = files.getContentSummary(path).getLength()
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set(
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(shuffle_partitions(stored, configured))
+    )
+
+
 def local_session(app: str = "tallyport", cores: str | int = "*",
                   shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A local session for tests and the benchmark; clusters bring their own."""

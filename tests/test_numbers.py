@@ -4,6 +4,7 @@ from decimal import ROUND_HALF_UP, Decimal
 from pyspark.sql import functions as F
 
 from tallyport.functions.numbers import exact_avg, exact_sum, percent, ratio, round_half_up
+from tallyport.session import shuffle_partitions
 
 
 def test_exact_sum_does_not_depend_on_row_order(spark):
@@ -37,3 +38,10 @@ def test_division_by_zero_is_null(spark):
         ratio(F.lit(1), F.lit(0)).alias("r"), percent(F.lit(1), F.lit(3)).alias("p"), percent(F.lit(None), F.lit(3)).alias("n")
     ).first()
     assert (row.r, row.p, row.n) == (None, 33.3, None)
+
+
+def test_shuffle_partitions_follow_the_data():
+    assert shuffle_partitions(10**6, 8) == 8
+    assert shuffle_partitions(10**12, 200) == 1863
+    assert shuffle_partitions(10**14, 200) == 40_000
+    assert shuffle_partitions(10**14, 60_000) == 60_000
