@@ -10,18 +10,27 @@ from pyspark.sql import functions as F
 # Accented letters and their plain forms.
 ACCENTED = "áàâãäéêèëíîïìóôõöòúüùûçñ"
 PLAIN = "aaaaaeeeeiiiiooooouuuucn"
+MARKS = r"[\u0300-\u036f]"
 
 
 def normalise(text: Column | str) -> Column:
     """Lower case without accents; combining marks are dropped as well."""
     text = F.col(text) if isinstance(text, str) else text
-    plain = F.translate(F.lower(text), ACCENTED, PLAIN)
-    return F.regexp_replace(plain, r"[̀-ͯ]", "")
+    low = F.lower(text)
+    plain = F.regexp_replace(F.translate(low, ACCENTED, PLAIN), MARKS, "")
+    # Most texts are ASCII and need no second and third pass.
+    return F.when(low.rlike(r"[^\x00-\x7F]"), plain).otherwise(low)
+
+
+def has_text(text: Column | str) -> Column:
+    """True when the normalised text is not empty; looks at the first letters only."""
+    text = F.col(text) if isinstance(text, str) else text
+    return text.rlike(r"[^\u0300-\u036f]")
 
 
 def words(text: Column | str) -> Column:
     """Runs of letters, digits and underscores of the normalised text, in order."""
-    return F.split(F.regexp_replace(normalise(text), r"[^\p{L}\p{N}_]+", " "), " ")
+    return F.split(normalise(text), r"[^\p{L}\p{N}_]+")
 
 
 def is_token(word: Column, stop_words: Iterable[str] = ()) -> Column:

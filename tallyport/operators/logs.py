@@ -40,9 +40,10 @@ def stripped(text: Column) -> Column:
 def cleaned_sql(text: Column) -> Column:
     """SQL out of a code fence, without comment lines and final semicolon."""
     fence = r"(?s)```(?:sql)?\s*\n?(.*?)```"
-    inner = F.when(text.rlike(fence), F.regexp_extract(text, fence, 1)).otherwise(text)
-    bare = stripped(F.regexp_replace(stripped(inner), r"(?m)^--.*$", ""))
-    return stripped(F.regexp_replace(bare, r";\s*$", ""))
+    inner = F.when(text.contains("```") & text.rlike(fence), F.regexp_extract(text, fence, 1)).otherwise(text)
+    # A comment line can only be missed together with its dashes.
+    bare = F.when(inner.contains("--"), F.regexp_replace(stripped(inner), r"(?m)^--.*$", "")).otherwise(inner)
+    return F.regexp_replace(bare, r"^\s+|\s*;?\s*$", "")
 
 
 def starts_blocked(sql: Column) -> Column:

@@ -211,11 +211,12 @@ def previous_in_group(rows: DataFrame, group: str, position: str, value: str, bl
     earlier block, found on one small row per block.
     """
     blocked = rows.withColumn("_block", F.floor(F.col(position) / F.lit(block)))
-    inside = Window.partitionBy(group, "_block").orderBy(position)
+    # The value itself breaks ties between rows at the same position.
+    inside = Window.partitionBy(group, "_block").orderBy(position, value)
     lagged = blocked.withColumn("_in_block", F.lag(value).over(inside)).withColumn(
         "_first", F.row_number().over(inside) == 1
     )
-    ends = blocked.groupBy(group, "_block").agg(F.max_by(value, position).alias("_last"))
+    ends = blocked.groupBy(group, "_block").agg(F.max_by(value, F.struct(position, value)).alias("_last"))
     before = ends.select(
         group, "_block", F.lag("_last").over(Window.partitionBy(group).orderBy("_block")).alias("_before")
     ).filter(F.col("_before").isNotNull())

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyport.functions.numbers import fixed_text, percent, ratio, ratio_rounded
-from tallyport.functions.text import is_token, matched, normalise, words
+from tallyport.functions.text import has_text, is_token, matched, normalise, words
 from tallyport.operators.diagnostics import negative_categories
 from tallyport.operators.facts import order_category_items
 from tallyport.roles import Commerce
@@ -179,8 +179,8 @@ def _theme_hits(rows: DataFrame, themes: Sequence[Theme]) -> DataFrame:
         )
     return (
         with_sentiment(rows)
+        .filter(has_text("review_comment_message"))
         .select("sentiment", "review_score", "categories", normalise("review_comment_message").alias("text"))
-        .filter(text != "")
         .select(
             "sentiment", "review_score", "categories",
             F.explode(F.filter(hits, lambda h: (h["theme_no"] < 0) | (F.size(h["words"]) > 0))).alias("hit"),

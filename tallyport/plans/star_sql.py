@@ -892,7 +892,7 @@ SQL["question_reports"] = f"""WITH {_QUESTIONS}, k AS (SELECT *, {_TYPE} AS anal
     UNION SELECT conv_id, turn, analysis_type, 'category_bar' FROM base WHERE report = 'wordcloud'"""
 _ASKED = "lower(trim(question))"
 SQL["followup_context"] = f"""WITH asked AS (SELECT conv_id, turn, text AS question,
-      lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS previous FROM conversations WHERE role = 'user'),
+      lag(text) OVER (PARTITION BY conv_id ORDER BY turn, text) AS previous FROM conversations WHERE role = 'user'),
     k AS (SELECT *, previous IS NOT NULL AND ({any_of(_ASKED, star.RULES.follow_up)} OR
       (length({_ASKED}) <= {SHORT_LENGTH} AND {any_of(_ASKED, star.RULES.short_cues)})) AS follows FROM asked)
     SELECT conv_id, turn, question, follows AS is_follow_up,
