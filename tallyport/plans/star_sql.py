@@ -256,11 +256,11 @@ SQL["gmv_growth"] = on(
 )
 SQL["declining_categories"] = on(
     CAT,
-    f"""SELECT category, months, {rnd('slope', 2)} AS gmv_slope_per_month, last_gmv FROM (
+    f"""SELECT category, months, {rnd('slope', 2)} AS gmv_slope_per_month, last_gmv, slope < 0 AS declining FROM (
         SELECT product_category_english AS category, count(*) AS months,
           regr_slope(total_gmv, CAST(ym[1:4] AS INTEGER) * 12 + CAST(ym[6:7] AS INTEGER)) AS slope,
           arg_max(total_gmv, ym) AS last_gmv
-        FROM mv WHERE product_category_english IS NOT NULL GROUP BY 1) WHERE months >= 3 AND slope < 0""",
+        FROM mv WHERE product_category_english IS NOT NULL GROUP BY 1) WHERE months >= 3""",
 )
 SQL["monthly_series_long"] = on(
     M,
@@ -698,12 +698,12 @@ _CATEGORY_SENTIMENT = f"""SELECT category, coalesce({rnd('CAST(sum(score) AS DOU
     count(*) AS review_count FROM rows GROUP BY 1 HAVING count(*) >= 5"""
 SQL["category_sentiment"] = with_roles("rows", _CATEGORY_SENTIMENT)
 SQL["worst_sentiment_categories"] = with_roles(
-    "rows", f"SELECT * FROM ({_CATEGORY_SENTIMENT}) WHERE avg_score < 3.5 ORDER BY avg_score, category NULLS FIRST LIMIT 10"
+    "rows", f"SELECT * FROM ({_CATEGORY_SENTIMENT}) WHERE avg_score < 4.5 ORDER BY avg_score, category NULLS FIRST LIMIT 10"
 )
 SQL["primary_negative_theme"] = with_roles(
     "n",
     f"""SELECT w.category, avg_score, negative_reviews, coalesce(theme, '{NO_THEME}') AS primary_reason
-        FROM ({negative('t')}) w LEFT JOIN (
+        FROM ({negative('t', 1)}) w LEFT JOIN (
           SELECT category, theme FROM (SELECT category, theme, row_number() OVER (PARTITION BY category ORDER BY count(*) DESC, no) AS rn
             FROM hits WHERE sentiment = 'negative' GROUP BY category, theme, no) WHERE rn = 1) q
         ON w.category IS NOT DISTINCT FROM q.category""",

@@ -92,3 +92,10 @@ def test_trim_keeps_everything_when_few_points_or_few_would_stay(spark):
     assert diagnostics.trim_p95(crossing, "x", "y").count() == 11
     many = spark.createDataFrame([(float(i), float(i)) for i in range(100)], "x double, y double")
     assert diagnostics.trim_p95(many, "x", "y").count() == 95
+
+
+def test_only_falling_categories_are_listed(spark):
+    rows = [(f"2017-0{m}", c, float(v)) for c, vs in (("up", (1, 2, 3)), ("down", (9, 5, 4)), ("new", (9, 1))) for m, v in enumerate(vs, 1)]
+    frame = spark.createDataFrame(rows, "ym string, product_category_english string, total_gmv double")
+    assert rows_of(metrics.category_trends(frame)) == [("down", 3, -2.5, 4.0, True)]
+    assert len(rows_of(metrics.category_trends(frame, only_declining=False))) == 2
