@@ -88,8 +88,8 @@ def test_themes_against_brute_force_with_a_hot_order(spark, tables):
     from tallyport.schemas import BASE_TABLES
 
     hot = 300
-    orders = tables["orders"].limit(1).crossJoin(spark.range(600).withColumnRenamed("id", "n"))
-    orders = orders.withColumn("order_id", F.concat(F.lit("x"), "n")).drop("n")
+    none = (None,) * 5
+    orders = spark.createDataFrame([(f"x{i}", "c1", "delivered", *none) for i in range(600)], BASE_TABLES["orders"])
     items = [(f"x{i if i > hot else 0}", i, f"p{i % 3 + 1}", "s1", None, 1.5, 1.0) for i in range(900)]
     texts = ["atraso na entrega", "peca com defeito", "otimo", "nada", "pedido errado e atraso"]
     revs = [(f"r{i}", f"x{i if i > hot else 0}", i % 5 + 1, "", texts[i % 5 if i % 2 else i % 3], None, None) for i in range(900)]
