@@ -28,6 +28,32 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def packed(docs: DataFrame, *extra: Column) -> DataFrame:
+    """The whole row as one struct `doc`, so that no column of `docs` clashes with ours."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *extra)
+
+
+def row_key() -> list[Column]:
+    """k1, k2: never null, ordered as doc_id (null last), different for different texts of one id.
+
+    Rows that agree in doc_id and text share a key; they are one document read twice.
+    """
+    return [
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("k1"),
+        F.xxhash64("doc_id", "text").alias("k2"),
+    ]
+
+
+def unpacked(docs: DataFrame, **given: Column) -> list[Column]:
+    """The columns of `docs` out of the struct, those in `given` replaced."""
+    return [given.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns]
+
+
+def length_like(docs: DataFrame, text: Column) -> dict[str, Column]:
+    """n_chars for a changed text, where `docs` has that column."""
+    return {"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
+
+
 @cache
 def _own_folder() -> str:
     return tempfile.mkdtemp(prefix="tallyport-llm-")

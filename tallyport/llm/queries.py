@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tallyport.llm import mixing
+from tallyport.llm import linededup, mixing
 
 QUERIES = {
+    "op1_line_dedup": linededup.op1,
     "op10_mix_sources": mixing.op10,
 }
 
 SQL = {
+    "op1_line_dedup": linededup.OP1_SQL,
     "op10_mix_sources": mixing.OP10_SQL,
 }
