@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from tallyport.llm import linededup, mixing
+from tallyport.llm import decontaminate, linededup, mixing
 
 QUERIES = {
     "op1_line_dedup": linededup.op1,
+    "op8_decontaminate": decontaminate.op8,
     "op10_mix_sources": mixing.op10,
 }
 
 SQL = {
     "op1_line_dedup": linededup.OP1_SQL,
+    "op8_decontaminate": decontaminate.OP8_SQL,
     "op10_mix_sources": mixing.OP10_SQL,
 }
