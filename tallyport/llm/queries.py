@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from tallyport.llm import decontaminate, linededup, mixing
+from tallyport.llm import decontaminate, linededup, mixing, substring
 
 QUERIES = {
     "op1_line_dedup": linededup.op1,
+    "op7_substring_dedup": substring.op7,
     "op8_decontaminate": decontaminate.op8,
     "op10_mix_sources": mixing.op10,
 }
 
 SQL = {
     "op1_line_dedup": linededup.OP1_SQL,
+    "op7_substring_dedup": substring.OP7_SQL,
     "op8_decontaminate": decontaminate.OP8_SQL,
     "op10_mix_sources": mixing.OP10_SQL,
 }
