@@ -29,7 +29,7 @@ from tallyport.llm.common import WORD, table
 WEIGHTS = (5, 2, 1)
 MOST = 3
 SEED = "mix"
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 2_000
 SHARDS = 16
 BLOCKS_PER_SHARD = 64
 
@@ -72,14 +72,14 @@ def _hex_share(key: Column) -> Column:
 
 
 def lay_out(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: str = SEED,
-            rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+            rows_per_bucket: int = ROWS_PER_BUCKET, carry: list[str] | None = None) -> DataFrame:
     """Each document's place in its source's line, and the words taken from it.
 
-    Returns doc (the whole row), size, source_size, target, place (of the source),
+    Returns doc (the row, or its columns in `carry`), size, source_size, target, place (of the source),
     quota (words of the source in the mix), start (first word in the line), taken.
     """
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+        F.struct(*[F.col(f"`{c}`") for c in carry or docs.columns]).alias("doc"),
         F.col("source").alias("source"),
         words_in(F.col("text")).alias("size"),
         F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("key"),
@@ -179,7 +179,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, s
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return lay_out(docs).select("doc.doc_id", "size", "source_size", "target", "taken")
+    return lay_out(docs, carry=["doc_id"]).select("doc.doc_id", "size", "source_size", "target", "taken")
 
 
 OP10_SQL = r"""
