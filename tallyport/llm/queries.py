@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyport.llm import ann, decontaminate, licences, linededup, lmscore, mixing, quality, simhash, substring
+from tallyport.llm import ann, decontaminate, licences, linededup, lmscore, mixing, quality, secrets, simhash, substring
 
 QUERIES = {
     "op1_line_dedup": linededup.op1,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_lm_scores": lmscore.op3,
     "op4_quality_classifier": quality.op4,
     "op5_nearest_neighbours": ann.op5,
+    "op6_secret_scan": secrets.op6,
     "op7_substring_dedup": substring.op7,
     "op8_decontaminate": decontaminate.op8,
     "op9_licence_scan": licences.op9,
