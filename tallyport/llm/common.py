@@ -54,6 +54,32 @@ def length_like(docs: DataFrame, text: Column) -> dict[str, Column]:
     return {"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
 
 
+SKETCH_BITS = 1 << 25
+
+
+def _slot(keys: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys, F.lit(77)), F.lit(SKETCH_BITS))
+
+
+def sketch(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """A Bloom filter of the keys as a table of at most SKETCH_BITS / 64 words: at most 8 MB, whatever the rows."""
+    at = rows.select(_slot(keys).alias("slot"))
+    return at.groupBy(F.shiftright("slot", 6).alias("sketch_word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 AS int))")).alias("sketch_bits"))
+
+
+def maybe_in(rows: DataFrame, keys: list[str], filter_: DataFrame) -> DataFrame:
+    """`rows` with `maybe`: false only if the filter shows that the keys are not in it.
+
+    Saves shuffling most rows that an exact join would drop; the more rows a filter of
+    this size stands for, the less it saves. Exact steps must follow.
+    """
+    marked = rows.withColumn("slot", _slot(keys)).withColumn("sketch_word", F.shiftright("slot", 6))
+    bit = F.expr("shiftright(coalesce(sketch_bits, 0L), cast(slot & 63 AS int)) & 1L")
+    met = marked.join(F.broadcast(filter_), "sketch_word", "left")
+    return met.withColumn("maybe", bit == 1).drop("slot", "sketch_word", "sketch_bits")
+
+
 @cache
 def _own_folder() -> str:
     return tempfile.mkdtemp(prefix="tallyport-llm-")

@@ -16,7 +16,9 @@ on by themselves: the first place of each is found and the later ones are repeat
 
 Words of repeated windows are removed; nothing is left to extend after level 20, the
 window length asked for. Hot windows are summed on the map side, then met in joins that
-adaptive execution splits. Texts are shuffled once and read twice from that shuffle.
+adaptive execution splits. A Bloom filter of fixed size keeps most anchors that occur
+once, and most documents without a repeated one, out of the shuffles; exact steps follow
+it.
 
 Defined cases: a null text has no words; texts below the window length lose nothing;
 order is doc_id (null last), then text hash, then place; rows that agree in doc_id and
@@ -26,8 +28,6 @@ with its anchor's 64-bit hash and offset.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyport.llm import shingles
-from tallyport.llm.common import Stage, length_like, packed, row_key, table, unpacked
+from tallyport.llm.common import Stage, length_like, maybe_in, packed, row_key, sketch, table, unpacked
 
 WINDOW = 20
 KEY = [T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType())]
@@ -94,7 +94,7 @@ def anchor_rows(rows: DataFrame, window: int, with_key: bool) -> DataFrame:
 
 
 def extended_runs(met: DataFrame, window: int) -> DataFrame:
-    """(k1, k2, text, places) -> the runs at these anchor places.
+    """(k1, k2, doc, places) -> the runs at these anchor places.
 
     `windows` holds the hash of the window that starts o words before the anchor at
     index o, null where the run has no such window.
@@ -103,7 +103,7 @@ def extended_runs(met: DataFrame, window: int) -> DataFrame:
     def work(batches):
         for batch in batches:
             counts, anchor, place, lists = [], [], [], []
-            for text, wanted in zip(batch.column("text").to_pylist(), batch.column("places").to_pylist()):
+            for text, wanted in zip(batch.column("doc").field("text").to_pylist(), batch.column("places").to_pylist()):
                 words = shingles.plain_words(text)
                 hashes = shingles.word_hashes(words, len(words))
                 least, at = anchors(hashes, window)
@@ -115,8 +115,7 @@ def extended_runs(met: DataFrame, window: int) -> DataFrame:
                 for a, b in zip(starts[chosen].tolist(), ends[chosen].tolist()):
                     p = int(at[a])
                     row = [None] * (p - a + 1)
-                    for j, h in zip(range(a, b), whole[a:b].tolist()):
-                        row[p - j] = h
+                    row[p - b + 1 :] = whole[a:b].tolist()[::-1]
                     anchor.append(least[a])
                     place.append(p)
                     lists.append(row)
@@ -128,24 +127,38 @@ def extended_runs(met: DataFrame, window: int) -> DataFrame:
     return met.mapInArrow(work, RUNS)
 
 
-def repeated_starts(texts: DataFrame, window: int, stage: Stage) -> DataFrame:
-    """(k1, k2, starts): first words of windows that also start earlier. `texts` has k1, k2, text."""
+def repeated_anchors(texts: DataFrame, window: int, stage: Stage) -> DataFrame:
+    """(k1, k2, anchor, at, is_first): the runs whose anchor occurs more than once."""
     counted = anchor_rows(texts, window, with_key=False).groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
-    repeated = counted.filter("n > 1").select("anchor")
-    alive = stage.keep(anchor_rows(texts, window, with_key=True).join(repeated, "anchor", "left_semi"))
-    places = alive.groupBy("k1", "k2").agg(F.collect_set("at").alias("places"))
-    runs = extended_runs(texts.join(places.hint("shuffle_hash"), ["k1", "k2"]), window)
-    order = F.struct("k1", "k2", "at")
-    first = runs.groupBy("anchor").agg(F.min_by(F.struct("k1", "k2", "at", "windows"), order).alias("first"))
-    met = runs.join(first, "anchor").filter(order > F.struct("first.k1", "first.k2", "first.at"))
+    rough = sketch(counted.filter("n > 1"), ["anchor"])
+    likely = stage.keep(maybe_in(anchor_rows(texts, window, with_key=True), ["anchor"], rough).filter("maybe").drop("maybe"))
+    place = F.struct("k1", "k2", "at")
+    first = likely.groupBy("anchor").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    alive = stage.keep(likely.join(first, "anchor").select("k1", "k2", "anchor", "at", (place == F.col("first")).alias("is_first")))
+    stage.drop(likely)
+    return alive
+
+
+def repeated_starts(doubtful: DataFrame, alive: DataFrame, window: int, stage: Stage) -> DataFrame:
+    """(k1, k2, starts): first words of windows that also start earlier. `doubtful` has k1, k2, doc."""
+
+    def runs(of: DataFrame) -> DataFrame:
+        places = of.groupBy("k1", "k2").agg(F.collect_set("at").alias("places")).hint("shuffle_hash")
+        return extended_runs(doubtful.join(places, ["k1", "k2"]), window)
+
+    first = runs(alive.filter("is_first")).groupBy("anchor").agg(F.first("windows").alias("first_windows"))
+    met = runs(alive.filter("NOT is_first")).join(first, "anchor")
     # Offsets at which the run agrees with the first run, and those left for a search of their own.
     offsets = F.sequence(F.lit(0), F.size("windows") - 1)
-    same = F.filter(offsets, lambda o: F.get("windows", o) == F.get("first.windows", o))
-    other = F.filter(offsets, lambda o: F.get("windows", o).isNotNull() & ~F.coalesce(F.get("windows", o) == F.get("first.windows", o), F.lit(False)))
-    sorted_out = met.select("k1", "k2", "anchor", "at", "windows", same.alias("same"), other.alias("other"))
-    agreed = sorted_out.filter(F.size("same") > 0).select("k1", "k2", F.transform("same", lambda o: F.col("at") - o).alias("starts"))
-    single = sorted_out.select("k1", "k2", "anchor", "at", "windows", F.explode("other").alias("o")).select(
-        "k1", "k2", "anchor", "o", F.get("windows", F.col("o")).alias("window"), (F.col("at") - F.col("o")).alias("start"))
+    there, here = lambda o: F.get("first_windows", o), lambda o: F.get("windows", o)
+    same = F.filter(offsets, lambda o: here(o) == there(o))
+    other = F.filter(offsets, lambda o: here(o).isNotNull() & ~(here(o).eqNullSafe(there(o))))
+    sorted_out = stage.keep(met.select(
+        "k1", "k2", "anchor", "at", F.transform(same, lambda o: F.col("at") - o).alias("same"),
+        F.transform(other, lambda o: F.struct(o.alias("o"), here(o).alias("window"))).alias("other")))
+    agreed = sorted_out.filter(F.size("same") > 0).select("k1", "k2", F.col("same").alias("starts"))
+    single = sorted_out.select("k1", "k2", "anchor", "at", F.explode("other").alias("x")).select(
+        "k1", "k2", "anchor", "x.o", "x.window", (F.col("at") - F.col("x.o")).alias("start"))
     keys = ["anchor", "o", "window"]
     place = F.struct("k1", "k2", "start")
     earliest = single.groupBy(*keys).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
@@ -159,8 +172,13 @@ def judged(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     `docs` needs doc_id and text; `doc` is the row as given.
     """
     stage = Stage(docs.sparkSession, "substring")
-    starts = repeated_starts(docs.select(*row_key(), "text"), window, stage)
-    met = packed(docs, *row_key()).join(starts.hint("shuffle_hash"), ["k1", "k2"], "left").select("doc", "starts")
+    alive = repeated_anchors(docs.select(*row_key(), "text"), window, stage)
+    # Documents without a repeated anchor are finished where they are read.
+    asked = maybe_in(packed(docs, *row_key()), ["k1", "k2"], sketch(alive, ["k1", "k2"]))
+    doubtful = asked.filter("maybe").drop("maybe")
+    starts = repeated_starts(doubtful, alive, window, stage)
+    met = doubtful.join(starts.hint("shuffle_hash"), ["k1", "k2"], "left").select("doc", "starts")
+    clear = asked.filter("NOT maybe").select("doc", F.lit(None).cast("array<int>").alias("starts"))
 
     def work(batches):
         for batch in batches:
@@ -182,7 +200,7 @@ def judged(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     schema = T.StructType([met.schema["doc"], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
                            T.StructField("kept", T.StringType())])
-    return met.mapInArrow(work, schema)
+    return met.unionByName(clear).mapInArrow(work, schema)
 
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
