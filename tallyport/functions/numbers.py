@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 
 def units(col: Column | str, scale: int = 2) -> Column:
-    """Value as a whole number of 10**-scale units."""
+    """Value as a whole number of 10**-scale units; null for NaN, so one broken value ends no sum."""
     col = F.col(col) if isinstance(col, str) else col
-    return F.rint(col * F.lit(float(10**scale))).cast("long")
+    return F.rint(F.nanvl(col.cast("double"), F.lit(None).cast("double")) * F.lit(float(10**scale))).cast("long")
 
 
 def from_units(col: Column | str, scale: int = 2) -> Column:

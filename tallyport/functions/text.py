@@ -2,15 +2,28 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accented letters and their plain forms.
-ACCENTED = "áàâãäéêèëíîïìóôõöòúüùûçñ"
-PLAIN = "aaaaaeeeeiiiiooooouuuucn"
-MARKS = r"[\u0300-\u036f]"
+
+
+def _plain_letters() -> tuple[str, str]:
+    """Lower-case letters of the Latin blocks that decompose to one letter and marks, and those letters."""
+    accented, plain = [], []
+    for code in [*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00)]:
+        letter = chr(code)
+        base = "".join(c for c in unicodedata.normalize("NFKD", letter) if not unicodedata.combining(c))
+        if letter == letter.lower() and base != letter and len(base) == 1:
+            accented.append(letter)
+            plain.append(base)
+    return "".join(accented), "".join(plain)
+
+
+ACCENTED, PLAIN = _plain_letters()
+MARKS = r"\p{Mn}"
 
 
 def normalise(text: Column | str) -> Column:
@@ -25,7 +38,7 @@ def normalise(text: Column | str) -> Column:
 def has_text(text: Column | str) -> Column:
     """True when the normalised text is not empty; looks at the first letters only."""
     text = F.col(text) if isinstance(text, str) else text
-    return text.rlike(r"[^\u0300-\u036f]")
+    return text.rlike(r"[^\p{Mn}]")
 
 
 def words(text: Column | str) -> Column:

@@ -16,7 +16,7 @@ from tallyport.operators.facts import (
     product_categories,
 )
 from tallyport.roles import Commerce
-from tallyport.sources.staging import staged
+from tallyport.sources.staging import Keep, in_place
 
 DONE, DUE, BOUGHT = (
     "order_delivered_customer_date",
@@ -76,12 +76,16 @@ def delivery_routes(c: Commerce, min_orders: int = 20, n: int = 30) -> DataFrame
     )
 
 
-def _weight_bins(c: Commerce, max_weight: float, max_freight: float) -> DataFrame:
+def _below(rows: DataFrame, column: str, bound: float | None) -> DataFrame:
+    return rows.filter(F.col(column).isNotNull() if bound is None else F.col(column) < bound)
+
+
+def _weight_bins(c: Commerce, max_weight: float | None, max_freight: float | None) -> DataFrame:
     return (
-        c.order_items.filter(F.col("freight_value") < max_freight)
+        _below(c.order_items, "freight_value", max_freight)
         .select("order_id", "product_id", F.round("freight_value", 0).alias("freight"))
         .join(
-            c.products.filter(F.col("product_weight_g") < max_weight).select(
+            _below(c.products, "product_weight_g", max_weight).select(
                 "product_id", F.round("product_weight_g", -2).alias("weight_g")
             ),
             "product_id",
@@ -90,9 +94,9 @@ def _weight_bins(c: Commerce, max_weight: float, max_freight: float) -> DataFram
 
 
 def weight_freight_bins(
-    c: Commerce, max_weight: float = 50000, max_freight: float = 200, min_rows: int = 2
+    c: Commerce, max_weight: float | None = None, max_freight: float | None = None, min_rows: int = 2
 ) -> DataFrame:
-    """Item counts per weight (100 g) and freight (1 unit) bin; all bins, no row cap."""
+    """Item counts per weight (100 g) and freight (1 unit) bin; all bins unless bounds are given."""
     return (
         _weight_bins(c, max_weight, max_freight)
         .groupBy("weight_g", "freight")
@@ -102,7 +106,7 @@ def weight_freight_bins(
 
 
 def weight_freight_ontime(
-    c: Commerce, max_weight: float = 50000, max_freight: float = 200, min_rows: int = 2
+    c: Commerce, max_weight: float | None = None, max_freight: float | None = None, min_rows: int = 2
 ) -> DataFrame:
     """The same bins with their on-time share; a missing date counts as late."""
     orders = c.orders.select(
@@ -161,12 +165,16 @@ def category_reviews(c: Commerce) -> DataFrame:
     )
 
 
-def installment_share(c: Commerce, low: int = 1, high: int = 12) -> DataFrame:
-    """Share of each installment count within its payment type."""
-    # The window runs over at most high-low+1 aggregated rows per type.
+def installment_share(c: Commerce, low: int | None = None, high: int | None = None) -> DataFrame:
+    """Share of each installment count within its payment type; of all counts unless bounds are given."""
+    # The window runs over aggregated rows, one per type and installment count.
     within = Window.partitionBy("payment_type")
+    count = F.col("payment_installments")
+    wanted = count.isNotNull()
+    wanted = wanted if low is None else wanted & (count >= low)
+    wanted = wanted if high is None else wanted & (count <= high)
     return (
-        c.payments.filter(F.col("payment_installments").between(low, high))
+        c.payments.filter(wanted)
         .groupBy("payment_type", "payment_installments")
         .agg(F.count(F.lit(1)).alias("n"))
         .select(
@@ -182,10 +190,19 @@ def pivot_sum(rows: DataFrame, row_key: str, column_key: str, value: str, column
 
 
 def installment_matrix(c: Commerce, low: int = 1, high: int = 12) -> DataFrame:
+    """Shares by type, a column for each count from `low` to `high`, inst_other for all counts outside.
+
+    Columns must be named before the data are read, so the bounds are arguments; the
+    shares are of all payments.
+    """
+    share = installment_share(c)
+    inside = F.col("payment_installments").between(low, high)
+    column = F.when(inside, F.col("payment_installments").cast("string")).otherwise("other")
     wide = pivot_sum(
-        installment_share(c, low, high), "payment_type", "payment_installments", "share_pct", range(low, high + 1)
+        share.withColumn("column", column), "payment_type", "column", "share_pct", [*map(str, range(low, high + 1)), "other"]
     )
-    return wide.select("payment_type", *[F.col(str(i)).alias(f"inst_{i}") for i in range(low, high + 1)])
+    names = [*range(low, high + 1), "other"]
+    return wide.select("payment_type", *[F.col(str(i)).alias(f"inst_{i}") for i in names])
 
 
 def state_centroids(c: Commerce, values: DataFrame, state: str = "customer_state") -> DataFrame:
@@ -234,8 +251,11 @@ def platform_score(reviews: DataFrame) -> DataFrame:
     )
 
 
-def worst_example_per_category(c: Commerce, reviews: DataFrame, n: int = 10) -> DataFrame:
-    """The n lowest rated categories, each with its worst review as an example."""
+def worst_example_per_category(c: Commerce, reviews: DataFrame, n: int = 10, keep: Keep = in_place) -> DataFrame:
+    """The n lowest rated categories, each with its worst review as an example.
+
+    `keep` may write the n picked rows, which are read twice (see Staging).
+    """
     stats = (
         category_review_items(c, reviews)
         .groupBy("category")
@@ -263,7 +283,7 @@ def worst_example_per_category(c: Commerce, reviews: DataFrame, n: int = 10) ->
         .filter("rank = 1")
         .select("category", "review_id")
     )
-    picked = staged(stats.join(winners, "category", "left"), "worst_categories")
+    picked = keep(stats.join(winners, "category", "left"), "worst_categories")
     # `picked` has at most n rows, so it may be broadcast and the texts stay in place.
     examples = low.select("review_id", F.col("review_comment_message").alias("example")).join(
         F.broadcast(picked.select("review_id").distinct()), "review_id"

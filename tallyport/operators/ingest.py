@@ -6,13 +6,19 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, DateType, DecimalType, StructType, TimestampNTZType, TimestampType
+from pyspark.sql.types import ArrayType, DataType, DateType, DecimalType, MapType, StructType, TimestampNTZType, TimestampType
 
 from tallyport.functions.dates import lenient_timestamp
 from tallyport.schemas import BASE_TABLES, KEYS, MISSPELT, TIMESTAMP_COLUMNS, WIDE_ENTITIES
 
 SEQUENCE = "_sequence"
 
+# Texts that stand for a missing value in exports.
+NULL_TEXTS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
 # Approximate state centres (latitude, longitude) and the default.
 STATE_CENTRES = {
     "AC": (-8.77, -70.55), "AL": (-9.71, -35.73), "AM": (-3.07, -60.00), "AP": (1.41, -51.77),
@@ -67,50 +73,82 @@ def fill_text_nulls(
     return rows.withColumns({n: F.coalesce(n, F.lit("")) for n in columns})
 
 
+def null_texts_to_null(rows: DataFrame, spellings: Sequence[str] = NULL_TEXTS) -> DataFrame:
+    """Null for texts that only spell a missing value."""
+    texts = [f.name for f in rows.schema.fields if f.dataType.typeName() == "string"]
+    return rows.withColumns({n: F.when(~F.trim(n).isin(*spellings), F.col(n)) for n in texts})
+
+
+def finite(number: Column) -> Column:
+    """Null for NaN and infinities."""
+    return F.when(~F.isnan(number) & (F.abs(number) != float("inf")), number)
+
+
 def nan_to_null(rows: DataFrame) -> DataFrame:
     floats = [f.name for f in rows.schema.fields if f.dataType.typeName() in ("double", "float")]
-    return rows.withColumns({n: F.nanvl(n, F.lit(None).cast("double")) for n in floats})
+    return rows.withColumns({n: finite(F.col(n)) for n in floats})
+
 
+def cast_to(value: Column, kind: DataType) -> Column:
+    """Text as a number of the given type, null where it is none.
 
-def conform(rows: DataFrame, entity: str) -> DataFrame:
-    """Cast to the declared schema of a base table, its columns only."""
+    Whole numbers may be written with decimals (`3.0`, as exports write columns with
+    gaps); a fraction is not cut but null. Numbers are finite.
+    """
+    name = kind.typeName()
+    if name in ("timestamp", "string"):
+        return value
+    if name in ("double", "float"):
+        return finite(value.try_cast(kind))
+    number = finite(value.try_cast("double"))
+    return F.coalesce(value.try_cast(kind), F.when(number == F.floor(number), number.try_cast(kind)))
+
+
+def conform(rows: DataFrame, entity: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Cast to the declared schema of a base table; its columns and those in `keep` only."""
     schema = BASE_TABLES[entity]
-    return rows.select(
-        *[
-            (F.col(f.name) if f.dataType.typeName() in ("timestamp", "string") else F.col(f.name).try_cast(f.dataType))
-            .alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    return rows.select(*[cast_to(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields], *keep)
+
+
+def lost_values(rows: DataFrame, entity: str) -> DataFrame:
+    """One row: for each column of the entity, how many present values its cast would lose."""
+    given = null_texts_to_null(rows)
+    fields = BASE_TABLES[entity].fields
+    return given.agg(*[
+        F.count_if(F.col(f.name).isNotNull() & cast_to(F.col(f.name), f.dataType).isNull()).alias(f.name) for f in fields
+    ])
 
 
 def split_entity(wide: DataFrame, entity: str, order: Sequence[str | Column] = (SEQUENCE,)) -> DataFrame:
-    """Rows of one entity out of a wide frame: its columns, first row per key.
+    """Rows of one entity out of a wide frame: its columns, cast, first row per key.
 
-    Rows without a key value (an order without payment, say) are not an entity.
+    Keys are compared after the cast, so `1` and `1.0` are one key. Rows without a key
+    value (an order without payment, say) are not an entity.
     """
     keys = KEYS[entity]
     columns = BASE_TABLES[entity].fieldNames()
     extra = [o for o in order if isinstance(o, str) and o not in columns]
-    narrow = wide.select(*columns, *extra).dropna(subset=keys)
+    narrow = conform(wide.select(*columns, *extra), entity, extra).dropna(subset=keys)
     return keep_first(narrow, keys, order).select(*columns)
 
 
 def split_wide(wide: DataFrame, order: Sequence[str | Column] = (SEQUENCE,)) -> dict[str, DataFrame]:
     """The six entities of a wide export, each lazy and reading only its columns."""
-    clean = nan_to_null(parse_timestamps(rename_misspelt(wide)))
-    return {entity: conform(split_entity(clean, entity, order), entity) for entity in WIDE_ENTITIES}
+    clean = parse_timestamps(null_texts_to_null(rename_misspelt(wide)))
+    return {entity: split_entity(clean, entity, order) for entity in WIDE_ENTITIES}
 
 
 def clean_reviews(raw: DataFrame, order: Sequence[str | Column] = (SEQUENCE,)) -> DataFrame:
     """Reviews: first row per review_id, empty text instead of null, parsed dates."""
-    first = keep_first(raw, KEYS["order_reviews"], order)
+    first = keep_first(null_texts_to_null(raw), KEYS["order_reviews"], order)
     return conform(parse_timestamps(fill_text_nulls(first)), "order_reviews")
 
 
 def clean_geolocation(raw: DataFrame, order: Sequence[str | Column] = (SEQUENCE,)) -> DataFrame:
     """Geolocation: first row per zip prefix."""
-    return conform(keep_first(raw, KEYS["geolocation"], order), "geolocation")
+    extra = [o for o in order if isinstance(o, str) and o not in BASE_TABLES["geolocation"].fieldNames()]
+    cast = conform(null_texts_to_null(raw), "geolocation", extra).dropna(subset=KEYS["geolocation"])
+    return keep_first(cast, KEYS["geolocation"], order).drop(*extra)
 
 
 def zip_directory(customers: DataFrame, sellers: DataFrame) -> DataFrame:
@@ -162,11 +200,17 @@ def _normalised(col: Column, kind: DataType) -> Column:
     if isinstance(kind, DecimalType):
         return col.cast("double")
     if isinstance(kind, (TimestampType, TimestampNTZType)):
-        return F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss")
+        # ISO text; a fraction of a second only where there is one.
+        fraction = F.date_format(col, ".SSSSSS")
+        return F.concat(F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss"), F.when(fraction != ".000000", fraction).otherwise(""))
     if isinstance(kind, DateType):
         return F.date_format(col, "yyyy-MM-dd")
     if isinstance(kind, ArrayType):
         return F.transform(col, lambda x: _normalised(x, kind.elementType))
+    if isinstance(kind, MapType):
+        entries = F.transform(F.map_entries(col), lambda e: F.struct(
+            _normalised(e["key"], kind.keyType).alias("key"), _normalised(e["value"], kind.valueType).alias("value")))
+        return F.map_from_entries(entries)
     if isinstance(kind, StructType):
         fields = F.struct(*[_normalised(col[f.name], f.dataType).alias(f.name) for f in kind.fields])
         return F.when(col.isNotNull(), fields)
@@ -174,5 +218,5 @@ def _normalised(col: Column, kind: DataType) -> Column:
 
 
 def normalise_types(rows: DataFrame) -> DataFrame:
-    """Decimals to double and dates to ISO text, inside arrays and structs as well."""
+    """Decimals to double and dates to ISO text, inside arrays, structs and maps as well."""
     return rows.select(*[_normalised(F.col(f.name), f.dataType).alias(f.name) for f in rows.schema.fields])

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass, field
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Fields of a response and their defaults, allowed strategies.
-RESPONSE_SCHEMA = "strategy string, reasoning string, sql string, summary string"
-RESPONSE_DEFAULTS = {"strategy": "base_table", "reasoning": "", "sql": "", "summary": ""}
-STRATEGIES = ("view", "base_table", "error", "unknown")
-
-# Verbs that may not start a statement.
+# Verbs that change data.
 BLOCKED_VERBS = ("DROP", "DELETE", "INSERT", "UPDATE", "TRUNCATE", "ALTER", "CREATE")
 
 # Source prefix and suffix of table names, and names to correct.
@@ -22,14 +20,8 @@ TABLE_NAMES = {
     "order_item": "order_items",
 }
 
-
-def repaired_sql(sql: Column) -> Column:
-    """Correct table names of generated SQL, whatever their case."""
-    sql = F.regexp_replace(sql, rf"(?i)\b{TABLE_PREFIX}", "")
-    sql = F.regexp_replace(sql, rf"(?i){TABLE_SUFFIX}\b", "")
-    for wrong, right in TABLE_NAMES.items():
-        sql = F.regexp_replace(sql, rf"(?i)\b{wrong}\b", right)
-    return sql
+# What SQL text is made of: literals, quoted names, comments, and all else.
+SQL_PIECES = r"""(?s)'(?:[^']|'')*'|"(?:[^"]|"")*"|--[^\n]*|/\*.*?\*/|[^'"/-]+|."""
 
 
 def stripped(text: Column) -> Column:
@@ -37,113 +29,193 @@ def stripped(text: Column) -> Column:
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
-def cleaned_sql(text: Column) -> Column:
-    """SQL out of a code fence, without comment lines and final semicolon."""
-    fence = r"(?s)```(?:sql)?\s*\n?(.*?)```"
-    inner = F.when(text.contains("```") & text.rlike(fence), F.regexp_extract(text, fence, 1)).otherwise(text)
-    # A comment line can only be missed together with its dashes.
-    bare = F.when(inner.contains("--"), F.regexp_replace(stripped(inner), r"(?m)^--.*$", "")).otherwise(inner)
-    return F.regexp_replace(bare, r"^\s+|\s*;?\s*$", "")
+def unfenced(text: Column, language: str) -> Column:
+    """The inside of the first code fence, or the whole text where there is none."""
+    parts = F.split(text, "```")
+    return F.when(F.size(parts) >= 3, F.regexp_replace(parts[1], rf"(?i)^{language}\b", "")).otherwise(text)
+
+
+def table_names(code: Column) -> Column:
+    """Names without the source's prefix and suffix, known wrong ones corrected, in any case."""
+    bare = F.regexp_replace(code, rf"(?i)\b(?:{TABLE_PREFIX})?([a-z_]\w*?)(?:{TABLE_SUFFIX})?\b", "$1")
+    for wrong, right in TABLE_NAMES.items():
+        bare = F.regexp_replace(bare, rf"(?i)\b{wrong}\b", right)
+    return bare
+
+
+def sql_pieces(sql: Column) -> Column:
+    """The text cut into pieces, comments blanked, names in code corrected, literals untouched."""
+    def mend(piece: Column) -> Column:
+        comment = piece.startswith("--") | (piece.startswith("/*") & piece.endswith("*/"))
+        return F.when(piece.startswith("'"), piece).when(comment, " ").otherwise(table_names(piece))
+
+    return F.transform(F.regexp_extract_all(sql, F.lit(SQL_PIECES), F.lit(0)), mend)
+
+
+def repaired_sql(sql: Column) -> Column:
+    """SQL without comments, white space at its ends and a final semicolon, table names corrected."""
+    return F.regexp_replace(F.array_join(sql_pieces(sql), ""), r"^\s+|[\s;]+$", "")
+
+
+def outline(sql: Column) -> Column:
+    """SQL with every literal and quoted name emptied, for looking at its structure."""
+    empty = lambda p: F.when(p.startswith("'"), "''").when(p.startswith('"'), '""').otherwise(p)
+    return F.array_join(F.transform(sql_pieces(sql), empty), "")
 
 
-def starts_blocked(sql: Column) -> Column:
-    return sql.rlike(r"(?i)^\s*(" + "|".join(BLOCKED_VERBS) + ")")
+def changes_data(sql: Column) -> Column:
+    """More than one statement, or a verb that changes data where a statement or a part of it begins.
+
+    Such a verb may follow the WITH list or stand in it, so it is looked for after brackets too.
+    """
+    bones = outline(sql)
+    verb = bones.rlike(r"(?i)(^|[();])\s*(" + "|".join(BLOCKED_VERBS) + r")\b")
+    return verb | bones.rlike(r";\s*[^\s;]")
 
 
 def screen_sql(log: DataFrame, column: str = "sql") -> DataFrame:
-    """Add clean_sql and verdict: ok, empty, blocked (changes data) or not_select."""
-    clean = repaired_sql(cleaned_sql(F.col(column)))
-    upper = F.upper(F.col("clean_sql"))
-    return log.withColumn("clean_sql", clean).withColumn(
+    """Add clean_sql and verdict: ok, empty, blocked (changes data or several statements) or not_select."""
+    clean = F.col("clean_sql")
+    return log.withColumn("clean_sql", repaired_sql(unfenced(F.col(column), "sql"))).withColumn(
         "verdict",
-        F.when(F.col("clean_sql").isNull() | (F.col("clean_sql") == ""), "empty")
-        .when(starts_blocked(F.col("clean_sql")), "blocked")
-        .when(upper.startswith("SELECT") | upper.startswith("WITH"), "ok")
+        F.when(clean.isNull() | (clean == ""), "empty")
+        .when(changes_data(clean), "blocked")
+        .when(clean.rlike(r"(?i)^\(*\s*(SELECT|WITH)\b"), "ok")
         .otherwise("not_select"),
     )
 
 
-# Where the JSON may be: a code fence, the widest array or object, the whole text.
-PLACES = (r"(?s)```(?:json)?\s*\n?(.*?)```", r"(?s)(\[.*\])", r"(?s)(\{.*\})", r"(?s)(.*)")
+@dataclass(frozen=True)
+class ResponseType:
+    """Fields of one kind of response, in Spark's schema language, and what they must be.
 
+    `defaults` fill absent fields, `choices` are the values a field may have: others
+    make the response unusable, or become the default for fields in `lenient`; lists
+    keep only their allowed members. Fields in `sql` are screened and repaired,
+    `required` fields must be there.
+    """
 
-def _without_trailing_commas(text: Column) -> Column:
-    return F.regexp_replace(text, r",\s*([}\]])", "$1")
+    fields: Mapping[str, str]
+    defaults: Mapping[str, str] = field(default_factory=dict)
+    choices: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+    lenient: tuple[str, ...] = ()
+    sql: tuple[str, ...] = ()
+    required: tuple[str, ...] = ()
 
 
-def _quoted_keys(text: Column) -> Column:
-    return F.regexp_replace(text, r"([{,])\s*(\w+)\s*:", '$1"$2":')
+# The kinds of responses, their fields, defaults and allowed values.
+STRATEGIES = ("view", "base_table", "error", "unknown")
+ANALYSIS_TYPES = ("descriptive", "diagnostic", "predictive", "prescriptive")
+REPORTS = (
+    "line", "geo_map", "state_bar", "payment_bar", "payment_heatmap", "wordcloud", "category_bar", "scatter", "delivery_bar",
+    "basket_bar",
+)
+RESPONSE_TYPES = {
+    "query": ResponseType(
+        fields={"strategy": "string", "reasoning": "string", "sql": "string", "summary": "string"},
+        defaults={"strategy": "base_table", "reasoning": "", "sql": "", "summary": ""},
+        choices={"strategy": STRATEGIES}, sql=("sql",),
+    ),
+    "plan": ResponseType(
+        fields={"question_summary": "string", "analysis_type": "string", "tasks": "array<struct<agent string, task string>>",
+                "final_synthesis": "string"},
+        defaults={"question_summary": "", "analysis_type": "descriptive", "final_synthesis": ""},
+        choices={"analysis_type": ANALYSIS_TYPES}, lenient=("analysis_type",),
+    ),
+    "correction": ResponseType(
+        fields={"strategy": "string", "sql": "string", "reasoning": "string"},
+        defaults={"strategy": "base_table", "reasoning": ""}, sql=("sql",), required=("sql",),
+    ),
+    "reports": ResponseType(fields={"charts": "array<string>"}, choices={"charts": REPORTS}),
+    "sentiment": ResponseType(
+        fields={"sentiment_summary": "string", "top_positive_keywords": "array<string>",
+                "top_negative_keywords": "array<string>", "key_insights": "string"},
+        defaults={"sentiment_summary": "", "key_insights": ""},
+    ),
+}
+# The task every plan has.
+FIRST_AGENT, FIRST_TASK = "data_analyst", "Analyze the user question"
 
 
-def _repairs(text: Column) -> Column:
-    """Variants of a candidate with common mistakes undone."""
-    missing = F.length(F.regexp_replace(text, "[^{]", "")) - F.length(F.regexp_replace(text, "[^}]", ""))
-    closed = F.when(
-        missing > 0, _quoted_keys(_without_trailing_commas(F.concat(text, F.repeat(F.lit("}"), missing))))
-    )
-    return F.array(
-        _without_trailing_commas(text),
-        _without_trailing_commas(_quoted_keys(text)),
-        _without_trailing_commas(F.regexp_replace(text, r"'([^']*)':", '"$1":')),
-        _without_trailing_commas(F.regexp_replace(text, r'\\"', '"')),
-        closed,
-        F.regexp_extract(text, r"(?s)([\{\[].*[\}\]])", 1),
-    )
+def mended_json(text: Column) -> Column:
+    """The object in the text with commas before a bracket dropped and missing brackets added.
+
+    Quotes that are all escaped are taken as quotes.
+    """
+    inside = F.regexp_extract(text, r"(?s)\{.*", 0)
+    plain = F.when(inside.rlike(r'^\{\s*\\"'), F.replace(inside, F.lit('\\"'), F.lit('"'))).otherwise(inside)
+    missing = F.regexp_count(plain, F.lit(r"\{")) - F.regexp_count(plain, F.lit(r"\}"))
+    # What follows the last bracket is no part of a complete object.
+    ended = F.when(missing <= 0, F.regexp_extract(plain, r"(?s).*\}", 0)).otherwise(F.regexp_replace(plain, r",\s*$", ""))
+    return F.concat(F.regexp_replace(ended, r",(\s*[\]}])", "$1"), F.repeat(F.lit("}"), F.greatest(missing, F.lit(0))))
 
 
-def _valid(candidate: Column) -> Column:
-    """Parsed response, or null when the text is no response.
+def _read(text: Column, kind: ResponseType) -> Column:
+    """The object as a struct, null if it is none.
 
-    Spark's reader fills null fields for broken JSON, so a corrupt-record column
-    tells broken text from absent fields.
+    The reader takes names without quotes or in single ones; values in single quotes
+    are no JSON. A corrupt-record column tells broken text from absent fields.
     """
-    return F.from_json(
-        candidate,
-        RESPONSE_SCHEMA + ", _broken string",
-        {"columnNameOfCorruptRecord": "_broken", "allowSingleQuotes": "false"},
-    )
+    options = {"columnNameOfCorruptRecord": "_broken", "allowUnquotedFieldNames": "true", "allowSingleQuotes": "true"}
+    schema = ", ".join(f"{n} {t}" for n, t in {**kind.fields, "_broken": "string"}.items())
+    parsed = F.from_json(text, schema, options)
+    sound = text.rlike(r"^\s*\{") & ~text.rlike(r":\s*'")
+    return F.when(sound & parsed["_broken"].isNull(), parsed)
+
+
+def _usable(read: Column, kind: ResponseType) -> Column:
+    good = read.isNotNull()
+    for name, allowed in kind.choices.items():
+        if name not in kind.lenient and kind.fields[name] == "string":
+            good = good & F.coalesce(read[name], F.lit(kind.defaults[name])).isin(*allowed)
+    for name in kind.sql:
+        good = good & ~changes_data(F.coalesce(F.trim(read[name]), F.lit("")))
+    for name in kind.required:
+        good = good & read[name].isNotNull()
+    return good
+
+
+def _field(read: Column, name: str, kind: ResponseType) -> Column:
+    value, allowed = read[name], kind.choices.get(name)
+    if kind.fields[name].startswith("array"):
+        value = F.coalesce(value, F.array().cast(kind.fields[name]))
+        return F.filter(value, lambda x: x.isin(*allowed)) if allowed else value
+    if name in kind.defaults:
+        value = F.coalesce(value, F.lit(kind.defaults[name]))
+    if name in kind.lenient:
+        value = F.when(value.isin(*allowed), value).otherwise(F.lit(kind.defaults[name]))
+    return repaired_sql(value) if name in kind.sql else value
+
+
+def parse_responses(responses: DataFrame, column: str = "response", kind: ResponseType = RESPONSE_TYPES["query"]) -> DataFrame:
+    """Add the fields of the response type and `parsed` to a table of raw responses.
+
+    The object is read as it stands in the fence or the text, else with its usual
+    damage mended; what is no object, or breaks a rule of its type, has null fields.
+    """
+    body = unfenced(F.col(column), "json")
+    asis, mended = _read(F.regexp_extract(body, r"(?s)\{.*\}", 0), kind), _read(mended_json(body), kind)
+    hit = F.coalesce(*[F.when(_usable(r, kind), r) for r in (asis, mended)])
+    found = responses.withColumn("_hit", hit)
+    fields = {n: F.when(F.col("_hit").isNotNull(), _field(F.col("_hit"), n, kind)) for n in kind.fields}
+    return found.withColumns({**fields, "parsed": F.col("_hit").isNotNull()}).drop("_hit")
 
 
-def parse_responses(responses: DataFrame, column: str = "response") -> DataFrame:
-    """Add strategy, reasoning, sql, summary and `parsed` to a table of raw responses.
+def parse_plans(responses: DataFrame, column: str = "response") -> DataFrame:
+    """Plans; one without a task for the first agent gets that task added."""
+    tasks = F.col("tasks")
+    first = F.array(F.struct(F.lit(FIRST_AGENT).alias("agent"), F.lit(FIRST_TASK).alias("task")))
+    lacking = ~F.exists(tasks, lambda t: F.coalesce(t["agent"] == FIRST_AGENT, F.lit(False)))
+    return parse_responses(responses, column, RESPONSE_TYPES["plan"]).withColumn("tasks", F.when(lacking, F.concat(tasks, first)).otherwise(tasks))
 
-    The first candidate that is valid JSON and passes the checks is taken: a known
-    strategy and no statement that changes data. Absent fields get their defaults.
-    """
 
-    def acceptable(r: Column) -> Column:
-        strategy = F.coalesce(r["strategy"], F.lit(RESPONSE_DEFAULTS["strategy"]))
-        sql = F.coalesce(r["sql"], F.lit(""))
-        return r["_broken"].isNull() & strategy.isin(*STRATEGIES) & ~starts_blocked(sql)
-
-    def first_valid(attempts: Column) -> Column:
-        objects = F.filter(attempts, lambda a: a.rlike(r"^\s*\{"))
-        return F.get(F.filter(F.transform(objects, _valid), acceptable), F.lit(0))
-
-    # coalesce stops at the first hit, so a sound response is parsed once and the
-    # repairs run for broken ones only.
-    places = {
-        f"_place_{i}": stripped(F.regexp_extract(F.col(column), place, 1)) for i, place in enumerate(PLACES)
-    }
-    # The whole text is often the object itself; trying it twice gains nothing.
-    *_, found, whole = places
-    places[whole] = F.when(places[whole] != places[found], places[whole])
-    tries = [t for name in places for t in (first_valid(F.array(name)), first_valid(_repairs(F.col(name))))]
-    with_hit = responses.withColumns(places).withColumn("_hit", F.coalesce(*tries)).drop(*places)
-    fields = {
-        name: F.when(F.col("_hit").isNotNull(), F.coalesce(F.col(f"_hit.{name}"), F.lit(default)))
-        for name, default in RESPONSE_DEFAULTS.items()
-    }
-    fields["sql"] = repaired_sql(fields["sql"])
-    return with_hit.withColumns({**fields, "parsed": F.col("_hit").isNotNull()}).drop("_hit")
-
-
-def dedupe_results(results: DataFrame, sql: str, position: str, width: int = 100) -> DataFrame:
-    """Keep the first result per leading `width` characters of SQL.
-
-    Results without SQL are all kept.
+def dedupe_results(results: DataFrame, sql: str, position: str, width: int | None = None) -> DataFrame:
+    """Keep the first result per SQL text, or per its leading `width` characters if given.
+
+    Results without SQL are all kept. Whole texts are compared by digest.
     """
-    key = F.when(F.coalesce(sql, F.lit("")) != "", F.substring(sql, 1, width))
+    text = F.col(sql) if width is None else F.substring(sql, 1, width)
+    key = F.when(F.coalesce(sql, F.lit("")) != "", F.sha2(text, 256))
     first = Window.partitionBy("_key").orderBy(position)
     keyed = results.withColumn("_key", F.coalesce(key, F.concat(F.lit("row "), F.col(position).cast("string"))))
     return keyed.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_key", "_rank")

@@ -108,12 +108,17 @@ def tag_type(questions: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     return questions.withColumn("analysis_type", analysis_type(F.col("question"), rules))
 
 
-def top_n(question: Column, default: int = 20, at_most: int = 100) -> Column:
-    """First whole number in the question, kept within 1 and `at_most`."""
+def top_n(question: Column, default: int = 20, at_most: int | None = None) -> Column:
+    """First whole number in the question, at least 1 and at most `at_most` if given.
+
+    A number beyond a long is null: no row count can mean it.
+    """
     digits = F.regexp_extract(question, r"(\d+)", 1)
-    # Any longer number is above the maximum anyway.
-    number = F.when(F.length(digits) > 9, F.lit(at_most)).otherwise(F.try_to_number(digits, F.lit("999999999")).cast("int"))
-    return F.when(digits == "", F.lit(default)).otherwise(F.greatest(F.lit(1), F.least(F.lit(at_most), number)))
+    number = F.when(digits != "", F.greatest(F.lit(1).cast("long"), digits.try_cast("long")))
+    number = F.when(digits.try_cast("long").isNotNull(), number)
+    if at_most is not None:
+        number = F.least(F.lit(at_most).cast("long"), F.when(digits != "", F.coalesce(number, F.lit(at_most).cast("long"))))
+    return F.when(digits == "", F.lit(default).cast("long")).otherwise(number)
 
 
 def horizon_weeks(question: Column, default: int = 6) -> Column:
@@ -121,9 +126,11 @@ def horizon_weeks(question: Column, default: int = 6) -> Column:
 
     def amount(pattern: str) -> Column:
         digits = F.regexp_extract(question, pattern, 1)
-        return F.when(digits != "", digits.cast("decimal(38,0)").cast("long"))
+        # A number beyond a quarter of a long names no horizon.
+        number = digits.try_cast("long")
+        return F.when(number <= F.lit((2**63 - 1) // 4), number)
 
-    weeks, days, months = amount(r"(\d{1,18})\s*周"), amount(r"(\d{1,18})\s*天"), amount(r"(\d{1,17})\s*个?月")
+    weeks, days, months = amount(r"(\d+)\s*周"), amount(r"(\d+)\s*天"), amount(r"(\d+)\s*个?月")
     # greatest() skips nulls, so an absent number of days must stay absent.
     from_days = F.when(days.isNotNull(), F.greatest(F.lit(1).cast("long"), F.floor(days / 7)))
     return F.coalesce(weeks, from_days, months * 4, F.lit(default).cast("long"))

@@ -201,7 +201,7 @@ def _theme_value(themes: Sequence[Theme], pick) -> Column:
 
 
 def review_themes(
-    rows: DataFrame, themes: Sequence[Theme] = THEMES_PT, top: int = 5, limit: int = 6
+    rows: DataFrame, themes: Sequence[Theme] = THEMES_PT, top: int = 5, limit: int | None = None
 ) -> DataFrame:
     """Keyword themes of positive and negative reviews, most mentioned first.
 
@@ -249,7 +249,7 @@ def review_themes(
         )
         .filter("theme_no >= 0")
         .withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= limit)
+        .filter(F.lit(True) if limit is None else F.col("rank") <= limit)
         .select(
             "sentiment",
             "rank",

@@ -7,7 +7,7 @@ Every builder returns the published columns followed by additive components
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from tallyport.functions.numbers import from_units, percent, ratio_rounded, unit
 from tallyport.operators.facts import delivered_months, order_review_scores, product_categories
 from tallyport.roles import Commerce
 from tallyport.schemas import ROLLUP_KEYS, ROLLUPS
-from tallyport.sources.staging import staged
+from tallyport.sources.staging import Staging
 
 
 def order_totals(c: Commerce) -> DataFrame:
@@ -218,28 +218,60 @@ def seller_perf_exact(c: Commerce) -> DataFrame:
     )
 
 
-def refresh(spark: SparkSession, c: Commerce, root: str) -> DataFrame:
-    """Rebuild all rollups under `root` and report (rollup, row_count).
+COMPLETE = "_COMPLETE"
 
-    Written one directory each, replaced as a whole; counts come from the files.
-    The sums per order are computed once for the two rollups that need them.
+
+def _files(spark: SparkSession, root: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return path, path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def versions(spark: SparkSession, root: str) -> list[str]:
+    """Complete versions below `root`, oldest first."""
+    path, files = _files(spark, root)
+    if not files.exists(path(root)):
+        return []
+    names = sorted(s.getPath().getName() for s in files.listStatus(path(root)) if s.isDirectory())
+    return [n for n in names if n.startswith("v") and files.exists(path(f"{root}/{n}/{COMPLETE}"))]
+
+
+def refresh(spark: SparkSession, c: Commerce, root: str, names: Sequence[str] = (), kept_versions: int = 2) -> DataFrame:
+    """Rebuild all rollups (or those in `names`) under `root` and report (rollup, row_count).
+
+    They go to a new version folder whose marker is written last. Readers take the
+    newest complete version, so they see all rollups of one refresh, and a refresh that
+    fails half-way is never seen. Versions beyond the newest `kept_versions` are deleted.
     """
-    totals = staged(order_totals(c), "order_totals")
-    frames = build_all(c) | {
-        "mv_monthly_sales": monthly_sales(c, totals),
-        "mv_state_sales": state_sales(c, totals),
-    }
-    for name, frame in frames.items():
-        # Ranges over the whole key keep the ym statistics of each file tight and
-        # split a month that holds most rows.
-        keys = ROLLUP_KEYS[name]
-        frame.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(f"{root}/{name}")
-    return row_counts(read_all(spark, root))
+    done = versions(spark, root)
+    version = f"v{int(done[-1][1:]) + 1 if done else 1:010d}"
+    folder = f"{root}/{version}"
+    wanted = [n for n in BUILDERS if not names or n in names]
+    with Staging(spark, root) as stage:
+        frames = {n: BUILDERS[n](c) for n in wanted}
+        if {"mv_monthly_sales", "mv_state_sales"} <= set(wanted):
+            # The sums per order are computed once for the two rollups that need them.
+            totals = stage.keep(order_totals(c), "order_totals")
+            frames |= {"mv_monthly_sales": monthly_sales(c, totals), "mv_state_sales": state_sales(c, totals)}
+        for name, frame in frames.items():
+            # Ranges over the whole key keep the ym statistics of each file tight and
+            # split a month that holds most rows.
+            keys = ROLLUP_KEYS[name]
+            frame.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(f"{folder}/{name}")
+    path, files = _files(spark, root)
+    files.create(path(f"{folder}/{COMPLETE}")).close()
+    for old in versions(spark, root)[:-kept_versions]:
+        files.delete(path(f"{root}/{old}"), True)
+    return row_counts({n: spark.read.parquet(f"{folder}/{n}") for n in wanted})
 
 
 def read_all(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """All stored rollups as a dict of lazy frames."""
-    return {name: spark.read.parquet(f"{root}/{name}") for name in BUILDERS}
+    """The stored rollups of the newest complete version as a dict of lazy frames."""
+    done = versions(spark, root)
+    if not done:
+        raise FileNotFoundError(f"no complete rollups below {root}")
+    path, files = _files(spark, root)
+    folder = f"{root}/{done[-1]}"
+    return {n: spark.read.parquet(f"{folder}/{n}") for n in BUILDERS if files.exists(path(f"{folder}/{n}"))}
 
 
 def row_counts(frames: dict[str, DataFrame]) -> DataFrame:

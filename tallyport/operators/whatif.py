@@ -9,7 +9,7 @@ from tallyport.functions.numbers import fixed_text, from_units, percent, ratio,
 from tallyport.operators.facts import order_category_items, order_review_scores
 from tallyport.operators.metrics import worst_segments
 from tallyport.roles import Commerce
-from tallyport.sources.staging import staged
+from tallyport.sources.staging import Keep, in_place
 
 
 def what_if_remove(
@@ -70,12 +70,13 @@ def what_if_remove(
     )
 
 
-def remove_worst_sellers(c: Commerce, seller_rollup: DataFrame, n: int = 20) -> DataFrame:
+def remove_worst_sellers(c: Commerce, seller_rollup: DataFrame, n: int = 20, keep: Keep = in_place) -> DataFrame:
     """Remove the n worst rated sellers and every review their orders received.
 
-    `seller_rollup` is read more than once, so it should be a stored rollup.
+    `seller_rollup` is read more than once, so it should be a stored rollup; `keep` may
+    write the n worst ones (see Staging).
     """
-    worst = staged(worst_segments(seller_rollup, "seller_id", n), "worst_sellers")
+    worst = keep(worst_segments(seller_rollup, "seller_id", n), "worst_sellers")
     touched = c.order_items.select("order_id", "seller_id").join(worst.select("seller_id"), "seller_id", "left_semi")
     return what_if_remove(c.order_reviews, touched, worst, seller_rollup)
 
@@ -97,11 +98,10 @@ def category_scores(c: Commerce) -> DataFrame:
     )
 
 
-def remove_worst_categories(c: Commerce, n: int = 2) -> DataFrame:
-    """The same question for product categories."""
-    # Read three times below: worst segments, orders they touch, platform totals.
-    scores = staged(category_scores(c), "category_scores")
-    worst = staged(worst_segments(scores, "category", n), "worst_categories")
+def remove_worst_categories(c: Commerce, n: int = 2, keep: Keep = in_place) -> DataFrame:
+    """The same question for product categories; `keep` may write what is read several times (see Staging)."""
+    scores = keep(category_scores(c), "category_scores")
+    worst = keep(worst_segments(scores, "category", n), "worst_categories")
     touched = order_category_items(c).join(worst.select("category"), "category", "left_semi")
     return what_if_remove(c.order_reviews, touched, worst, scores)
 

@@ -6,6 +6,7 @@ joined to text so that results compare column by column with plain SQL.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,11 +21,11 @@ from tallyport.operators import whatif
 from tallyport.operators.reviews import Theme
 from tallyport.plans.metric import metric
 from tallyport.roles import Commerce
-from tallyport.session import prepare
-from tallyport.sources.staging import staged
+from tallyport.session import Tables
 from tallyport.star_roles import from_star
 
 Query = Callable[[SparkSession, str], DataFrame]
+TableQuery = Callable[[Tables, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 YEAR = 1997
@@ -68,11 +69,11 @@ def query(make: Callable[[Commerce], DataFrame]) -> Callable[[Commerce], DataFra
     return make
 
 
-def table_query(make: Query) -> Query:
+def table_query(make: TableQuery) -> TableQuery:
     """Register a query that reads star tables directly."""
 
     def run(spark: SparkSession, root: str) -> DataFrame:
-        return make(prepare(spark), root)
+        return make(Tables(spark), root)
 
     QUERIES[make.__name__] = run
     return make
@@ -123,8 +124,8 @@ on_rollup("basket_by_state", STATES, metrics.basket_by_state)
 on_rollup("top_categories", CATEGORIES, metrics.top_categories)
 on_rollup("geo_state_gmv", STATES, metrics.geo_state_gmv)
 on_rollup("kpi_overview", MONTHLY, metrics.kpi_overview)
-# No category of the star tables falls at small scale, so all trends are listed and flagged.
-on_rollup("declining_categories", CATEGORIES, lambda r: metrics.category_trends(r, only_declining=False))
+on_rollup("declining_categories", CATEGORIES, metrics.category_trends)
+on_rollup("category_trends", CATEGORIES, lambda r: metrics.category_trends(r, only_declining=False))
 on_rollup("what_if_sellers", SELLERS, lambda r: metrics.worst_sellers(r, n=5))
 on_rollup("monthly_series_long", MONTHLY, lambda r: diagnostics.long_form(r, "ym", ["total_gmv", "total_orders"]))
 on_rollup("anomaly_monthly_gmv", MONTHLY, lambda r: anomaly.monthly_gmv_outliers(r, 1.5))
@@ -137,23 +138,23 @@ def gmv_growth(c):
 
 
 @table_query
-def delivery_by_region_states(spark, root):
+def delivery_by_region_states(tables, root):
     region = (
-        spark.read.parquet(f"{root}/nation.parquet")
-        .join(spark.read.parquet(f"{root}/region.parquet").filter("r_name = 'AMERICA'"),
+        tables.parquet(f"{root}/nation.parquet")
+        .join(tables.parquet(f"{root}/region.parquet").filter("r_name = 'AMERICA'"),
               F.col("n_regionkey") == F.col("r_regionkey"))
         .select(F.col("n_name").alias("customer_state"))
     )
-    delivery = rollups.published(from_star(spark, root), DELIVERY)
+    delivery = rollups.published(from_star(tables.spark, root, tables), DELIVERY)
     return metrics.delivery_by_region_states(delivery, region)
 
 
 @table_query
-def adhoc_cte_sql(spark, root):
-    c = from_star(spark, root)
+def adhoc_cte_sql(tables, root):
+    c = from_star(tables.spark, root, tables)
     for name in ("orders", "customers"):
         getattr(c, name).createOrReplaceTempView(f"commerce_{name}")
-    return spark.sql("""
+    return tables.spark.sql("""
         WITH spread AS (
             SELECT customer_state, order_status, COUNT(*) AS orders,
                    LISTAGG(DISTINCT CAST(year(order_purchase_timestamp) AS STRING), ',')
@@ -180,6 +181,11 @@ def weight_freight_bins(c):
     return diagnostics.weight_freight_bins(c)
 
 
+@query
+def weight_freight_bins_bounded(c):
+    return diagnostics.weight_freight_bins(c, max_weight=50000, max_freight=200)
+
+
 @query
 def weight_freight_ontime(c):
     return diagnostics.weight_freight_ontime(c)
@@ -200,6 +206,11 @@ def installment_share(c):
     return diagnostics.installment_share(c)
 
 
+@query
+def installment_share_bounded(c):
+    return diagnostics.installment_share(c, 1, 12)
+
+
 @query
 def installment_matrix(c):
     return diagnostics.installment_matrix(c)
@@ -254,9 +265,7 @@ def weight_freight_corr(c):
 
 @query
 def trim_p95(c):
-    # The points are read three times: for the limits, the fallback and the result.
-    points = staged(diagnostics.weight_freight_bins(c), "weight_freight_bins")
-    return diagnostics.trim_p95(points, "weight_g", "freight")
+    return diagnostics.trim_p95(diagnostics.weight_freight_bins(c), "weight_g", "freight")
 
 
 @query
@@ -267,11 +276,18 @@ def axis_ranges(c):
 # --- view-first metrics and reconciliation -----------------------------------
 
 
-@query
-def metric_view_hit(c):
-    return metric(
-        c, rollups.build_all(c), ["customer_state"], ["total_gmv", "total_orders", "avg_basket"], {"ym": f"{YEAR}*"}
-    )
+def _stored(tables: Tables, root: str, *names: str) -> tuple[Commerce, dict[str, DataFrame]]:
+    """Rollups refreshed into the warehouse and read back from there, and the base tables."""
+    c = from_star(tables.spark, root, tables)
+    folder = f"{tables.spark.conf.get('spark.sql.warehouse.dir')}/tallyport-rollups-{hashlib.md5(root.encode()).hexdigest()}"
+    rollups.refresh(tables.spark, c, folder, names)
+    return c, rollups.read_all(tables.spark, folder)
+
+
+@table_query
+def metric_view_hit(tables, root):
+    c, stored = _stored(tables, root, STATES)
+    return metric(c, stored, ["customer_state"], ["total_gmv", "total_orders", "avg_basket"], {"ym": f"{YEAR}*"})
 
 
 @query
@@ -281,9 +297,10 @@ def metric_base_fallback(c):
     )
 
 
-@query
-def reconcile_state_sales(c):
-    view = metrics.state_ranking(rollups.published(c, STATES), YEAR)
+@table_query
+def reconcile_state_sales(tables, root):
+    c, stored = _stored(tables, root, STATES)
+    view = metrics.state_ranking(stored[STATES], YEAR)
     base = diagnostics.state_ranking_base(c, YEAR)
     return compare.reconcile(view, base, ["customer_state"], ["total_gmv", "total_orders"])
 
@@ -316,12 +333,12 @@ def anomaly_summary(c):
 
 @query
 def what_if_remove_worst(c):
-    return whatif.remove_worst_sellers(c, staged(rollups.published(c, SELLERS), SELLERS))
+    return whatif.remove_worst_sellers(c, rollups.published(c, SELLERS))
 
 
 @query
 def what_if_summary(c):
-    return whatif.what_if_sentence(whatif.remove_worst_sellers(c, staged(rollups.published(c, SELLERS), SELLERS)))
+    return whatif.what_if_sentence(whatif.remove_worst_sellers(c, rollups.published(c, SELLERS)))
 
 
 @query
@@ -465,7 +482,7 @@ def decision_signals(c):
 @query
 def sentiment_summary(c):
     # Scores, keywords and themes each read the rows.
-    return reviews.sentiment_summary(staged(reviews.review_rows(c), "review_rows"), THEMES, STOP_WORDS)
+    return reviews.sentiment_summary(reviews.review_rows(c), THEMES, STOP_WORDS)
 
 
 @query
@@ -536,8 +553,8 @@ def split_payments(c):
 
 
 @table_query
-def dedupe_keep_first(spark, root):
-    lines = spark.read.parquet(f"{root}/lineitem.parquet")
+def dedupe_keep_first(tables, root):
+    lines = tables.parquet(f"{root}/lineitem.parquet")
     order = [
         "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
         "l_returnflag", "l_linestatus",
@@ -612,48 +629,54 @@ def normalise_types(c):
 # --- questions ---------------------------------------------------------------
 
 
-def _questions(spark: SparkSession, root: str) -> DataFrame:
+def _questions(tables: Tables, root: str) -> DataFrame:
     """Conversation turns as questions; the turn number adds an amount to extract."""
     text = F.col("text")
     amount = F.when(F.col("turn") % 4 == 0, F.concat(text, F.lit(" top "), "conv_id"))
     amount = amount.when(F.col("turn") % 4 == 1, F.concat(text, F.lit(" "), "turn", F.lit(" 周")))
     amount = amount.when(F.col("turn") % 4 == 2, F.concat(text, F.lit(" "), "conv_id", F.lit("天")))
-    return spark.read.parquet(f"{root}/conversations.parquet").select("conv_id", "turn", amount.otherwise(text).alias("question"))
+    return tables.parquet(f"{root}/conversations.parquet").select("conv_id", "turn", amount.otherwise(text).alias("question"))
 
 
 @table_query
-def question_type(spark, root):
-    tagged = questions.needed_jobs(questions.tag_type(_questions(spark, root), RULES), RULES)
+def question_type(tables, root):
+    tagged = questions.needed_jobs(questions.tag_type(_questions(tables, root), RULES), RULES)
     return tagged.drop("question")
 
 
 @table_query
-def question_params(spark, root):
-    return questions.with_params(_questions(spark, root)).drop("question")
+def question_params(tables, root):
+    return questions.with_params(_questions(tables, root)).drop("question")
 
 
 @table_query
-def forecast_granularity(spark, root):
+def question_params_bounded(tables, root):
+    q = _questions(tables, root)
+    return q.select("conv_id", "turn", questions.top_n(F.col("question"), at_most=100).alias("top_n"))
+
+
+@table_query
+def forecast_granularity(tables, root):
     weeks = F.col("horizon_weeks")
-    return questions.with_params(_questions(spark, root)).select(
+    return questions.with_params(_questions(tables, root)).select(
         "conv_id", "turn", weeks, forecast.granularity(weeks).alias("granularity"),
         forecast.periods(weeks).alias("periods"),
     )
 
 
 @table_query
-def question_parts(spark, root):
-    return questions.split_parts(_questions(spark, root), RULES).drop("question")
+def question_parts(tables, root):
+    return questions.split_parts(_questions(tables, root), RULES).drop("question")
 
 
 @table_query
-def question_reports(spark, root):
-    return questions.select_reports(questions.tag_type(_questions(spark, root), RULES), RULES).drop("question")
+def question_reports(tables, root):
+    return questions.select_reports(questions.tag_type(_questions(tables, root), RULES), RULES).drop("question")
 
 
 @table_query
-def followup_context(spark, root):
-    turns = spark.read.parquet(f"{root}/conversations.parquet")
+def followup_context(tables, root):
+    turns = tables.parquet(f"{root}/conversations.parquet")
     return questions.follow_up_context(turns, rules=RULES)
 
 
@@ -672,13 +695,13 @@ def focus_entities(c):
 # --- logs --------------------------------------------------------------------
 
 
-def _responses(spark: SparkSession, root: str) -> DataFrame:
+def _responses(tables: Tables, root: str) -> DataFrame:
     """Model responses with every kind of damage, one per event."""
     kind = F.pmod("event_id", F.lit(11))
     sql = F.format_string("SELECT * FROM olist_orders_dataset WHERE k = %d", "event_id")
     good = F.format_string('{"strategy": "view", "sql": "%s", "summary": "%s"}', sql, "event_type")
     keys = F.format_string('{strategy: "base_table", sql: "%s", summary: "%s"}', sql, "event_type")
-    return spark.read.parquet(f"{root}/events.parquet").select(
+    return tables.parquet(f"{root}/events.parquet").select(
         "event_id",
         F.when(kind == 0, good)
         .when(kind == 1, F.concat(F.lit("Here:\n```json\n"), good, F.lit("\n```\nDone.")))
@@ -696,13 +719,58 @@ def _responses(spark: SparkSession, root: str) -> DataFrame:
 
 
 @table_query
-def parse_responses(spark, root):
-    return logs.parse_responses(_responses(spark, root)).drop("response")
+def parse_responses(tables, root):
+    return logs.parse_responses(_responses(tables, root)).drop("response")
+
+
+def _typed_responses(tables: Tables, root: str) -> DataFrame:
+    """Responses of four more types built from each event's type and number, some with damage."""
+    third = F.pmod("event_id", F.lit(3))
+    end = F.when(third == 0, ", }").when(third == 1, "").otherwise("}")
+    text = lambda fmt, *cols: F.concat(F.format_string(fmt, *cols), end)
+    kind = F.when(F.col("event_type") == "view", "predictive").otherwise(F.col("event_type"))
+    agent = F.when(F.pmod("event_id", F.lit(2)) == 0, "data_analyst").otherwise(F.col("event_type"))
+    verb = F.when(F.pmod("event_id", F.lit(5)) == 0, "DELETE FROM").otherwise("SELECT * FROM")
+    plan = '{"question_summary": "%s", "analysis_type": "%s", "tasks": [{"agent": "%s", "task": "t%d"}]'
+    return tables.parquet(f"{root}/events.parquet").select(
+        "event_id",
+        text(plan, "event_type", kind, agent, "event_id").alias("plan"),
+        text('{"strategy": "view", "sql": "%s olist_orders_dataset", "reasoning": "%s"', verb, "event_type").alias("correction"),
+        text('{"charts": ["line", "%s", "scatter"]', "event_type").alias("reports"),
+        text('{"sentiment_summary": "%s", "top_positive_keywords": ["a%d"]', "event_type", "event_id").alias("sentiment"),
+    )
+
+
+def _typed(tables: Tables, root: str, name: str) -> DataFrame:
+    return logs.parse_responses(_typed_responses(tables, root), name, logs.RESPONSE_TYPES[name])
+
+
+@table_query
+def parse_plans(tables, root):
+    parsed = logs.parse_plans(_typed_responses(tables, root), "plan")
+    tasks = F.array_join(F.transform("tasks", lambda t: F.concat_ws(":", t["agent"], t["task"])), "; ")
+    return parsed.select("event_id", "question_summary", "analysis_type", tasks.alias("tasks"), "final_synthesis", "parsed")
+
+
+@table_query
+def parse_corrections(tables, root):
+    return _typed(tables, root, "correction").select("event_id", "strategy", "sql", F.col("reasoning").alias("why"), "parsed")
+
+
+@table_query
+def parse_report_choices(tables, root):
+    return _typed(tables, root, "reports").select("event_id", joined("charts"), "parsed")
+
+
+@table_query
+def parse_sentiments(tables, root):
+    return _typed(tables, root, "sentiment").select(
+        "event_id", "sentiment_summary", joined("top_positive_keywords"), joined("top_negative_keywords"), "key_insights", "parsed")
 
 
 def _sql_log(c: Commerce) -> DataFrame:
-    """Generated SQL, one per order: good, fenced, commented, misnamed, harmful."""
-    kind = F.pmod("order_id", F.lit(8))
+    """Generated SQL, one per order: good, fenced, commented, misnamed, harmful, stacked, hidden in a WITH list."""
+    kind = F.pmod("order_id", F.lit(12))
     plain = F.format_string("SELECT * FROM olist_order_items_dataset WHERE customer_id = %d", "customer_id")
     text = (
         F.when(kind == 0, plain)
@@ -712,6 +780,10 @@ def _sql_log(c: Commerce) -> DataFrame:
         .when(kind == 4, F.lit("drop table orders"))
         .when(kind == 5, F.lit("EXPLAIN SELECT 1"))
         .when(kind == 6, F.lit("SELECT * FROM order_payments JOIN order_review USING (order_id)"))
+        .when(kind == 8, F.concat(plain, F.lit("; DROP TABLE orders")))
+        .when(kind == 9, F.lit("WITH x AS (SELECT 1) DELETE FROM orders"))
+        .when(kind == 10, F.concat(plain, F.lit(" AND note = 'olist_a; drop table x'")))
+        .when(kind == 11, F.concat(F.lit("/* delete; */ "), plain, F.lit(" -- drop")))
         .otherwise(F.lit("  "))
     )
     return c.orders.select("order_id", text.alias("sql"))
@@ -727,10 +799,15 @@ def dedupe_results(c):
     return logs.dedupe_results(_sql_log(c).filter("trim(sql) != ''"), "sql", "order_id")
 
 
+@query
+def dedupe_results_by_prefix(c):
+    return logs.dedupe_results(_sql_log(c).filter("trim(sql) != ''"), "sql", "order_id", width=60).select("order_id")
+
+
 @table_query
-def strategy_summary(spark, root):
+def strategy_summary(tables, root):
     kind = F.col("event_type")
-    results = spark.read.parquet(f"{root}/events.parquet").select(
+    results = tables.parquet(f"{root}/events.parquet").select(
         F.concat_ws("-", "user_id", F.date_format("ts", "MMddHH")).alias("question_id"),
         "event_id",
         (kind == "error").alias("failed"),

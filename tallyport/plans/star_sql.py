@@ -10,7 +10,6 @@ from __future__ import annotations
 from tallyport.operators.anomaly import GMV_HINT, SCORE_HINT, STATE_HINT
 from tallyport.operators.questions import DEFAULT_REPORTS, SHORT_LENGTH
 from tallyport.operators.reviews import NO_THEME, NO_THEME_SUMMARY
-from tallyport.functions.text import ACCENTED, PLAIN
 from tallyport.plans import star
 
 YEAR = star.YEAR
@@ -69,7 +68,7 @@ ROLES = {
         FROM t JOIN o ON t.order_id = o.order_id JOIN i ON i.order_id = o.order_id
         JOIN p ON p.product_id = i.product_id WHERE t.message IS NOT NULL)""",
     "n": f"""n AS (
-        SELECT *, regexp_replace(translate(lower(message), '{ACCENTED}', '{PLAIN}'), '[̀-ͯ]', '', 'g') AS norm
+        SELECT *, strip_accents(lower(message)) AS norm
         FROM rows)""",
 }
 NEEDS = {"d": ["o"], "rows": ["o", "i", "p", "t"], "n": ["rows"]}
@@ -254,7 +253,7 @@ SQL["gmv_growth"] = on(
         FROM mv a LEFT JOIN mv b ON a.customer_state = b.customer_state
          AND b.ym = strftime(CAST(a.ym || '-01' AS DATE) - INTERVAL 1 MONTH, '%Y-%m')""",
 )
-SQL["declining_categories"] = on(
+SQL["category_trends"] = on(
     CAT,
     f"""SELECT category, months, {rnd('slope', 2)} AS gmv_slope_per_month, last_gmv, slope < 0 AS declining FROM (
         SELECT product_category_english AS category, count(*) AS months,
@@ -262,6 +261,7 @@ SQL["declining_categories"] = on(
           arg_max(total_gmv, ym) AS last_gmv
         FROM mv WHERE product_category_english IS NOT NULL GROUP BY 1) WHERE months >= 3""",
 )
+SQL["declining_categories"] = f"SELECT * FROM ({SQL['category_trends']}) WHERE declining"
 SQL["monthly_series_long"] = on(
     M,
     """SELECT ym, 'total_gmv' AS series, total_gmv AS value FROM mv
@@ -292,15 +292,21 @@ SQL["delivery_routes"] = with_roles(
 _BINS = with_roles(
     "i p",
     """SELECT round(weight, -2) AS weight_g, round(freight, 0) AS freight, count(*) AS cnt
-       FROM i JOIN p USING (product_id) WHERE weight < 50000 AND freight < 200
+       FROM i JOIN p USING (product_id) WHERE weight IS NOT NULL AND freight IS NOT NULL
        GROUP BY 1, 2 HAVING count(*) >= 2""",
 )
 SQL["weight_freight_bins"] = _BINS
+SQL["weight_freight_bins_bounded"] = with_roles(
+    "i p",
+    """SELECT round(weight, -2) AS weight_g, round(freight, 0) AS freight, count(*) AS cnt
+       FROM i JOIN p USING (product_id) WHERE weight < 50000 AND freight < 200
+       GROUP BY 1, 2 HAVING count(*) >= 2""",
+)
 SQL["weight_freight_ontime"] = with_roles(
     "o i p",
     """SELECT round(weight, -2) AS product_weight_g, round(freight, 0) AS freight_value, count(*) AS order_count,
          CAST(sum(CASE WHEN done <= due THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS on_time_rate
-       FROM i JOIN p USING (product_id) JOIN o USING (order_id) WHERE weight < 50000 AND freight < 200
+       FROM i JOIN p USING (product_id) JOIN o USING (order_id) WHERE weight IS NOT NULL AND freight IS NOT NULL
        GROUP BY 1, 2 HAVING count(*) >= 2""",
 )
 SQL["trim_p95"] = f"""WITH b AS ({_BINS}),
@@ -329,12 +335,14 @@ SQL["category_reviews"] = with_roles(
 )
 _SHARE = f"""SELECT payment_type, installments AS payment_installments, count(*) AS n,
     {rnd("count(*) * 100.0::DOUBLE / sum(count(*)) OVER (PARTITION BY payment_type)", 1)} AS share_pct
-    FROM pay WHERE installments BETWEEN 1 AND 12 GROUP BY 1, 2"""
+    FROM pay WHERE installments IS NOT NULL GROUP BY 1, 2"""
 SQL["installment_share"] = with_roles("pay", _SHARE)
+SQL["installment_share_bounded"] = with_roles("pay", _SHARE.replace("IS NOT NULL", "BETWEEN 1 AND 12"))
 SQL["installment_matrix"] = with_roles(
     "pay",
     "SELECT payment_type, "
     + ", ".join(f"sum(CASE WHEN payment_installments = {i} THEN share_pct END) AS inst_{i}" for i in range(1, 13))
+    + ", sum(CASE WHEN payment_installments NOT BETWEEN 1 AND 12 THEN share_pct END) AS inst_other"
     + " FROM share GROUP BY 1",
     f"share AS ({_SHARE})",
 )
@@ -618,7 +626,7 @@ def quoted(words) -> str:
 
 
 def normalised(text: str) -> str:
-    return f"regexp_replace(translate(lower({text}), '{ACCENTED}', '{PLAIN}'), '[̀-ͯ]', '', 'g')"
+    return f"strip_accents(lower({text}))"
 
 
 def token_list(text: str) -> str:
@@ -859,10 +867,11 @@ _PARAMS = f"""{_QUESTIONS}, raw AS (SELECT *, regexp_extract(question, '(\\d+)',
       nullif(regexp_extract(question, '(\\d+)\\s*周', 1), '') AS w, nullif(regexp_extract(question, '(\\d+)\\s*天', 1), '') AS d,
       nullif(regexp_extract(question, '(\\d+)\\s*个?月', 1), '') AS m FROM q),
     params AS (SELECT conv_id, turn,
-      CAST(CASE WHEN digits = '' THEN 20 ELSE greatest(1, least(100, CAST(digits AS HUGEINT))) END AS INTEGER) AS top_n,
+      CASE WHEN digits = '' THEN 20 ELSE greatest(1, CAST(digits AS BIGINT)) END AS top_n,
       CAST(coalesce(CAST(w AS HUGEINT), CASE WHEN d IS NOT NULL THEN greatest(1, CAST(d AS HUGEINT) // 7) END, CAST(m AS HUGEINT) * 4, 6) AS BIGINT) AS horizon_weeks
       FROM raw)"""
 SQL["question_params"] = f"WITH {_PARAMS} SELECT * FROM params"
+SQL["question_params_bounded"] = f"WITH {_PARAMS} SELECT conv_id, turn, least(100, top_n) AS top_n FROM params"
 SQL["forecast_granularity"] = f"""WITH {_PARAMS} SELECT conv_id, turn, horizon_weeks,
     CASE WHEN horizon_weeks <= 1 THEN 'daily' WHEN horizon_weeks <= 12 THEN 'weekly' WHEN horizon_weeks <= 48 THEN 'monthly'
          ELSE 'annual' END AS granularity,
@@ -921,20 +930,40 @@ SQL["parse_responses"] = """
     FROM (SELECT *, event_id % 11 AS kind FROM events)"""
 SQL["screen_sql_log"] = """
     SELECT o_orderkey AS order_id,
-      CASE o_orderkey % 8 WHEN 3 THEN 'with x as (select 1 from order_items) select * from x' WHEN 4 THEN 'drop table orders'
+      CASE o_orderkey % 12 WHEN 3 THEN 'with x as (select 1 from order_items) select * from x' WHEN 4 THEN 'drop table orders'
         WHEN 5 THEN 'EXPLAIN SELECT 1' WHEN 6 THEN 'SELECT * FROM payments JOIN order_reviews USING (order_id)' WHEN 7 THEN ''
+        WHEN 8 THEN 'SELECT * FROM order_items WHERE customer_id = ' || o_custkey || '; DROP TABLE orders'
+        WHEN 9 THEN 'WITH x AS (SELECT 1) DELETE FROM orders'
+        WHEN 10 THEN 'SELECT * FROM order_items WHERE customer_id = ' || o_custkey || ' AND note = ''olist_a; drop table x'''
         ELSE 'SELECT * FROM order_items WHERE customer_id = ' || o_custkey END AS clean_sql,
-      CASE o_orderkey % 8 WHEN 4 THEN 'blocked' WHEN 5 THEN 'not_select' WHEN 7 THEN 'empty' ELSE 'ok' END AS verdict
+      CASE WHEN o_orderkey % 12 IN (4, 8, 9) THEN 'blocked' WHEN o_orderkey % 12 = 5 THEN 'not_select'
+           WHEN o_orderkey % 12 = 7 THEN 'empty' ELSE 'ok' END AS verdict
     FROM orders"""
-SQL["dedupe_results"] = """
-    WITH log AS (SELECT o_orderkey AS order_id, CASE o_orderkey % 8
+_SQL_LOG = """log AS (SELECT o_orderkey AS order_id, CASE o_orderkey % 12
         WHEN 0 THEN 'SELECT * FROM olist_order_items_dataset WHERE customer_id = ' || o_custkey
         WHEN 1 THEN '```sql' || chr(10) || 'SELECT * FROM olist_order_items_dataset WHERE customer_id = ' || o_custkey || ';' || chr(10) || '```'
         WHEN 2 THEN '-- generated' || chr(10) || 'SELECT * FROM olist_order_items_dataset WHERE customer_id = ' || o_custkey || ' ;'
         WHEN 3 THEN 'with x as (select 1 from OLIST_order_item) select * from x;' WHEN 4 THEN 'drop table orders'
-        WHEN 5 THEN 'EXPLAIN SELECT 1' WHEN 6 THEN 'SELECT * FROM order_payments JOIN order_review USING (order_id)' END AS sql
-      FROM orders)
-    SELECT min(order_id) AS order_id, sql FROM log WHERE sql IS NOT NULL GROUP BY sql"""
+        WHEN 5 THEN 'EXPLAIN SELECT 1' WHEN 6 THEN 'SELECT * FROM order_payments JOIN order_review USING (order_id)'
+        WHEN 8 THEN 'SELECT * FROM olist_order_items_dataset WHERE customer_id = ' || o_custkey || '; DROP TABLE orders'
+        WHEN 9 THEN 'WITH x AS (SELECT 1) DELETE FROM orders'
+        WHEN 10 THEN 'SELECT * FROM olist_order_items_dataset WHERE customer_id = ' || o_custkey || ' AND note = ''olist_a; drop table x'''
+        WHEN 11 THEN '/* delete; */ SELECT * FROM olist_order_items_dataset WHERE customer_id = ' || o_custkey || ' -- drop' END AS sql
+      FROM orders)"""
+SQL["dedupe_results"] = f"WITH {_SQL_LOG} SELECT min(order_id) AS order_id, sql FROM log WHERE sql IS NOT NULL GROUP BY sql"
+SQL["dedupe_results_by_prefix"] = f"WITH {_SQL_LOG} SELECT min(order_id) AS order_id FROM log WHERE sql IS NOT NULL GROUP BY left(sql, 60)"
+SQL["parse_plans"] = """
+    SELECT event_id, event_type AS question_summary, CASE WHEN event_type = 'view' THEN 'predictive' ELSE 'descriptive' END AS analysis_type,
+      CASE WHEN event_id % 2 = 0 THEN 'data_analyst:t' || event_id
+           ELSE event_type || ':t' || event_id || '; data_analyst:Analyze the user question' END AS tasks,
+      '' AS final_synthesis, true AS parsed FROM events"""
+SQL["parse_corrections"] = """
+    SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN 'view' END AS strategy,
+      CASE WHEN event_id % 5 <> 0 THEN 'SELECT * FROM orders' END AS sql, CASE WHEN event_id % 5 <> 0 THEN event_type END AS why,
+      event_id % 5 <> 0 AS parsed FROM events"""
+SQL["parse_report_choices"] = "SELECT event_id, 'line, scatter' AS charts, true AS parsed FROM events"
+SQL["parse_sentiments"] = """SELECT event_id, event_type AS sentiment_summary, 'a' || event_id AS top_positive_keywords,
+    '' AS top_negative_keywords, '' AS key_insights, true AS parsed FROM events"""
 SQL["strategy_summary"] = """
     WITH log AS (SELECT user_id || '-' || strftime(ts, '%m%d%H') AS question_id, event_id,
         CASE event_type WHEN 'error' THEN 'error' WHEN 'view' THEN 'view' WHEN 'purchase' THEN 'base_table' ELSE 'unknown' END AS s

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyport.schemas import BASE_TABLES
-from tallyport.session import prepare, size_shuffles
+from tallyport.session import Tables
 
 
 ROLES = (
@@ -59,12 +59,11 @@ def from_frames(tables: Mapping[str, DataFrame], delivered_status: str = "delive
 
 
 def from_catalog(spark: SparkSession, database: str | None = None) -> Commerce:
-    prepare(spark)
+    tables = Tables(spark)
     prefix = f"{database}." if database else ""
-    return from_tables(lambda name: spark.table(prefix + name))
+    return from_tables(lambda name: tables.table(prefix + name))
 
 
 def from_parquet(spark: SparkSession, root: str) -> Commerce:
-    prepare(spark)
-    size_shuffles(spark, root)
-    return from_tables(lambda name: spark.read.schema(BASE_TABLES[name]).parquet(f"{root}/{name}"))
+    tables = Tables(spark)
+    return from_tables(lambda name: tables.parquet(f"{root}/{name}", BASE_TABLES[name]))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Runtime SQL settings every job relies on. Results depend on the time zone only;
 # the others keep hot join keys from ending in one task.
@@ -16,38 +17,51 @@ JOB_SETTINGS = {
 }
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the job settings to a session that somebody else created."""
-    for key, value in JOB_SETTINGS.items():
-        if spark.conf.get(key, None) != value:
-            spark.conf.set(key, value)
-    return spark
+def job_session(spark: SparkSession) -> SparkSession:
+    """A session for one job: the caller's SQL settings, then ours. The caller's session stays as it is."""
+    own = spark.newSession()
+    given = {k: v for k, v in spark.conf.getAll.items() if k.startswith("spark.sql.")}
+    for key, value in (given | JOB_SETTINGS).items():
+        if own.conf.get(key, None) != value and own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return own
 
 
-# Stored input per shuffle partition, and the most partitions a shuffle starts with.
-# Queries read a fraction of the columns, so a partition shuffles far less than this.
+# Stored input per shuffle partition. Queries read a fraction of the columns, so a
+# partition shuffles far less than this.
 INPUT_PER_PARTITION = 512 * 1024 * 1024
-MOST_PARTITIONS = 40_000
 
 
 def shuffle_partitions(stored_bytes: int, configured: int) -> int:
     """Shuffle partitions to start with; never fewer than the session asks for."""
-    return max(configured, min(MOST_PARTITIONS, -(-stored_bytes // INPUT_PER_PARTITION)))
+    return max(configured, -(-stored_bytes // INPUT_PER_PARTITION))
 
 
-def size_shuffles(spark: SparkSession, root: str) -> None:
-    """Start shuffles with partitions that fit the stored size of `root`.
+class Tables:
+    """Opens the tables of one job and starts its shuffles with partitions that fit them.
 
-    Adaptive execution merges partitions that turn out small but does not split
-    evenly large ones, so the starting number has to follow the data.
+    Only tables that the job opens count, by the size Spark's own plan has for them.
+    Adaptive execution merges partitions that turn out small but does not split evenly
+    large ones, so the starting number has to follow the data.
     """
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    stored = files.getContentSummary(path).getLength()
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spark.conf.set(
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(shuffle_partitions(stored, configured))
-    )
+
+    def __init__(self, spark: SparkSession):
+        self.spark = job_session(spark)
+        self.configured = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.stored: dict[str, int] = {}
+
+    def _opened(self, name: str, frame: DataFrame) -> DataFrame:
+        self.stored[name] = int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        wanted = shuffle_partitions(sum(self.stored.values()), self.configured)
+        self.spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+        return frame
+
+    def parquet(self, path: str, schema: StructType | None = None) -> DataFrame:
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return self._opened(path, reader.parquet(path))
+
+    def table(self, name: str) -> DataFrame:
+        return self._opened(name, self.spark.table(name))
 
 
 def local_session(app: str = "tallyport", cores: str | int = "*",

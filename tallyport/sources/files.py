@@ -39,15 +39,20 @@ def read_wide_csv(spark: SparkSession, path: str) -> DataFrame:
     return with_sequence(read_csv(spark, path, header_of(spark, path)))
 
 
-def first_existing(spark: SparkSession, patterns: Sequence[str]) -> list[str]:
-    """Files of the first path or glob that matches anything, on any Hadoop file system."""
+def first_existing(spark: SparkSession, patterns: Sequence[str], every: bool = False) -> list[str]:
+    """The first file of the first path or glob that matches anything, on any Hadoop file system.
+
+    Two versions of an export are not mixed; `every` takes all matches of that pattern,
+    for exports in parts.
+    """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for pattern in patterns:
         path = jvm.org.apache.hadoop.fs.Path(pattern)
         found = path.getFileSystem(conf).globStatus(path)
         if found:
-            return sorted(str(status.getPath()) for status in found)
+            matches = sorted(str(status.getPath()) for status in found)
+            return matches if every else matches[:1]
     return []
 
 
@@ -60,6 +65,11 @@ def write_parquet(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").parquet(path)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def write_csv_report(rows: DataFrame, path: str) -> None:
     """One CSV file with a header, for reports that are small by construction."""
     rows.coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
@@ -89,11 +99,11 @@ def load_all(
     """Wide export, reviews and geolocation CSVs to nine Parquet tables under `root`.
 
     The wide CSV is parsed once into a Parquet staging copy; the six splits then
-    read only their own columns of it.
+    read only their own columns of it, and it is deleted at the end.
     """
-    staging = f"{root}/_staging/wide"
-    write_parquet(read_wide_csv(spark, wide_csv), staging)
-    tables = split_wide(spark.read.parquet(staging))
+    staging = f"{root}/_staging"
+    write_parquet(read_wide_csv(spark, wide_csv), f"{staging}/wide")
+    tables = split_wide(spark.read.parquet(f"{staging}/wide"))
     for kind, patterns, clean in (
         ("order_reviews", reviews, clean_reviews),
         ("geolocation", geolocation, clean_geolocation),
@@ -107,5 +117,6 @@ def load_all(
         write_parquet(rows, f"{root}/{name}")
     translation = category_translation(spark.read.parquet(f"{root}/products"), dictionary)
     write_parquet(translation, f"{root}/product_category_name_translation")
+    delete_path(spark, staging)
     return {name: spark.read.parquet(f"{root}/{name}") for name in BASE_TABLES}
 

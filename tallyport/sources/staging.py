@@ -1,39 +1,41 @@
-"""Write a frame that several later steps read, so it is computed once.
-
-The table goes to the shared folder that the cluster names in
-spark.checkpoint.dir, where it survives the loss of executors.
-"""
+"""Frames that several later steps read, written once in a folder the caller gives."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-SETTING = "spark.checkpoint.dir"
+Keep = Callable[[DataFrame, str], DataFrame]
+
+
+def in_place(rows: DataFrame, name: str) -> DataFrame:
+    """Keep nothing: every reader computes the frame; Spark reuses equal exchanges of one query."""
+    return rows
+
+
+class Staging:
+    """Tables in a folder of their own below `root`, deleted when the block ends.
 
+    with Staging(spark, "/shared/tmp") as stage:
+        remove_worst_sellers(shop, stored, keep=stage.keep).write.parquet(...)
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The shared folder; a temporary one only when the session runs on one machine."""
-    folder = spark.conf.get(SETTING, None)
-    if folder is None and spark.sparkContext.master.startswith("local"):
-        return _local_folder()
-    return folder
+    `root` has to be a folder that all executors reach; staged tables survive their loss.
+    """
 
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.folder = f"{root}/staging-{uuid.uuid4().hex}"
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="tallyport-")
+    def keep(self, rows: DataFrame, name: str) -> DataFrame:
+        path = f"{self.folder}/{name}"
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
 
+    def __enter__(self) -> Staging:
+        return self
 
-def staged(rows: DataFrame, name: str) -> DataFrame:
-    """`rows` from a freshly written table; unchanged where no shared folder is known."""
-    spark = rows.sparkSession
-    folder = shared_folder(spark)
-    if folder is None:
-        return rows
-    path = f"{folder}/{name}-{uuid.uuid4().hex}"
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    def __exit__(self, *error) -> None:
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.folder)
+        where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tallyport.functions.numbers import units
 from tallyport.roles import Commerce
 from tallyport.schemas import BASE_TABLES
-from tallyport.session import prepare, size_shuffles
+from tallyport.session import Tables
 
 # English names of the part types; STANDARD has none on purpose, so the fallback to
 # the original name is exercised.
@@ -156,12 +156,12 @@ def _geolocation(customers: DataFrame, nations: DataFrame) -> DataFrame:
     )
 
 
-def from_star(spark: SparkSession, root: str) -> Commerce:
-    prepare(spark)
-    size_shuffles(spark, root)
+def from_star(spark: SparkSession, root: str, tables: Tables | None = None) -> Commerce:
+    tables = tables or Tables(spark)
+    spark = tables.spark
 
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{root}/{name}.parquet")
+        return tables.parquet(f"{root}/{name}.parquet")
 
     return Commerce(
         {

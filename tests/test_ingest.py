@@ -6,8 +6,10 @@ import pytest
 from conftest import CUSTOMERS, ITEMS, ORDERS, PAYMENTS, PRODUCTS, REVIEWS, SELLERS, rows_of
 from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType
 
 from tallyport.functions.dates import lenient_timestamp
+from tallyport.functions.numbers import exact_sum
 from tallyport.operators import ingest
 from tallyport.operators import rollups
 from tallyport.plans.metric import catalogue, choose, metric
@@ -90,7 +92,9 @@ def test_load_all_builds_nine_tables(spark, export, tmp_path):
 
 def test_first_existing_prefers_earlier_patterns(spark, export):
     got = files.first_existing(spark, [str(export / "zzz*"), str(export / "*.csv")])
-    assert [g.rsplit("/", 1)[1] for g in got] == ["geolocation.csv", "order_reviews.csv", "wide.csv"]
+    assert [g.rsplit("/", 1)[1] for g in got] == ["geolocation.csv"]
+    every = files.first_existing(spark, [str(export / "zzz*"), str(export / "*.csv")], every=True)
+    assert [g.rsplit("/", 1)[1] for g in every] == ["geolocation.csv", "order_reviews.csv", "wide.csv"]
     assert files.first_existing(spark, [str(export / "zzz*")]) == []
 
 
@@ -171,3 +175,42 @@ def test_metric_gives_the_same_from_view_and_base(shop):
 def test_catalogue_lists_every_measure(spark):
     got = {(r.source, r.measure) for r in catalogue(spark).collect()}
     assert ("mv_monthly_sales", "avg_basket") in got and ("delivered_items", "unique_customers") in got
+
+
+def test_exports_with_decimals_and_nan_lose_nothing(spark, export, tmp_path):
+    """Whole numbers written as 1.0 keep their keys; NaN and null spellings are null and break no sum."""
+    rows = list(csv.reader(open(export / "wide.csv")))
+    header, lines = rows[0], rows[1:]
+    at = header.index
+    for line in lines:
+        for name in ("order_item_id", "payment_sequential", "payment_installments", "customer_zip_code_prefix"):
+            line[at(name)] = f"{line[at(name)]}.0"
+    lines[0][at("freight_value")], lines[1][at("customer_city")] = "NaN", "NULL"
+    lines.append([*lines[1]])
+    lines[-1][at("order_item_id")] = "1.5"
+    with open(tmp_path / "wide.csv", "w", newline="") as f:
+        csv.writer(f).writerows([header, *lines])
+    wide = files.read_wide_csv(spark, str(tmp_path / "wide.csv"))
+    tables = ingest.split_wide(wide)
+    items, pay = tables["order_items"].collect(), tables["payments"].collect()
+    assert len(items) == 5 and len(pay) == 5 and all(i.order_item_id is not None for i in items)
+    assert sorted(p.payment_installments for p in pay) == [1, 1, 2, 3, 13]
+    assert sum(i.freight_value is None for i in items) == 1
+    total = tables["order_items"].agg(exact_sum("freight_value")).first()[0]
+    assert total == round(sum(i.freight_value or 0 for i in items), 2)
+    lost = ingest.lost_values(ingest.rename_misspelt(wide), "order_items").first()
+    assert lost.order_item_id == 1 and lost.freight_value == 1 and lost.price == 0
+
+
+def test_whole_numbers_and_finite_values(spark):
+    frame = spark.createDataFrame([("1",), ("1.0",), (" 2 ",), ("1e2",), ("1.5",), ("NaN",), ("inf",), ("x",), ("9007199254740993",), (None,)], "t string")
+    cast = lambda kind: [r[0] for r in frame.select(ingest.cast_to(F.col("t"), kind)).collect()]
+    assert cast(IntegerType()) == [1, 1, 2, 100, None, None, None, None, None, None]
+    assert cast(LongType())[8] == 9007199254740993
+    assert cast(DoubleType())[4:8] == [1.5, None, None, None]
+
+
+def test_normalise_types_in_maps_and_fractions(spark):
+    frame = spark.sql("SELECT map('a', cast(1.5 AS decimal(4,1))) m, timestamp'2018-01-02 03:04:05.456' t, timestamp'2018-01-02 03:04:05' u")
+    row = ingest.normalise_types(frame).first()
+    assert row.m == {"a": 1.5} and row.t == "2018-01-02T03:04:05.456000" and row.u == "2018-01-02T03:04:05"

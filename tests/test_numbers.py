@@ -4,7 +4,7 @@ from decimal import ROUND_HALF_UP, Decimal
 from pyspark.sql import functions as F
 
 from tallyport.functions.numbers import exact_avg, exact_sum, percent, ratio, round_half_up
-from tallyport.session import shuffle_partitions
+from tallyport.session import Tables, shuffle_partitions
 
 
 def test_exact_sum_does_not_depend_on_row_order(spark):
@@ -43,5 +43,20 @@ def test_division_by_zero_is_null(spark):
 def test_shuffle_partitions_follow_the_data():
     assert shuffle_partitions(10**6, 8) == 8
     assert shuffle_partitions(10**12, 200) == 1863
-    assert shuffle_partitions(10**14, 200) == 40_000
-    assert shuffle_partitions(10**14, 60_000) == 60_000
+    assert shuffle_partitions(10**14, 200) == 186_265
+    assert shuffle_partitions(10**14, 200_000) == 200_000
+
+
+def test_each_job_has_its_own_sizes(spark, tmp_path):
+    """Two roots in one session start their shuffles with their own numbers; the caller's session keeps its settings."""
+    small, large = str(tmp_path / "small"), str(tmp_path / "large")
+    spark.range(10).write.parquet(small)
+    spark.range(10).write.parquet(large)
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    one, two = Tables(spark), Tables(spark)
+    one.parquet(small)
+    two.parquet(large)
+    two._opened("larger", two.spark.range(10**12))  # known size of 8 TB
+    assert one.spark.conf.get(key) == "4" and int(two.spark.conf.get(key)) == -(-8 * 10**12 // 2**29) + 1
+    assert spark.conf.get(key, None) == before

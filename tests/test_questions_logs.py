@@ -41,7 +41,16 @@ def test_params(spark):
         "question string",
     )
     got = [(r.top_n, r.horizon_weeks) for r in questions.with_params(frame).collect()]
-    assert got == [(5, 6), (20, 6), (100, 6), (1, 6), (8, 8), (15, 2), (3, 12), (2, 2), (100, 6)]
+    assert got == [(5, 6), (20, 6), (2017, 6), (1, 6), (8, 8), (15, 2), (3, 12), (2, 2), (10**15 - 1, 6)]
+    bounded = [r[0] for r in frame.select(questions.top_n(F.col("question"), at_most=100)).collect()]
+    assert bounded == [5, 20, 100, 1, 8, 15, 3, 2, 100]
+
+
+def test_long_numbers_are_not_cut(spark):
+    frame = spark.createDataFrame([("12345678901234567890 周",), ("99999999999999999999999999 sellers",), ("1234567890123456789 周",)], "question string")
+    got = frame.select(questions.top_n(F.col("question")), questions.horizon_weeks(F.col("question")),
+                       questions.top_n(F.col("question"), at_most=100)).collect()
+    assert [tuple(r) for r in got] == [(None, 6, 100), (None, 6, 100), (1234567890123456789, 1234567890123456789, 100)]
 
 
 def test_reports_and_overrides(asked):
@@ -141,6 +150,16 @@ def test_parse_responses(spark, text, strategy, sql):
         ("  delete from orders", "delete from orders", "blocked"),
         ("\n\tupdate orders set x = 1", "update orders set x = 1", "blocked"),
         ("SHOW TABLES", "SHOW TABLES", "not_select"),
+        ("SELECT 1; DROP TABLE orders", "SELECT 1; DROP TABLE orders", "blocked"),
+        ("SELECT 1; SELECT 2", "SELECT 1; SELECT 2", "blocked"),
+        ("WITH x AS (SELECT 1) DELETE FROM orders", "WITH x AS (SELECT 1) DELETE FROM orders", "blocked"),
+        ("WITH x AS (DELETE FROM orders RETURNING 1) SELECT * FROM x", "WITH x AS (DELETE FROM orders RETURNING 1) SELECT * FROM x", "blocked"),
+        ("SELECT 'olist_a; drop table x' FROM olist_a", "SELECT 'olist_a; drop table x' FROM a", "ok"),
+        ("SELECT 'it''s -- ; (delete' AS t", "SELECT 'it''s -- ; (delete' AS t", "ok"),
+        ("/* drop */ SELECT updated, created_at FROM orders -- end;", "SELECT updated, created_at FROM orders", "ok"),
+        ("SELECT 5 - 3 / 2", "SELECT 5 - 3 / 2", "ok"),
+        ("(SELECT 1)", "(SELECT 1)", "ok"),
+        (None, None, "empty"),
         ("", "", "empty"),
     ],
 )
@@ -152,8 +171,10 @@ def test_screen_sql(spark, sql, clean, verdict):
 def test_dedupe_results_by_leading_sql(spark):
     long = "SELECT " + "a" * 100
     rows = [(1, long + "1"), (2, long + "2"), (3, "SELECT 2"), (4, None), (5, None), (6, "SELECT 2")]
-    got = rows_of(logs.dedupe_results(spark.createDataFrame(rows, "id int, sql string"), "sql", "id"), "id")
-    assert got == [(1,), (3,), (4,), (5,)]
+    frame = spark.createDataFrame(rows, "id int, sql string")
+    assert rows_of(logs.dedupe_results(frame, "sql", "id", width=100), "id") == [(1,), (3,), (4,), (5,)]
+    # By default the whole text counts.
+    assert rows_of(logs.dedupe_results(frame, "sql", "id"), "id") == [(1,), (2,), (3,), (4,), (5,)]
 
 
 def test_overall_strategy(spark):
@@ -173,3 +194,21 @@ def test_stream_tags_each_question_once(spark, tmp_path):
     stream.run_available(spark, source, target, state).awaitTermination(120)
     got = rows_of(spark.read.parquet(target), "question_id", "analysis_type", "top_n", "horizon_weeks")
     assert got == [("1", "predictive", 4, 4), ("2", "diagnostic", 3, 6)]
+
+
+@pytest.mark.parametrize(
+    "kind, text, want",
+    [
+        ("plan", '{"question_summary": "q", "analysis_type": "odd", "tasks": [{"agent": "x", "task": "y"}]', {"analysis_type": "descriptive"}),
+        ("correction", '{"sql": "SELECT 1 FROM olist_orders;"}', {"sql": "SELECT 1 FROM orders", "strategy": "base_table"}),
+        ("correction", '{"strategy": "view"}', None),
+        ("reports", 'Here: {"charts": ["line", "pie", "scatter"],}', {"charts": ["line", "scatter"]}),
+        ("reports", "{}", {"charts": []}),
+        ("sentiment", '{"sentiment_summary": "good", "top_positive_keywords": ["a"]}', {"top_positive_keywords": ["a"], "top_negative_keywords": []}),
+        ("sentiment", "[1, 2]", None),
+    ],
+)
+def test_other_response_types(spark, kind, text, want):
+    row = logs.parse_responses(spark.createDataFrame([(text,)], "response string"), kind=logs.RESPONSE_TYPES[kind]).first()
+    assert row.parsed == (want is not None)
+    assert want is None or {k: row[k] for k in want} == want

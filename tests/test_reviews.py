@@ -127,3 +127,14 @@ def test_review_sample_takes_all_scores_when_strata_are_thin(spark):
     frame = spark.createDataFrame([(f"r{i:02}", 3, "", "x" * 100, "c") for i in range(20)] + [("a", 1, "", "bad", "c")], ROWS)
     got = reviews.review_sample(reviews.single_category_rows(frame)).orderBy("line").collect()
     assert len(got) == 12 and got[0].excerpt == "bad" and len(got[1].excerpt) == 80
+
+
+def test_normalise_equals_unicode_decomposition(spark):
+    """Every accented Latin letter, composed and decomposed, as Python's own tables have it."""
+    text = "Škoda şeker čekat não Ångström żółw Ćevapi Ǖber ệ ễ Œuvre ﬁn Straße ÑANDÚ"
+    more = "".join(chr(c) for c in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)])
+    for given in (text, unicodedata.normalize("NFD", text), more):
+        got = spark.createDataFrame([(given,)], "t string").select(normalise("t")).first()[0]
+        want = "".join(c for c in unicodedata.normalize("NFD", given.lower()) if not unicodedata.combining(c))
+        plain = lambda s: "".join(c for c in s if c in "abcdefghijklmnopqrstuvwxyz ")
+        assert plain(got) == plain(want)

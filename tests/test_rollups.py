@@ -1,4 +1,6 @@
+import pytest
 from conftest import rows_of
+from pyspark.sql import functions as F
 
 from tallyport.operators import diagnostics, metrics, reconcile, rollups
 from tallyport.schemas import ROLLUP_KEYS, ROLLUPS
@@ -99,3 +101,29 @@ def test_only_falling_categories_are_listed(spark):
     frame = spark.createDataFrame(rows, "ym string, product_category_english string, total_gmv double")
     assert rows_of(metrics.category_trends(frame)) == [("down", 3, -2.5, 4.0, True)]
     assert len(rows_of(metrics.category_trends(frame, only_declining=False))) == 2
+
+
+def test_readers_see_complete_refreshes_only(spark, shop, tmp_path):
+    root = str(tmp_path)
+    for _ in range(3):
+        rollups.refresh(spark, shop, root, ["mv_state_sales"])
+    assert rollups.versions(spark, root) == ["v0000000002", "v0000000003"]
+    # A refresh that broke off has no marker and is not read.
+    (tmp_path / "v0000000004" / "mv_state_sales").mkdir(parents=True)
+    assert rollups.read_all(spark, root)["mv_state_sales"].count() > 0
+    with pytest.raises(FileNotFoundError):
+        rollups.read_all(spark, str(tmp_path / "nothing"))
+
+
+def test_reconcile_finds_a_stale_view(spark, shop, tmp_path):
+    rollups.refresh(spark, shop, str(tmp_path), ["mv_state_sales"])
+    view = metrics.state_ranking(rollups.read_all(spark, str(tmp_path))["mv_state_sales"], 2017)
+    base = diagnostics.state_ranking_base(shop, 2017)
+    keys, measures = ["customer_state"], ["total_gmv", "total_orders"]
+    fresh = reconcile.reconcile(view, base, keys, measures).first()
+    assert (fresh.unmatched_keys, fresh.max_diff_total_gmv, fresh.max_diff_total_orders) == (0, 0, 0)
+    # Orders that came after the refresh: one state changes, another is new.
+    later = base.withColumn("total_orders", F.when(F.col("customer_state") == "SP", F.col("total_orders") + 1).otherwise(F.col("total_orders")))
+    later = later.unionByName(base.limit(1).withColumn("customer_state", F.lit("ZZ")))
+    stale = reconcile.reconcile(view, later, keys, measures).first()
+    assert stale.unmatched_keys == 1 and stale.max_diff_total_orders >= 1
