@@ -58,5 +58,5 @@ def test_each_job_has_its_own_sizes(spark, tmp_path):
     one.parquet(small)
     two.parquet(large)
     two._opened("larger", two.spark.range(10**12))  # known size of 8 TB
-    assert one.spark.conf.get(key) == "4" and int(two.spark.conf.get(key)) == -(-8 * 10**12 // 2**29) + 1
+    assert one.spark.conf.get(key) == "4" and int(two.spark.conf.get(key)) == -(-8 * 10**12 // 2**29)
     assert spark.conf.get(key, None) == before

@@ -81,10 +81,14 @@ def test_growth_skips_missing_months(spark):
 
 
 def test_installment_shares_add_up(shop):
-    got = rows_of(diagnostics.installment_share(shop), "payment_type", "payment_installments", "share_pct")
-    assert got == [
+    columns = ("payment_type", "payment_installments", "share_pct")
+    assert rows_of(diagnostics.installment_share(shop, 1, 12), *columns) == [
         ("boleto", 1, 100.0), ("credit_card", 2, 50.0), ("credit_card", 3, 50.0), ("voucher", 1, 100.0),
     ]
+    # By default a payment in 13 parts counts as well.
+    assert rows_of(diagnostics.installment_share(shop), *columns) == [
+        ("boleto", 1, 100.0), ("credit_card", 13, 33.3), ("credit_card", 2, 33.3), ("credit_card", 3, 33.3), ("voucher", 1, 100.0),
+    ]
 
 
 def test_trim_keeps_everything_when_few_points_or_few_would_stay(spark):
