@@ -259,15 +259,16 @@ def follow_up_context(
 
 def focus_entities(
     results: DataFrame, thread: str, entities: Mapping[str, Sequence[str]], k: int = 8,
-    first_rows: int | None = None, position: str | None = None,
+    first_rows: int | None = None, position: str | None = None, result: str | None = None,
 ) -> DataFrame:
     """The k most common values of each entity kind in earlier results of a thread.
 
     `entities` maps a kind to the columns that carry it. With `first_rows` only the
-    first rows of each thread by `position` count, as a chat memory would do.
+    first rows of each result by `position` count, as a chat memory would do; `result`
+    is the column that tells the results of a thread apart.
     """
     if first_rows is not None:
-        order = Window.partitionBy(thread).orderBy(position)
+        order = Window.partitionBy(thread, *([result] if result else [])).orderBy(position)
         results = results.withColumn("_row", F.row_number().over(order)).filter(F.col("_row") <= first_rows)
     present = [(kind, col) for kind, cols in entities.items() for col in cols if col in results.columns]
     pairs = F.array(

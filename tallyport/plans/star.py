@@ -297,6 +297,33 @@ def metric_base_fallback(c):
     )
 
 
+@query
+def metric_base_fallback_of_year(c):
+    """No rollup has cities: base tables, the year as a range of purchase times."""
+    return metric(c, {}, ["customer_state", "customer_city"], ["total_gmv", "total_orders", "avg_price"], {"ym": f"{YEAR}*"})
+
+
+@query
+def metric_review_score_by_state(c):
+    return metric(c, {}, ["customer_state"], ["avg_review_score", "review_count", "negative_review_rate"])
+
+
+@query
+def metric_review_score_by_category(c):
+    return metric(c, {}, ["category"], ["avg_review_score", "review_count"])
+
+
+@query
+def metric_gmv_and_on_time(c):
+    """Two rollups meet on the state."""
+    return metric(c, rollups.build_all(c), ["customer_state"], ["total_gmv", "on_time_rate"])
+
+
+@query
+def metric_gmv_and_payments(c):
+    return metric(c, rollups.build_all(c), ["ym"], ["total_gmv", "total_value", "avg_review_score"])
+
+
 @table_query
 def reconcile_state_sales(tables, root):
     c, stored = _stored(tables, root, STATES)

@@ -425,6 +425,41 @@ SQL["metric_base_fallback"] = with_roles(
         count(DISTINCT unique_id) AS unique_customers, 'delivered_items' AS source, 'base_table' AS strategy
         FROM d JOIN i ON i.order_id = d.order_id JOIN c USING (customer_id) JOIN p USING (product_id) GROUP BY 1, 2""",
 )
+SQL["metric_base_fallback_of_year"] = with_roles(
+    "d i c",
+    f"""SELECT customer_state, city AS customer_city, {money('price')} AS total_gmv, count(DISTINCT d.order_id) AS total_orders,
+        {rnd(money('price') + ' / count(price)', 2)} AS avg_price, 'delivered_items' AS source, 'base_table' AS strategy
+        FROM d JOIN i ON i.order_id = d.order_id JOIN c USING (customer_id) WHERE year(bought) = {YEAR} GROUP BY 1, 2""",
+)
+SQL["metric_review_score_by_state"] = with_roles(
+    "o c r",
+    f"""SELECT customer_state, {rnd("CAST(sum(score) AS DOUBLE) / count(score)", 2)} AS avg_review_score, count(*) AS review_count,
+        {rnd("count(*) FILTER (score <= 2) * 100.0::DOUBLE / count(score)", 1)} AS negative_review_rate,
+        'order_reviews' AS source, 'base_table' AS strategy
+        FROM r JOIN o USING (order_id) JOIN c USING (customer_id) GROUP BY 1""",
+)
+SQL["metric_review_score_by_category"] = with_roles(
+    "o i p r",
+    f"""SELECT category, {rnd("CAST(sum(score) AS DOUBLE) / count(score)", 2)} AS avg_review_score, count(*) AS review_count,
+        'order_reviews' AS source, 'base_table' AS strategy
+        FROM (SELECT DISTINCT review_id, score, category FROM r JOIN o USING (order_id) JOIN i USING (order_id) JOIN p USING (product_id))
+        GROUP BY 1""",
+)
+SQL["metric_gmv_and_on_time"] = with_roles(
+    "d i c",
+    f"""SELECT customer_state, total_gmv, on_time_rate, 'mv_state_sales+mv_delivery_perf' AS source, 'view' AS strategy
+        FROM (SELECT customer_state, {money('price')} AS total_gmv FROM d JOIN i ON i.order_id = d.order_id JOIN c USING (customer_id) GROUP BY 1)
+        FULL JOIN (SELECT customer_state, {rnd("count(*) FILTER (done <= due) * 100.0::DOUBLE / count(*)", 1)} AS on_time_rate
+          FROM d JOIN c USING (customer_id) WHERE done IS NOT NULL AND due IS NOT NULL GROUP BY 1) USING (customer_state)""",
+)
+SQL["metric_gmv_and_payments"] = with_roles(
+    "o d i pay r",
+    f"""SELECT ym, total_gmv, total_value, avg_review_score, 'mv_monthly_sales+mv_payment_dist+order_reviews' AS source, 'base_table' AS strategy
+        FROM (SELECT strftime(bought, '%Y-%m') AS ym, {money('price')} AS total_gmv FROM d JOIN i ON i.order_id = d.order_id GROUP BY 1)
+        FULL JOIN (SELECT strftime(bought, '%Y-%m') AS ym, {money('value')} AS total_value FROM d JOIN pay USING (order_id) GROUP BY 1) USING (ym)
+        FULL JOIN (SELECT strftime(bought, '%Y-%m') AS ym, {rnd("CAST(sum(score) AS DOUBLE) / count(score)", 2)} AS avg_review_score
+          FROM r JOIN o USING (order_id) GROUP BY 1) USING (ym)""",
+)
 SQL["reconcile_state_sales"] = on(
     ST,
     """SELECT count(v.customer_state) AS view_rows, count(b.customer_state) AS base_rows,

@@ -212,3 +212,10 @@ def test_other_response_types(spark, kind, text, want):
     row = logs.parse_responses(spark.createDataFrame([(text,)], "response string"), kind=logs.RESPONSE_TYPES[kind]).first()
     assert row.parsed == (want is not None)
     assert want is None or {k: row[k] for k in want} == want
+
+
+def test_focus_entities_take_the_first_rows_of_each_result(spark):
+    rows = [("t", q, i, "SP" if q == 1 else "RJ") for q in (1, 2) for i in range(30)]
+    results = spark.createDataFrame(rows, "thread string, result int, pos int, state string")
+    got = questions.focus_entities(results, "thread", questions.ENTITY_COLUMNS, first_rows=20, position="pos", result="result").first()
+    assert got["values"] == ["RJ", "SP"]
