@@ -36,10 +36,14 @@ def product_categories(c: Commerce) -> DataFrame:
     )
 
 
-def order_category_items(c: Commerce) -> DataFrame:
-    """(order_id, category, item_rows, price_units) of items with a known product."""
+def order_category_items(c: Commerce, wanted: DataFrame | None = None) -> DataFrame:
+    """(order_id, category, item_rows, price_units) of items with a known product.
+
+    With `wanted` (order_id) only of these orders; the others' items go no further than their scan.
+    """
+    items = c.order_items.select("order_id", "product_id", "price")
     return (
-        c.order_items.select("order_id", "product_id", "price")
+        (items if wanted is None else items.join(wanted, "order_id", "left_semi"))
         .join(product_categories(c), "product_id")
         .groupBy("order_id", "category")
         .agg(F.count(F.lit(1)).alias("item_rows"), F.sum(units("price")).alias("price_units"))

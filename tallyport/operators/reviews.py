@@ -81,20 +81,18 @@ def review_rows(c: Commerce) -> DataFrame:
     texts = c.text_reviews.filter(F.col("review_comment_message").isNotNull()).select(
         "review_id", "order_id", "review_score", "review_comment_title", "review_comment_message"
     )
-    # The array holds the distinct categories of one order, never its items.
+    # The array holds the distinct categories of one order, never its items. Only orders with a
+    # text review matter, which are few beside all items.
+    reviewed = texts.select("order_id").distinct().join(c.orders.select("order_id"), "order_id", "left_semi")
     categories = (
-        order_category_items(c)
+        order_category_items(c, reviewed)
         .groupBy("order_id")
         .agg(
             F.sum("item_rows").alias("weight"),
             F.collect_list(F.struct("category", F.col("item_rows").alias("weight"))).alias("categories"),
         )
     )
-    return (
-        texts.join(c.orders.select("order_id"), "order_id", "left_semi")
-        .join(categories, "order_id")
-        .drop("order_id")
-    )
+    return texts.join(categories, "order_id").drop("order_id")
 
 
 def single_category_rows(reviews: DataFrame) -> DataFrame:
@@ -404,7 +402,7 @@ def sentiment_summary(
 def review_sample(
     rows: DataFrame, per_stratum: int = 5, width: int = 80, at_most: int = 12, at_least: int = 5, plain: int = 15
 ) -> DataFrame:
-    """A few negative and positive reviews with shortened text, for reading.
+    """A few negative and positive reviews with shortened text, for reading: a row for each item.
 
     The first `per_stratum` reviews (by id) of each sentiment; when both together
     are fewer than `at_least`, the first `plain` reviews of any score instead.
@@ -414,6 +412,9 @@ def review_sample(
     # Shortened before ranking, so no full text is sorted or moved.
     excerpt = F.substring(F.coalesce("review_comment_message", F.lit("")), 1, width).alias("excerpt")
     keys = by_category(rows.select("review_id", "review_score", kind.alias("kind"), excerpt, "weight", "categories"))
+    # An item beyond the `plain` first of its review cannot be among the rows shown.
+    copies = F.sequence(F.lit(1), F.least("weight", F.lit(plain).cast("long")).cast("int"))
+    keys = keys.select("*", F.explode(copies).alias("copy"))
     in_kind = Window.partitionBy("kind").orderBy("review_id", F.asc_nulls_last("category"))
     ranked = keys.withColumn("pos", F.row_number().over(in_kind)).filter(F.col("pos") <= plain)
     # At most `plain` rows of each of three kinds remain.

@@ -793,7 +793,7 @@ SQL["review_sample"] = with_roles(
     """SELECT CAST(row_number() OVER (ORDER BY CASE WHEN strata >= 5 THEN kind END, review_id, category NULLS LAST) AS INTEGER) AS line,
          score AS review_score, category, substring(message, 1, 80) AS excerpt
        FROM sized WHERE strata < 5 OR (kind <> 'other' AND pos <= 5) QUALIFY line <= 12""",
-    f"one AS (SELECT DISTINCT review_id, score, category, message, coalesce({_KIND}, 'other') AS kind FROM rows)",
+    f"one AS (SELECT review_id, score, category, message, coalesce({_KIND}, 'other') AS kind FROM rows)",
     """placed AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY review_id, category NULLS LAST) AS pos
         FROM one QUALIFY pos <= 15)""",
     "sized AS (SELECT *, count(*) FILTER (kind <> 'other' AND pos <= 5) OVER () AS strata FROM placed)",
