@@ -304,15 +304,28 @@ ENTITY_COLUMNS = {
     "sellers": ("seller_id",),
     "payments": ("payment_type",),
 }
+FINDING_LABELS = {"findings": "Previous findings: ", "anomalies": "Previous anomaly scan: "}
 MEMORY_HEADER = "[Conversation memory for resolving references]"
+MEMORY_CLOSING = (
+    "If the user says these/those/above/same, interpret it using the previous focus entities and findings."
+)
 
 
-def resolve_with_entities(follow_ups: DataFrame, entities: DataFrame, thread: str) -> DataFrame:
-    """Extend the context of follow-up questions by the focus entities of their thread.
+def resolve_with_entities(
+    follow_ups: DataFrame, entities: DataFrame, thread: str, findings: DataFrame | None = None
+) -> DataFrame:
+    """Extend the context of follow-up questions by what is known of their thread.
 
     `follow_ups` comes from `follow_up_context`, `entities` from `focus_entities`;
-    both carry the thread column. Adds `resolved_question`.
+    `findings` has a row per thread with the text columns `findings` and `anomalies`,
+    either of which may be null or empty. All carry the thread column. Adds
+    `resolved_question`.
     """
+    if findings is None:
+        none = F.lit(None).cast("string")
+        known = follow_ups.select("*", none.alias("findings"), none.alias("anomalies"))
+    else:
+        known = follow_ups.join(findings.select(thread, *FINDING_LABELS), thread, "left")
     per_thread = entities.groupBy(thread).pivot("kind", list(ENTITY_LABELS)).agg(F.first("values"))
     lines = [
         F.concat(F.lit(label), F.array_join(kind, ", ")) for kind, label in ENTITY_LABELS.items()
@@ -320,7 +333,8 @@ def resolve_with_entities(follow_ups: DataFrame, entities: DataFrame, thread: st
     mapping = F.concat_ws(
         "; ", *[F.concat(F.lit(kind + "="), F.array_join(kind, ", ")) for kind in ENTITY_LABELS]
     )
-    context = F.concat_ws("\n", "memory_context", *lines)
+    found = [F.when(F.trim(name) != "", F.concat(F.lit(label), F.trim(name))) for name, label in FINDING_LABELS.items()]
+    context = F.concat_ws("\n", "memory_context", *lines, *found)
     resolved = F.concat_ws(
         "\n",
         "question",
@@ -328,10 +342,11 @@ def resolve_with_entities(follow_ups: DataFrame, entities: DataFrame, thread: st
         F.lit(MEMORY_HEADER),
         context,
         F.when(mapping != "", F.concat(F.lit("Reference mapping: "), mapping)),
+        F.lit(MEMORY_CLOSING),
     )
     return (
-        follow_ups.join(per_thread, thread, "left")
+        known.join(per_thread, thread, "left")
         .withColumn("resolved_question", F.when(F.col("is_follow_up"), resolved).otherwise(F.col("question")))
         .withColumn("memory_context", F.when(F.col("is_follow_up"), context).otherwise(""))
-        .drop(*ENTITY_LABELS)
+        .drop(*ENTITY_LABELS, *FINDING_LABELS)
     )

@@ -941,6 +941,20 @@ SQL["followup_context"] = f"""WITH asked AS (SELECT conv_id, turn, text AS quest
       (length({_ASKED}) <= {SHORT_LENGTH} AND {any_of(_ASKED, star.RULES.short_cues)})) AS follows FROM asked)
     SELECT conv_id, turn, question, follows AS is_follow_up,
       CASE WHEN follows THEN 'Previous question: ' || trim(previous) ELSE '' END AS memory_context FROM k"""
+SQL["resolved_questions"] = f"""WITH f AS ({SQL['followup_context']}),
+    a AS (SELECT conv_id, turn, text, trim(split_part(text, ' ', 1)) AS state FROM conversations WHERE role <> 'user'),
+    n AS (SELECT conv_id, state, count(*) AS n FROM a WHERE state <> '' GROUP BY 1, 2),
+    e AS (SELECT conv_id, string_agg(state, ', ' ORDER BY n DESC, state) AS states
+      FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY n DESC, state) AS rn FROM n) WHERE rn <= 2 GROUP BY 1),
+    l AS (SELECT conv_id, trim(arg_max(substring(text, 1, 30), (turn, text))) AS findings FROM a GROUP BY 1),
+    m AS (SELECT f.*, states, memory_context || coalesce(chr(10) || 'Previous focus states: ' || states, '')
+        || CASE WHEN findings <> '' THEN chr(10) || 'Previous findings: ' || findings ELSE '' END AS memory
+      FROM f LEFT JOIN e USING (conv_id) LEFT JOIN l USING (conv_id))
+    SELECT conv_id, turn, question, is_follow_up, CASE WHEN is_follow_up THEN memory ELSE '' END AS memory_context,
+      CASE WHEN is_follow_up THEN question || chr(10) || chr(10) || '[Conversation memory for resolving references]' || chr(10) || memory
+        || coalesce(chr(10) || 'Reference mapping: states=' || states, '') || chr(10)
+        || 'If the user says these/those/above/same, interpret it using the previous focus entities and findings.'
+      ELSE question END AS resolved_question FROM m"""
 SQL["focus_entities"] = with_roles(
     "o i c p",
     """SELECT order_status, kind, string_agg(value, ', ' ORDER BY n DESC, value) AS "values" FROM (

@@ -219,3 +219,16 @@ def test_focus_entities_take_the_first_rows_of_each_result(spark):
     results = spark.createDataFrame(rows, "thread string, result int, pos int, state string")
     got = questions.focus_entities(results, "thread", questions.ENTITY_COLUMNS, first_rows=20, position="pos", result="result").first()
     assert got["values"] == ["RJ", "SP"]
+
+
+def test_follow_ups_carry_findings_and_a_closing_line(spark):
+    asked = spark.createDataFrame(
+        [("c", 2, "For these states?", True, "Previous question: Which"), ("c", 4, "Total", False, "")],
+        "conv_id string, turn int, question string, is_follow_up boolean, memory_context string")
+    entities = spark.createDataFrame([("c", "states", ["AL"])], "conv_id string, kind string, `values` array<string>")
+    findings = spark.createDataFrame([("c", "Late in AL", "No spikes")], "conv_id string, findings string, anomalies string")
+    got = {r.turn: r for r in questions.resolve_with_entities(asked, entities, "conv_id", findings).collect()}
+    assert got[2].memory_context.split("\n") == [
+        "Previous question: Which", "Previous focus states: AL", "Previous findings: Late in AL", "Previous anomaly scan: No spikes"]
+    assert got[2].resolved_question.endswith(questions.MEMORY_CLOSING) and "states=AL" in got[2].resolved_question
+    assert got[4].resolved_question == "Total" and got[4].memory_context == ""
