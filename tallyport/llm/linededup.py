@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyport.llm.common import length_like, let, packed, row_key, table, unpacked
+from tallyport.llm.common import Stage, length_like, let, packed, row_key, table, unpacked
 
 LINES = 3
 
@@ -41,6 +41,8 @@ def covered_lines(docs: DataFrame, lines: int = LINES) -> DataFrame:
     found = docs.select(*row_key(), F.posexplode(let(hashes, windows)).alias("line", "window"))
     place = F.struct("k1", "k2", "line")
     first = found.groupBy("window").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    # Written, so that the join has two plain shuffles and a hot window can be split among tasks.
+    first = Stage(docs.sparkSession, "lines").keep(first)
     later = found.join(first, "window").filter(place > F.col("first"))
     spread = F.flatten(F.transform(F.collect_set("line"), lambda s: F.array(*[s + j for j in range(lines)])))
     return later.groupBy("k1", "k2").agg(F.array_distinct(spread).alias("covered"))
