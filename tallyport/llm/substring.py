@@ -134,8 +134,11 @@ def repeated_anchors(texts: DataFrame, window: int, stage: Stage) -> DataFrame:
     likely = stage.keep(maybe_in(anchor_rows(texts, window, with_key=True), ["anchor"], rough).filter("maybe").drop("maybe"))
     place = F.struct("k1", "k2", "at")
     first = likely.groupBy("anchor").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    # Written, so that the join has two plain shuffles and a hot anchor can be split among tasks.
+    first = stage.keep(first)
     alive = stage.keep(likely.join(first, "anchor").select("k1", "k2", "anchor", "at", (place == F.col("first")).alias("is_first")))
     stage.drop(likely)
+    stage.drop(first)
     return alive
 
 
@@ -146,7 +149,7 @@ def repeated_starts(doubtful: DataFrame, alive: DataFrame, window: int, stage: S
         places = of.groupBy("k1", "k2").agg(F.collect_set("at").alias("places")).hint("shuffle_hash")
         return extended_runs(doubtful.join(places, ["k1", "k2"]), window)
 
-    first = runs(alive.filter("is_first")).groupBy("anchor").agg(F.first("windows").alias("first_windows"))
+    first = stage.keep(runs(alive.filter("is_first")).groupBy("anchor").agg(F.first("windows").alias("first_windows")))
     met = runs(alive.filter("NOT is_first")).join(first, "anchor")
     # Offsets at which the run agrees with the first run, and those left for a search of their own.
     offsets = F.sequence(F.lit(0), F.size("windows") - 1)
@@ -162,6 +165,7 @@ def repeated_starts(doubtful: DataFrame, alive: DataFrame, window: int, stage: S
     keys = ["anchor", "o", "window"]
     place = F.struct("k1", "k2", "start")
     earliest = single.groupBy(*keys).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    earliest = stage.keep(earliest)
     later = single.join(earliest, keys).filter(place > F.col("first")).select("k1", "k2", F.array("start").alias("starts"))
     return agreed.unionByName(later).groupBy("k1", "k2").agg(F.array_distinct(F.flatten(F.collect_set("starts"))).alias("starts"))
 
