@@ -98,7 +98,8 @@ def judged(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) ->
     roots = components(near_links(classes.select("fp"), distance), stage)
     named = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return marked.join(named.join(ids, "root").select("fp", "root", "component_id"), "fp")
+    # Written, so that the join has two plain shuffles and a hot fingerprint can be split among tasks.
+    return marked.join(stage.keep(named.join(ids, "root").select("fp", "root", "component_id")), "fp")
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
