@@ -248,7 +248,7 @@ def test_secrets(make_docs):
     got = secrets.scan(docs).collect()
     assert {r.doc_id for r in got if r.is_secret} == {*range(60), 300, None}
     assert {r.doc_id for r in got if not r.is_secret} == set(range(100, 160))
-    assert all((docs_text := dict(findings())) is not None and 0 <= r.score <= 1 for r in got)
+    assert all(0 <= r.score <= 1 for r in got)
 
 
 def test_secrets_learn_from_given_labels(make_docs, spark):
