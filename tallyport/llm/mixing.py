@@ -10,7 +10,9 @@ Rows of a shard are then put into a seeded order.
 
 DataFrame functions only. A source is split into buckets of its permuted order before
 anything is ordered, so a source with a third of all rows is many small sorts. One task
-sees the sources or the blocks, never documents; the number of blocks is a parameter.
+sees the sources or the blocks, never documents: the sources of the table, and
+BLOCKS_PER_SHARD blocks a shard, so at most a million. Shards grow in number with the
+corpus, up to MOST_SHARDS.
 
 Defined cases: a null text or one without words has size 0 and is never drawn; a null
 source is a source of its own, last in order; rows with equal doc_id and size may swap
@@ -24,14 +26,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyport.llm.common import WORD, table
+from tallyport.llm.common import WORD, Stage, table
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
 SEED = "mix"
 ROWS_PER_BUCKET = 2_000
-SHARDS = 16
-BLOCKS_PER_SHARD = 64
+# Words of an output shard, about 25 MB of text, and the most shards there are.
+WORDS_PER_SHARD, MOST_SHARDS = 4_000_000, 1 << 16
+BLOCKS_PER_SHARD = 16
 
 
 def words_in(text: Column) -> Column:
@@ -71,8 +74,15 @@ def _hex_share(key: Column) -> Column:
     return F.conv(F.substring(key, 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
 
 
+def targets_of(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
+    """A row for each source: source_targets and quota, the target in whole words."""
+    rows = docs.select(F.col("source").alias("source"), words_in(F.col("text")).alias("size"))
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_rows"))
+    return source_targets(sizes, weights, most).withColumn("quota", F.round("target").cast("long"))
+
+
 def lay_out(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: str = SEED,
-            rows_per_bucket: int = ROWS_PER_BUCKET, carry: list[str] | None = None) -> DataFrame:
+            rows_per_bucket: int = ROWS_PER_BUCKET, carry: list[str] | None = None, targets: DataFrame | None = None) -> DataFrame:
     """Each document's place in its source's line, and the words taken from it.
 
     Returns doc (the row, or its columns in `carry`), size, source_size, target, place (of the source),
@@ -84,13 +94,8 @@ def lay_out(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOS
         words_in(F.col("text")).alias("size"),
         F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("key"),
     )
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_rows"))
-    targets = (
-        source_targets(sizes, weights, most)
-        .withColumn("quota", F.round("target").cast("long"))
-        .withColumn("buckets", F.ceil(F.col("n_rows") / rows_per_bucket))
-    )
-    t = targets.select(F.col("source").alias("t_source"), "source_size", "target", "place", "quota", "buckets", "total")
+    found = targets_of(docs, weights, most) if targets is None else targets
+    t = found.withColumn("buckets", F.ceil(F.col("n_rows") / rows_per_bucket)).select(F.col("source").alias("t_source"), "source_size", "target", "place", "quota", "buckets", "total")
     placed = (
         rows.join(t, rows.source.eqNullSafe(t.t_source))
         .withColumn("bucket", F.floor(_hex_share(F.col("key")) * F.col("buckets")))
@@ -112,7 +117,7 @@ def lay_out(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOS
     )
 
 
-def deal_blocks(sources: DataFrame, shards: int = SHARDS, blocks_per_shard: int = BLOCKS_PER_SHARD,
+def deal_blocks(sources: DataFrame, shards: int, blocks_per_shard: int = BLOCKS_PER_SHARD,
                 seed: str = SEED) -> DataFrame:
     """(place, quota, total) -> (place, block, n_blocks, shard): the splitting tree.
 
@@ -138,7 +143,12 @@ def deal_blocks(sources: DataFrame, shards: int = SHARDS, blocks_per_shard: int
     return blocks
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, shards: int = SHARDS,
+def shards_for(words: int) -> int:
+    """A power of two of shards of WORDS_PER_SHARD words or fewer, while they are at most MOST_SHARDS."""
+    return min(MOST_SHARDS, 1 << max(0, -(-words // WORDS_PER_SHARD) - 1).bit_length())
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, shards: int | None = None,
         blocks_per_shard: int = BLOCKS_PER_SHARD, seed: str = SEED) -> DataFrame:
     """The mix: a row for each stretch of a document that lies in one block.
 
@@ -146,9 +156,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, s
     whole, n_chars (if there) set to its length, and mix_pass, mix_block, mix_words,
     mix_shard, mix_order. Shards are partitions, each in its seeded order.
     """
-    laid = lay_out(docs, weights, most, seed)
-    sources = laid.groupBy("place", "quota", "total").agg(F.lit(1).alias("one")).drop("one")
-    dealt = deal_blocks(sources, shards, blocks_per_shard, seed)
+    targets = Stage(docs.sparkSession, "mix").keep(targets_of(docs, weights, most))
+    shards = shards or shards_for(int(targets.agg(F.sum("source_size")).first()[0] or 0))
+    laid = lay_out(docs, weights, most, seed, targets=targets)
+    dealt = deal_blocks(targets.select("place", "quota", "total"), shards, blocks_per_shard, seed)
     per_source = dealt.groupBy("place").agg(F.first("n_blocks").alias("n_blocks"))
     passes = (
         laid.filter("size > 0 and taken > 0").join(per_source, "place")
