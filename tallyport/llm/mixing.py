@@ -149,14 +149,16 @@ def shards_for(words: int) -> int:
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, shards: int | None = None,
-        blocks_per_shard: int = BLOCKS_PER_SHARD, seed: str = SEED) -> DataFrame:
+        blocks_per_shard: int = BLOCKS_PER_SHARD, seed: str = SEED, targets: DataFrame | None = None,
+        with_start: bool = False) -> DataFrame:
     """The mix: a row for each stretch of a document that lies in one block.
 
     Returns the columns of `docs`, with the text cut to the stretch where it is not
     whole, n_chars (if there) set to its length, and mix_pass, mix_block, mix_words,
-    mix_shard, mix_order. Shards are partitions, each in its seeded order.
+    mix_shard, mix_order; `with_start` adds mix_place and mix_start, the document's place
+    in lay_out. Shards are partitions, each in its seeded order.
     """
-    targets = Stage(docs.sparkSession, "mix").keep(targets_of(docs, weights, most))
+    targets = Stage(docs.sparkSession, "mix").keep(targets_of(docs, weights, most)) if targets is None else targets
     shards = shards or shards_for(int(targets.agg(F.sum("source_size")).first()[0] or 0))
     laid = lay_out(docs, weights, most, seed, targets=targets)
     dealt = deal_blocks(targets.select("place", "quota", "total"), shards, blocks_per_shard, seed)
@@ -184,13 +186,26 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, s
     out = pieces.select(
         *columns, F.col("pass").alias("mix_pass"), F.col("block").alias("mix_block"),
         (F.col("high") - F.col("low")).alias("mix_words"), F.col("shard").alias("mix_shard"), order.alias("mix_order"),
+        *([F.col("place").alias("mix_place"), F.col("start").alias("mix_start")] if with_start else []),
     )
     return out.repartition(shards, "mix_shard").sortWithinPartitions("mix_shard", "mix_order")
 
 
+def drawn(docs: DataFrame, **given) -> DataFrame:
+    """doc_id, size, source_size, target, taken (the words of it in the written mix) for each document; `given` as for mix."""
+    stage = Stage(docs.sparkSession, "mix")
+    targets = stage.keep(targets_of(docs))
+    # Written as a mix is: shards in their order, texts cut. What is drawn is counted in the texts.
+    mixed = stage.keep(mix(docs, targets=targets, with_start=True, **given))
+    words = mixed.groupBy(F.col("mix_place").alias("place"), F.col("mix_start").alias("start")).agg(F.sum(words_in(F.col("text"))).alias("words"))
+    # A document without words starts where the next one does.
+    taken = F.when(F.col("size") > 0, F.coalesce("words", F.lit(0))).otherwise(0).cast("long")
+    return lay_out(docs, carry=["doc_id"], targets=targets).drop("taken").join(words, ["place", "start"], "left").select(
+        "doc.doc_id", "size", "source_size", "target", taken.alias("taken"))
+
+
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return lay_out(docs, carry=["doc_id"]).select("doc.doc_id", "size", "source_size", "target", "taken")
+    return drawn(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
 
 OP10_SQL = r"""
