@@ -36,7 +36,7 @@ def packed(docs: DataFrame, *extra: Column) -> DataFrame:
 def row_key() -> list[Column]:
     """k1, k2: never null, ordered as doc_id (null last), different for different texts of one id.
 
-    Rows that agree in doc_id and text share a key; they are one document read twice.
+    Rows that agree in doc_id and text share a key; copies_apart tells them from each other.
     """
     return [
         F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("k1"),
@@ -54,6 +54,22 @@ def length_like(docs: DataFrame, text: Column) -> dict[str, Column]:
     return {"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
 
 
+def copies_apart(docs: DataFrame, stage: Stage, ids: bool = True) -> DataFrame:
+    """(k1, k2, doc, is_copy): is_copy for all rows of a key but one; with `ids` false only where doc_id is null.
+
+    Rows that share a key get a number, written before it is used.
+    """
+    rows = packed(docs, *row_key(), F.col("doc_id").isNull().alias("no_id"))
+    keys = rows if ids else rows.filter("no_id")
+    shared = stage.keep(keys.groupBy("k1", "k2", "no_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
+    on = ["k1", "k2", "no_id"]
+    single = rows.join(shared, on, "left_anti").withColumn("is_copy", F.lit(False))
+    numbered = stage.keep(rows.join(shared, on, "left_semi").withColumn("number", F.monotonically_increasing_id()))
+    first = numbered.groupBy(*on).agg(F.min("number").alias("first"))
+    marked = numbered.join(first, on).withColumn("is_copy", F.col("number") > F.col("first")).drop("number", "first")
+    return single.unionByName(marked).drop("no_id")
+
+
 SKETCH_BITS = 1 << 25
 
 

@@ -11,8 +11,8 @@ can split. Texts are shuffled once, unsorted.
 Defined cases: lines are what line feeds part, compared exactly; a null text stays
 null and has no lines, the empty text has one; documents of fewer than three lines
 have no window and stay whole; places are ordered by doc_id (null last), text hash and
-line, and rows that agree in doc_id and text are one document, treated alike. A
-document may end up with the empty text.
+line; of rows that agree in doc_id and text one comes first, the others lose all
+lines of their windows. A document may end up with the empty text.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyport.llm.common import Stage, length_like, let, packed, row_key, table, unpacked
+from tallyport.llm.common import Stage, copies_apart, length_like, let, row_key, table, unpacked
 
 LINES = 3
 
@@ -51,8 +51,11 @@ def covered_lines(docs: DataFrame, lines: int = LINES) -> DataFrame:
 def judged(docs: DataFrame, lines: int = LINES) -> DataFrame:
     """doc (the row), n_lines, n_removed, kept (the text without covered lines)."""
     covered = covered_lines(docs, lines).hint("shuffle_hash")
-    rows = packed(docs, *row_key()).join(covered, ["k1", "k2"], "left")
+    rows = copies_apart(docs, Stage(docs.sparkSession, "lines")).join(covered, ["k1", "k2"], "left")
     text = F.col("doc.text")
+    # All windows of a copy are in the row before it.
+    n = F.size(lines_of(text))
+    rows = rows.withColumn("covered", F.when(F.col("is_copy") & (n >= lines), F.sequence(F.lit(0), n - 1)).otherwise(F.col("covered")))
     parts = F.struct(
         lines_of(text).alias("lines"),
         F.array_except(F.sequence(F.lit(0), F.size(lines_of(text)) - 1), "covered").alias("keep"),

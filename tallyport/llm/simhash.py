@@ -105,11 +105,11 @@ def judged(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) ->
 def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One document of each component stays: that with the least doc_id, then the least text hash.
 
-    Rows that agree in doc_id and text are one document and stay or go together.
+    Of rows that agree in doc_id and text one stays.
     """
     groups = judged(docs, shingle, distance)
     first = groups.groupBy("root").agg(F.min(F.struct("k1", "k2")).alias("first")).select("first.*")
-    kept = packed(docs, *row_key()).join(first.hint("shuffle_hash"), ["k1", "k2"], "left_semi")
+    kept = packed(docs, *row_key()).join(first.hint("shuffle_hash"), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
     return kept.select(*unpacked(docs))
 
 

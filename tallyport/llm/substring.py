@@ -22,7 +22,8 @@ it.
 
 Defined cases: a null text has no words; texts below the window length lose nothing;
 order is doc_id (null last), then text hash, then place; rows that agree in doc_id and
-text are one document, treated alike. A window is identified by a 64-bit hash together
+text are one document, treated alike, but of those with a null id and one text all but
+one are later copies and lose every word of their windows. A window is identified by a 64-bit hash together
 with its anchor's 64-bit hash and offset.
 """
 
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyport.llm import shingles
-from tallyport.llm.common import Stage, length_like, maybe_in, packed, row_key, sketch, table, unpacked
+from tallyport.llm.common import WORD, Stage, copies_apart, length_like, maybe_in, row_key, sketch, table, unpacked
 
 WINDOW = 20
 KEY = [T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType())]
@@ -178,10 +179,14 @@ def judged(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     stage = Stage(docs.sparkSession, "substring")
     alive = repeated_anchors(docs.select(*row_key(), "text"), window, stage)
     # Documents without a repeated anchor are finished where they are read.
-    asked = maybe_in(packed(docs, *row_key()), ["k1", "k2"], sketch(alive, ["k1", "k2"]))
+    rows = copies_apart(docs, stage, ids=False)
+    asked = maybe_in(rows.filter("NOT is_copy").drop("is_copy"), ["k1", "k2"], sketch(alive, ["k1", "k2"]))
     doubtful = asked.filter("maybe").drop("maybe")
     starts = repeated_starts(doubtful, alive, window, stage)
     met = doubtful.join(starts.hint("shuffle_hash"), ["k1", "k2"], "left").select("doc", "starts")
+    # All windows of a copy are in the row before it.
+    last = F.regexp_count(F.col("doc.text"), F.lit(WORD)) - window
+    copies = rows.filter("is_copy").select("doc", F.when(last >= 0, F.sequence(F.lit(0), last)).alias("starts"))
     clear = asked.filter("NOT maybe").select("doc", F.lit(None).cast("array<int>").alias("starts"))
 
     def work(batches):
@@ -204,7 +209,7 @@ def judged(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     schema = T.StructType([met.schema["doc"], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
                            T.StructField("kept", T.StringType())])
-    return met.unionByName(clear).mapInArrow(work, schema)
+    return met.unionByName(clear).unionByName(copies).mapInArrow(work, schema)
 
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -153,3 +153,16 @@ def test_one_of_each_group_stays(make_docs):
 def test_empty_table(run, make_docs):
     out = run(make_docs([]))
     assert out.collect() == [] and out.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_copies_without_an_id_are_removed(make_docs):
+    text = " ".join(map(str, range(30)))
+    docs = make_docs([(None, text), (None, text), (None, text), (None, "short one"), (None, "short one"), (None, None)], **CLASHES)
+    kept = lambda out: sorted(r.text or "" for r in out.collect())
+    assert kept(substring.dedup_substrings(docs)) == ["", "", "", text, "short one", "short one"]
+    lined_text = "a\nb\nc\nd"
+    lines = make_docs([(None, lined_text), (None, lined_text), (7, "x\ny\nz"), (7, "x\ny\nz"), (None, "q"), (None, "q")], **CLASHES)
+    assert kept(linededup.dedup_lines(lines)) == ["", "", lined_text, "q", "q", "x\ny\nz"]
+    assert kept(simhash.drop_near_copies(docs)) == ["", text, "short one"]
+    twice = simhash.drop_near_copies(make_docs([(1, text), (1, text), (2, text)])).collect()
+    assert [(r.doc_id, r.text) for r in twice] == [(1, text)]
