@@ -35,7 +35,12 @@ SAME_SPELLING = {
     "whilst": "while", "wilful": "willful", "https": "http",
 }
 PUNCTUATION = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-COPYRIGHT = r"^[^a-z0-9]*(copyright|\(c\)|©|all rights reserved)"
+# A notice: a copyright sign or word followed by a year or another sign, or by at most six words that begin no
+# sentence of a licence; or the reservation alone. Other lines that begin so are text.
+NOT_A_NAME = r"(the\s+)?(above\s|holder|owner|notice|licen[sc]e|law|statement|interest|claim|disclaimer|protect|act\b|treat|and\b|or\b|" \
+    r"in\b|is\b|are\b|as\b|to\b|of\b|on\b|for\b|that\b|which\b|you\b|may\b|must\b|shall\b|if\b|information)"
+COPYRIGHT = r"^[^a-z0-9]*((copyright|\(c\)|©)[\s:,]*(by\s+)?(\(c\)|©|copyright\s*(\(c\)|©|[0-9])|[<\[{(]?([0-9]{4}|y{4}|year)\b)|" \
+    rf"©|(copyright|\(c\))[\s:,]+(by\s+)?(?!{NOT_A_NAME})\S+(\s+\S+){{0,5}}\s*$|all rights reserved[^a-z0-9]*$)"
 
 # Licence texts and one-line notices.
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated

@@ -249,6 +249,19 @@ def test_licences(make_docs):
     assert licences.scan(make_docs([]), licences.built_in(docs.sparkSession)).collect() == []
 
 
+def test_licence_sentences_are_no_copyright_lines(make_docs):
+    one_line = " ".join(licences.MIT.split())
+    usual = licences.MIT.replace("\nCOPYRIGHT HOLDERS BE", " COPYRIGHT HOLDERS BE").replace("DAMAGES OR", "DAMAGES\nOR")
+    narrow = licences.MIT.replace("OR\nCOPYRIGHT HOLDERS BE", "OR\nCOPYRIGHT HOLDERS BE\n")
+    notices = ["Copyright (c) 2020 A. Author", "Copyright 2019-2021, The Authors", "(c) 2020 me", "\u00a9 Example Ltd", "COPYRIGHT Jane Doe",
+               "Copyright (C) <year> <name>", " * Copyright by Example Corp.", "All rights reserved."]
+    texts = [one_line, usual, narrow, *[f"{n}\n\n{one_line}" for n in notices]]
+    got = licences.scan(make_docs(texts), licences.built_in(make_docs([]).sparkSession)).collect()
+    assert {r.doc_id: r.licences for r in got} == dict.fromkeys(range(len(texts)), "MIT")
+    other = make_docs([one_line.replace("COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM", "PEOPLE BE LIABLE FOR ANY CLAIM")])
+    assert licences.scan(other, licences.built_in(other.sparkSession)).first().licences == ""
+
+
 # -- secrets
 
 def findings():
