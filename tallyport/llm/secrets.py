@@ -1,6 +1,7 @@
 """Secret scans with a random forest that removes false positives.
 
-Candidates are the long runs of key characters with a digit in them. Each is described
+Candidates are the long runs of key characters with a digit in them, all of a word, and
+runs of eight or more after a credential's name and = or :. Each is described
 by its length, the changes between character classes inside it, how much of it the
 corpus's frequent words cover, whether it looks like a path, address or host, and the
 words around it. A random forest trained on labelled findings gives the probability
@@ -31,9 +32,18 @@ from pyspark.sql import functions as F
 from tallyport.llm.common import Stage, let, lower_ascii, table
 
 LEAST = 16
-CANDIDATE = rf"[A-Za-z0-9+/_.@:~-]{{{LEAST},}}={{0,2}}"
+# A value after a credential's name may be shorter, and without a digit.
+LEAST_NAMED = 8
+KEY = r"A-Za-z0-9+/_.@~\-"
+CANDIDATE = rf"[{KEY}:]{{{LEAST},}}"
+# Equal signs belong to a run as its padding, unless a value follows them.
+TOKEN = rf"[{KEY}:]+(?:={{1,2}}(?!=|[\"']?[{KEY}]))?|[^{KEY}:]+"
+KEYS = rf"^[{KEY}]"
+LEAD = 6
 # Names of credentials, in lower case.
 NAMES = r"(token|secret|passwd|password|pwd|api_?key|apikey|access_?key|private_?key|credential|auth)"
+# What stands between the end of a credential's name and its value.
+ASSIGNS = r"[a-z0-9_-]*[\"']?\s*[=:]"
 DICTIONARY = 1_000
 MAX_TRAIN = 20_000
 TREES, DEPTH, SEED = 20, 6, 7
@@ -49,19 +59,51 @@ def dictionary(docs: DataFrame, size: int = DICTIONARY) -> list[str]:
     return [r.word for r in counted.orderBy(F.desc("n"), "word").limit(size).collect()]
 
 
+def tokens_of(word: Column) -> Column:
+    """The word in runs of key characters and runs of others; concatenated they are the word.
+
+    A run is parted at its colons where a part of it is a candidate by itself.
+    """
+    parted = lambda t: t.contains(":") & F.exists(F.split(t, ":"), lambda p: (F.length(p) >= LEAST) & p.rlike("[0-9]"))
+    part = lambda t: F.when(parted(t), F.regexp_extract_all(t, F.lit("[^:]+|:+"), F.lit(0))).otherwise(F.array(t))
+    return F.flatten(F.transform(F.regexp_extract_all(word, F.lit(TOKEN), F.lit(0)), part))
+
+
 def candidates(docs: DataFrame) -> DataFrame:
-    """(doc_id, word_at, word, before, before2, after, candidate) for each candidate."""
+    """(doc_id, word_at, word, before, before2, after, at, lead, next, candidate) for each candidate.
+
+    `at` is its first character within the word, from 0; `lead` up to LEAD tokens before it.
+    A run of LEAST key characters with a digit is one, and so is one of LEAST_NAMED after
+    a credential's name and = or :.
+    """
 
     def found(words: Column) -> Column:
-        likely = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: let(
-            F.get(words, i), lambda w: (F.length(w) >= LEAST) & w.rlike("[0-9]") & w.rlike(CANDIDATE)))
-        return F.transform(likely, lambda i: F.struct(
+        def likely(i: Column) -> Column:
+            near = lower_ascii(F.concat_ws(" ", F.get(words, i - 2), F.get(words, i - 1), F.get(words, i)))
+            return let(F.get(words, i), lambda w: (F.length(w) >= LEAST_NAMED) & (
+                ((F.length(w) >= LEAST) & w.rlike("[0-9]") & w.rlike(CANDIDATE)) | near.rlike(NAMES + ASSIGNS)))
+
+        return F.transform(F.filter(F.sequence(F.lit(0), F.size(words) - 1), likely), lambda i: F.struct(
             i.alias("word_at"), F.get(words, i).alias("word"), F.get(words, i - 1).alias("before"),
             F.get(words, i - 2).alias("before2"), F.get(words, i + 1).alias("after")))
 
+    def hits(of: Column) -> Column:
+        tokens = of["tokens"]
+        lead = lambda i: F.array_join(F.slice(tokens, F.greatest(i - LEAD, F.lit(0)) + 1, F.least(i, F.lit(LEAD))), "")
+
+        def wanted(i: Column) -> Column:
+            head = lower_ascii(F.concat_ws(" ", of["before2"], of["before"], lead(i)))
+            return let(F.get(tokens, i), lambda t: t.rlike(KEYS) & (
+                ((F.length(t) >= LEAST) & t.rlike("[0-9]")) | ((F.length(t) >= LEAST_NAMED) & head.rlike(NAMES + ASSIGNS + r"\s*[\"']?$"))))
+
+        return F.transform(F.filter(F.sequence(F.lit(0), F.size(tokens) - 1), wanted), lambda i: F.struct(
+            F.length(F.array_join(F.slice(tokens, 1, i), "")).alias("at"), lead(i).alias("lead"),
+            F.get(tokens, i + 1).alias("next"), F.get(tokens, i).alias("candidate")))
+
     words = F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+")
-    return docs.select("doc_id", F.explode(let(words, found)).alias("hit")).select(
-        "doc_id", "hit.*", F.regexp_extract("hit.word", CANDIDATE, 0).alias("candidate")).filter(F.col("candidate").rlike("[0-9]"))
+    rows = docs.select("doc_id", F.explode(let(words, found)).alias("hit")).select("doc_id", "hit.*")
+    of = F.struct(tokens_of(F.col("word")).alias("tokens"), "before", "before2")
+    return rows.withColumn("found", F.explode(let(of, hits))).select(*rows.columns, "found.*")
 
 
 def described(found: DataFrame, words: list[str]) -> DataFrame:
@@ -72,8 +114,8 @@ def described(found: DataFrame, words: list[str]) -> DataFrame:
     runs = F.filter(F.split(low, "[^a-z]+"), lambda w: F.length(w) >= 2)
     known = F.array(*map(F.lit, words)).cast("array<string>")
     covered = F.aggregate(F.filter(runs, lambda w: F.array_contains(known, w)), F.lit(0), lambda a, w: a + F.length(w))
-    near = F.concat_ws(" ", *[lower_ascii(F.col(x)) for x in ("before2", "before", "word")])
-    head = F.concat_ws(" ", "before2", "before", F.regexp_extract("word", rf"^(.*?){CANDIDATE}", 1))
+    near = F.concat_ws(" ", *[lower_ascii(F.col(x)) for x in ("before2", "before", "lead", "candidate")])
+    head = F.concat_ws(" ", "before2", "before", "lead")
     number = lambda x: F.coalesce(x, F.lit(False)).cast("double")
     return found.select(
         "*",
@@ -91,7 +133,7 @@ def described(found: DataFrame, words: list[str]) -> DataFrame:
         number(c.rlike(r"^([A-Za-z]+:)?[/~]|\.[a-z]{2,4}$")).alias("dotted"),
         number(near.rlike(NAMES)).alias("named"),
         number(head.rlike(r"(=|:)\s*[\"']?$")).alias("assigned"),
-        number(F.col("word").rlike("[\"']")).alias("quoted"),
+        number(F.concat("lead", F.lit(" "), F.coalesce("next", F.lit(""))).rlike("[\"']$|[\"'] | [\"']")).alias("quoted"),
         number(F.col("before").rlike("^[A-Za-z]{2,}[,.]?$") & F.col("after").rlike("^[A-Za-z]{2,}[,.]?$")).alias("words_near"),
     )
 
@@ -105,7 +147,7 @@ def plain_cases(found: DataFrame) -> DataFrame:
 
 def train(labelled: DataFrame, stage: Stage, max_train: int = MAX_TRAIN):
     """A forest on (features, is_secret); a number where all findings are of one kind."""
-    some = labelled.orderBy(F.xxhash64("doc_id", "word_at"), "doc_id", "word_at").limit(max_train)
+    some = labelled.orderBy(F.xxhash64("doc_id", "word_at", "at"), "doc_id", "word_at", "at").limit(max_train)
     rows = stage.keep(some.select(*FEATURES, "is_secret"))
     kinds = {r.is_secret for r in rows.select("is_secret").distinct().collect()}
     if len(kinds) < 2:
@@ -121,23 +163,24 @@ def judged(found: DataFrame, forest, threshold: float = THRESHOLD) -> DataFrame:
     else:
         vectors = VectorAssembler(inputCols=FEATURES, outputCol="vector").transform(found)
         score = forest.transform(vectors).withColumn("score", vector_to_array("probability")[1])
-    return score.select("doc_id", "word_at", "candidate", "score", (F.col("score") >= threshold).alias("is_secret"))
+    return score.select("doc_id", "word_at", "at", "candidate", "score", (F.col("score") >= threshold).alias("is_secret"))
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, word_at, candidate, score, is_secret) for each candidate in `docs`.
+    """(doc_id, word_at, at, candidate, score, is_secret) for each candidate in `docs`.
 
-    `labelled` has doc_id and word_at of findings and is_secret (1.0 or 0.0).
+    `labelled` has doc_id and word_at of findings, `at` where a word has several, and is_secret (1.0 or 0.0).
     """
     given = docs.select("doc_id", "text")
     stage = Stage(docs.sparkSession, "secrets")
     found = stage.keep(described(candidates(given), dictionary(given)))
+    on = ["doc_id", "word_at"] + ["at"] * (labelled is not None and "at" in labelled.columns)
     marked = plain_cases(found) if labelled is None else found.join(
-        labelled.select("doc_id", "word_at", "is_secret"), ["doc_id", "word_at"])
+        labelled.select(*on, "is_secret"), on)
     return judged(found, train(marked, stage), threshold)
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", "word_at", F.sha2("candidate", 256).alias("candidate_sha256"),
+    return out.select("doc_id", "word_at", "at", F.sha2("candidate", 256).alias("candidate_sha256"),
                       F.length("candidate").alias("length"), "score", "is_secret")

@@ -289,3 +289,17 @@ def test_secrets_learn_from_given_labels(make_docs, spark):
     assert np.mean([r.is_secret == (r.doc_id < 60 or r.doc_id == 300) for r in rest]) > 0.95
     assert secrets.scan(make_docs([])).collect() == []
     assert {r.is_secret for r in secrets.scan(make_docs(["see 12345678901234567890"])).collect()} == {False}
+
+
+def test_all_secrets_of_a_word(make_docs):
+    aws, spring, two = "wJalrXUtnFEMIK7MDENGbPxRfiCYzEXAMPLEKEY1", "Zx81kLm29QpR77vT", ["q8Zt" * 6, "m3Kd" * 7 + "=="]
+    words = [f'aws_secret_access_key="{aws}"', f"spring.datasource.password={spring}", f'{{"api_key":"{two[0]}","token":"{two[1]}"}}',
+             f"sha256:{two[0]}", "password=correcthorse", "see internationalization here", "12:34:56:78:9a:bc:de:f0"]
+    rows = [(1_000 + i, w) for i, w in enumerate(words)]
+    got = {}
+    for r in secrets.scan(make_docs(findings() + rows)).filter("doc_id >= 1000").collect():
+        got.setdefault(r.doc_id, []).append((r.candidate, r.is_secret))
+        assert words[r.doc_id - 1_000][r["at"]:].startswith(r.candidate) or r.word_at
+    assert {k: sorted(c for c, _ in v) for k, v in got.items()} == {
+        1_000: [aws], 1_001: [spring], 1_002: sorted(two), 1_003: [two[0]], 1_004: ["correcthorse"], 1_006: ["12:34:56:78:9a:bc:de:f0"]}
+    assert all(secret for k in (1_000, 1_002) for _, secret in got[k])
