@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyport.llm import ann, decontaminate, licences, linededup, lmscore, mixing, quality, secrets, simhash, substring
+from tallyport.llm import ann, audit, decontaminate, licences, linededup, lmscore, mixing, quality, secrets, simhash, substring
 
 QUERIES = {
     "op1_line_dedup": linededup.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8,
     "op9_licence_scan": licences.op9,
     "op10_mix_sources": mixing.op10,
+    "op12_filter_audit": audit.op12,
 }
 
 SQL = {
@@ -22,4 +23,5 @@ SQL = {
     "op7_substring_dedup": substring.OP7_SQL,
     "op8_decontaminate": decontaminate.OP8_SQL,
     "op10_mix_sources": mixing.OP10_SQL,
+    "op12_filter_audit": audit.OP12_SQL,
 }
