@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyport.llm import ann, audit, decontaminate, licences, linededup, lmscore, mixing, quality, secrets, simhash, substring
+from tallyport.llm import ann, audit, decontaminate, langid, licences, linededup, lmscore, mixing, quality, secrets, simhash, substring
 
 QUERIES = {
     "op1_line_dedup": linededup.op1,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_licence_scan": licences.op9,
     "op10_mix_sources": mixing.op10,
     "op12_filter_audit": audit.op12,
+    "op13_language_id": langid.op13,
 }
 
 SQL = {
