@@ -5,9 +5,10 @@ could be applied, what each step removes, what it would have removed but an earl
 step already did, what only it catches, and what good and toxic documents it costs.
 
 How the counts of words come about: every distinct word of the corpus gets an integer
-id from a global dictionary (hash buckets, words sorted inside a bucket, buckets laid
-end to end), each document becomes a row of a sparse document-term matrix, and rows
-are gathered into CSR shards (index pointers, term ids, counts) in numpy. A row's sum
+id, its 64-bit hash, proven unique over the whole vocabulary by one global pass (words
+that share a first hash take a second one); each document becomes a row of a sparse
+document-term matrix, and each Arrow batch of rows becomes a CSR shard (index pointers,
+sorted term ids, counts) in numpy. No pair of document and word is shuffled or written. A row's sum
 is its number of words (filter A), its number of non-zeros its distinct words (B).
 The remaining flags (C, D from the text, E from a table-wide digest of the text) are
 attached per row and the rows are reduced to counts of (part, flags) before the 120
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tallyport.llm.common import WORD, Stage, let
+from tallyport.llm.common import WORD, Stage
 from tallyport.session import Tables
 
 LETTERS = "ABCDE"
@@ -48,98 +49,74 @@ DISTINCT_PERCENT = 65
 UPPER_PERCENT = 5
 MARKS = "[#$%&*|]"
 
-# Dictionary buckets: words of one bucket are numbered in one task.
-BUCKETS = 1024
-# A dictionary stored in at most this many bytes is broadcast to the encoding; above it
-# the encoding is a shuffle join on the word.
-BROADCAST_DICTIONARY = 32 * 1024 * 1024
+# Term ids are 64-bit word hashes; the vocabulary pass finds first hashes that two words
+# share, which then take their second hash (at most MAX_COLLIDED of them, a literal).
+SECOND_SEED = 7
+MAX_COLLIDED = 10_000
 
 
-def _try_at(array: Column, i: Column) -> Column:
-    return F.try_element_at(array, i)
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
 
 
-def term_counts(text: Column) -> Column:
-    """array<struct<term string, n int>>: the distinct words of a text, sorted, with their counts."""
-    words = F.array_sort(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0)))
+def collided(docs: DataFrame) -> list[int]:
+    """First hashes shared by two different words anywhere in the corpus.
 
-    def runs(words: Column) -> Column:
-        n = F.size(words)
-        starts = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-                          lambda i: (i <= n) & ((i == 1) | (_try_at(words, i) != _try_at(words, i - 1))))
-        return let(starts, lambda starts: F.transform(starts, lambda s, j: F.struct(
-            _try_at(words, s).alias("term"), (F.coalesce(_try_at(starts, j + 2), n + 1) - s).cast("int").alias("n"))))
-
-    return let(words, runs)
-
-
-def dictionary(pairs: DataFrame) -> DataFrame:
-    """(term, term_id): ids 0 .. V-1 for the V distinct terms, stable for a given vocabulary."""
-    vocab = pairs.select("term").where("term IS NOT NULL").distinct() \
-        .withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(BUCKETS)))
-    ranked = vocab.withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy("term")))
-    sizes = vocab.groupBy("bucket").count()
-    # At most BUCKETS rows, summed in one task.
-    offsets = sizes.select("bucket", (F.sum("count").over(Window.orderBy("bucket")) - F.col("count")).alias("offset"))
-    return ranked.join(F.broadcast(offsets), "bucket").select(
-        "term", (F.col("offset") + F.col("rank") - 1).cast("int").alias("term_id"))
+    The vocabulary pass: distinct (first, second) hash pairs of all words, combined on the
+    map side, then grouped by the first. Expected empty below some 10^9 distinct words.
+    """
+    hashed = F.transform(_words(F.col("text")), lambda w: F.struct(F.xxhash64(w).alias("h"),
+                                                                   F.xxhash64(w, F.lit(SECOND_SEED)).alias("h2")))
+    pairs = docs.select(F.explode(F.array_distinct(hashed)).alias("p")).select("p.h", "p.h2")
+    shared = pairs.distinct().groupBy("h").agg(F.count(F.lit(1)).alias("words")).where("words > 1")
+    found = [r["h"] for r in shared.limit(MAX_COLLIDED + 1).collect()]
+    if len(found) > MAX_COLLIDED:
+        raise ValueError(f"more than {MAX_COLLIDED} colliding word hashes: use a wider hash")
+    return found
+
+
+def term_ids(text: Column, clashes: list[int]) -> Column:
+    """array<long>: the term id of every word of a text, in order, repeats kept."""
+    ids = F.transform(_words(text), lambda w: F.xxhash64(w))
+    if not clashes:
+        return ids
+    bad = F.array(*[F.lit(h) for h in clashes])
+    return F.transform(_words(text), lambda w: F.when(F.array_contains(bad, F.xxhash64(w)),
+                                                      F.xxhash64(w, F.lit(SECOND_SEED))).otherwise(F.xxhash64(w)))
 
 
 CSR_OUT = T.StructType([T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()),
                         T.StructField("n_words", T.LongType()), T.StructField("n_terms", T.LongType())])
 
 
-def _csr_stats(batches):
-    """Rows (seq, k1, k2, term_id, n), those of one seq next to each other -> one row per seq.
+def csr(lengths: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(indptr, indices, data) of rows whose term ids are `flat` cut at `lengths`; indices sorted per row."""
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    order = np.lexsort((flat, row))
+    row, ids = row[order], flat[order]
+    new = np.r_[True, (row[1:] != row[:-1]) | (ids[1:] != ids[:-1])] if len(ids) else np.zeros(0, bool)
+    starts = np.flatnonzero(new)
+    data = np.diff(np.r_[starts, len(ids)])
+    indptr = np.r_[0, np.cumsum(np.bincount(row[starts], minlength=len(lengths)))]
+    return indptr, ids[starts], data
 
-    Each batch becomes a CSR shard: indptr over its complete rows, indices and data; a
-    row cut by the end of a batch is carried into the next one.
-    """
-    carry = None
+
+def _csr_stats(batches):
+    """Each Arrow batch of rows (k1, k2, ids) becomes one CSR shard; row sums and non-zeros come out."""
     for batch in batches:
-        if carry is not None:
-            batch = pd.concat([carry, batch], ignore_index=True)
-        if batch.empty:
-            continue
-        seq = batch["seq"].to_numpy()
-        last = seq[-1]
-        done = seq != last
-        carry, batch = batch[~done], batch[done]
-        if not batch.empty:
-            yield _shard(batch)
-    if carry is not None and not carry.empty:
-        yield _shard(carry)
-
-
-def _shard(rows: pd.DataFrame) -> pd.DataFrame:
-    seq = rows["seq"].to_numpy()
-    firsts = np.flatnonzero(np.r_[True, seq[1:] != seq[:-1]])
-    stored = rows["term_id"].notna().to_numpy()
-    # CSR: a row without words (term_id null) stores no entry.
-    indptr = np.r_[0, np.cumsum(stored)][np.r_[firsts, len(seq)]]
-    indices = rows["term_id"].to_numpy()[stored].astype(np.int64)
-    data = rows["n"].to_numpy()[stored].astype(np.int64)
-    sums = np.add.reduceat(np.r_[data, 0], indptr[:-1]) if len(indptr) > 1 else np.zeros(0, np.int64)
-    nnz = np.diff(indptr)
-    assert len(indices) == indptr[-1]
-    return pd.DataFrame({"k1": rows["k1"].to_numpy()[firsts], "k2": rows["k2"].to_numpy()[firsts],
-                         "n_words": np.where(nnz > 0, sums, 0).astype(np.int64), "n_terms": nnz.astype(np.int64)})
-
-
-def matrix_stats(docs: DataFrame, stage: Stage) -> DataFrame:
+        lists = batch["ids"]
+        lengths = np.fromiter((len(x) for x in lists), np.int64, len(lists))
+        flat = np.concatenate([np.asarray(x, np.int64) for x in lists]) if len(lists) else np.zeros(0, np.int64)
+        indptr, _, data = csr(lengths, flat)
+        sums = np.add.reduceat(np.r_[data, 0], indptr[:-1]) * (np.diff(indptr) > 0)
+        yield pd.DataFrame({"k1": batch["k1"], "k2": batch["k2"], "n_words": sums.astype(np.int64),
+                            "n_terms": np.diff(indptr).astype(np.int64)})
+
+
+def matrix_stats(docs: DataFrame) -> DataFrame:
     """(k1, k2, n_words, n_terms): row sums and non-zeros of the document-term matrix, one row per key."""
-    # One seq per document, fixed before its words are spread over rows.
-    rows = docs.select(F.monotonically_increasing_id().alias("seq"), *_keys(), "text") \
-        .select("seq", "k1", "k2", F.explode_outer(term_counts(F.col("text"))).alias("tc"))
-    pairs = stage.keep(rows.select("seq", "k1", "k2", "tc.term", "tc.n"))
-    terms = stage.keep(dictionary(pairs))
-    stored = int(str(terms._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    small = stored <= BROADCAST_DICTIONARY
-    coded = pairs.join(F.broadcast(terms) if small else terms, "term", "left").select("seq", "k1", "k2", "term_id", "n")
-    if not small:
-        coded = coded.repartition("seq")
-    coded = coded.sortWithinPartitions("seq", "term_id")
-    stats = coded.mapInPandas(_csr_stats, CSR_OUT)
+    ids = docs.select(*_keys(), term_ids(F.col("text"), collided(docs)).alias("ids"))
+    stats = ids.mapInPandas(_csr_stats, CSR_OUT)
     # Copies of one key have the same text, so the same row.
     return stats.groupBy("k1", "k2").agg(F.max("n_words").alias("n_words"), F.max("n_terms").alias("n_terms"))
 
@@ -181,7 +158,7 @@ def _steps() -> Column:
 
 def audit(docs: DataFrame, labels: DataFrame, stage: Stage) -> DataFrame:
     """part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, shapley."""
-    stats = matrix_stats(docs, stage)
+    stats = matrix_stats(docs)
     rows = flags(docs, labels).join(stats, ["k1", "k2"])
     fails = {"A": F.col("n_words") < LEAST_WORDS, "B": 100 * F.col("n_terms") < DISTINCT_PERCENT * F.col("n_words"),
              "C": F.col("fc"), "D": F.col("fd"), "E": F.col("fe")}

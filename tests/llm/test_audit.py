@@ -3,6 +3,8 @@
 import itertools
 import re
 
+import numpy as np
+
 from llm_cases import CLASHES
 from pyspark.sql import functions as F
 
@@ -83,11 +85,20 @@ def test_clashing_columns_ignored(spark):
     assert {(r.part, r.filter_order, r.step): (r.kept, r.removed, r.redundant, r.unique_fails, r.good_lost, r.toxic_lost,
                                                 r.shapley) for r in got} == brute(DOCS, LABELS)
 
-def test_shuffle_path_matches(spark, monkeypatch):
-    monkeypatch.setattr(audit, "BROADCAST_DICTIONARY", -1)
+def test_colliding_hashes_take_second_ids(spark, monkeypatch):
+    words = spark.createDataFrame([("w1",), ("w2",), ("x",)], "w string").select(F.xxhash64("w").alias("h")).collect()
+    monkeypatch.setattr(audit, "collided", lambda docs: [r.h for r in words])
     assert run(spark, DOCS, LABELS) == brute(DOCS, LABELS)
 
-def test_dense_ids(spark):
-    pairs = spark.createDataFrame([(w,) for w in ["b", "a", "c", "a", None, "d" * 500]], "term string")
-    ids = sorted(r.term_id for r in audit.dictionary(pairs).collect())
-    assert ids == list(range(4))
+
+def test_no_collisions_in_corpus(spark):
+    frame = spark.createDataFrame(DOCS, "doc_id long, text string, source string")
+    assert audit.collided(frame) == []
+
+
+def test_csr_shard():
+    lengths = np.array([3, 0, 4, 1])
+    flat = np.array([5, 2, 5, 9, 9, 9, 1, 7])
+    indptr, indices, data = audit.csr(lengths, flat)
+    assert indptr.tolist() == [0, 2, 2, 4, 5]
+    assert indices.tolist() == [2, 5, 1, 9, 7] and data.tolist() == [1, 2, 1, 3, 1]
