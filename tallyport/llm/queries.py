@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tallyport.llm import ann, audit, decontaminate, langid, licences, linededup, lmscore, mixing, quality, secrets, simhash, substring
+from tallyport.llm import (ann, audit, decontaminate, langid, licences, linededup, lmscore, mixing, quality, runs, secrets, simhash,
+                           substring)
 
 QUERIES = {
     "op1_line_dedup": linededup.op1,
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8,
     "op9_licence_scan": licences.op9,
     "op10_mix_sources": mixing.op10,
+    "op11_periodic_runs": runs.op11,
     "op12_filter_audit": audit.op12,
     "op13_language_id": langid.op13,
 }
