@@ -251,3 +251,72 @@ def summary(history: DataFrame, weeks: float, level: float = DEFAULT_LEVEL, show
             F.lit("Confidence intervals: "), "ci",
         ).alias("model_summary"),
     )
+
+
+# --- trend with changes of slope ---------------------------------------------------
+# Candidate bends: CHANGEPOINTS month starts spread evenly over the first CHANGE_RANGE
+# of a series' span; a hinge (t - c)+ per candidate. Slope changes are shrunk by a ridge
+# penalty RIDGE (on the series scaled by its mean absolute value, t in years), intercept
+# and first slope are not. The normal equations are summed per series in one
+# aggregation and solved by Gauss-Jordan elimination in higher-order functions.
+CHANGEPOINTS = 5
+CHANGE_RANGE = 0.8
+RIDGE = 1.0
+
+
+def _hinge_basis(t: Column, span: Column) -> list[Column]:
+    """1, t, and (t - c_k)+ for the candidate months c_k; t and the hinges in years."""
+    bends = [F.floor(span * CHANGE_RANGE * k / (CHANGEPOINTS + 1)) for k in range(1, CHANGEPOINTS + 1)]
+    return [F.lit(1.0), t / 12.0] + [F.greatest((t - c) / 12.0, F.lit(0.0)) for c in bends]
+
+
+def solve(a: Column, b: Column, size: int) -> Column:
+    """x with a x = b for a symmetric positive definite `a` (array of rows): Gauss-Jordan, no pivoting."""
+
+    def step(acc: Column, k: Column) -> Column:
+        rows, rhs = acc["a"], acc["b"]
+        pivot = rows[k][k]
+        new_rows = F.transform(rows, lambda row, i: F.when(i == k, F.transform(row, lambda v: v / pivot)).otherwise(
+            F.transform(row, lambda v, j: v - row[k] / pivot * rows[k][j])))
+        new_rhs = F.transform(rhs, lambda v, i: F.when(i == k, v / pivot).otherwise(v - rows[i][k] / pivot * rhs[k]))
+        return F.struct(new_rows.alias("a"), new_rhs.alias("b"))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(size - 1)), F.struct(a.alias("a"), b.alias("b")), step)["b"]
+
+
+def fit_changepoints(history: DataFrame, min_points: int = MIN_POINTS) -> DataFrame:
+    """Per series: points, slopes at start and end (per month), the fitted last and next month.
+
+    Defined cases: series with fewer than `min_points` months drop out; null values are
+    skipped; a series of zeros is fitted as zeros; candidates past the last month have
+    all-zero hinges and, with the ridge, a zero change.
+    """
+    size = 2 + CHANGEPOINTS
+    rows = history.where(F.col("y").isNotNull() & F.col("ds").isNotNull())
+    ends = rows.groupBy("series").agg(F.min("ds").alias("first_ds"), F.max("ds").alias("last_ds"),
+                                      F.count(F.lit(1)).alias("points"), F.avg(F.abs("y")).alias("scale"))
+    ends = ends.where(F.col("points") >= min_points)
+    t = F.months_between("ds", "first_ds").cast("double")
+    span = F.months_between("last_ds", "first_ds").cast("double")
+    basis = _hinge_basis(t, span)
+    scaled = F.col("y") / F.when(F.col("scale") > 0, F.col("scale")).otherwise(F.lit(1.0))
+    sums = rows.join(ends, "series").groupBy("series", "points", "first_ds", "last_ds", "scale").agg(
+        *[F.sum(basis[i] * basis[j]).alias(f"a{i}_{j}") for i in range(size) for j in range(i, size)],
+        *[F.sum(basis[i] * scaled).alias(f"b{i}") for i in range(size)])
+    a = F.array(*[F.array(*[F.col(f"a{min(i, j)}_{max(i, j)}") + (RIDGE if i == j and i >= 2 else 0.0) for j in range(size)])
+                  for i in range(size)])
+    b = F.array(*[F.col(f"b{i}") for i in range(size)])
+    solved = sums.select("series", "points", "scale", span.alias("span"), solve(a, b, size).alias("beta"))
+    unit = F.when(F.col("scale") > 0, F.col("scale")).otherwise(F.lit(1.0))
+    beta = [F.col("beta")[i] * unit for i in range(size)]
+
+    def value_at(months: Column) -> Column:
+        return sum((p * c for p, c in zip(_hinge_basis(months, F.col("span")), beta)), F.lit(0.0))
+
+    return solved.select(
+        "series", "points",
+        (beta[1] / 12).alias("slope_start"),
+        (sum(beta[1:], F.lit(0.0)) / 12).alias("slope_end"),
+        value_at(F.col("span")).alias("yhat_last"),
+        value_at(F.col("span") + 1).alias("yhat_next"),
+    )

@@ -853,3 +853,11 @@ def strategy_summary(tables, root):
         F.when(kind == "view", "view").when(kind == "purchase", "base_table").otherwise("unknown").alias("strategy"),
     )
     return logs.overall_strategy(results, "question_id", "event_id")
+
+
+@query
+def forecast_changepoints(c):
+    """Trend with changes of slope for every series: slopes at both ends, last and next month fitted."""
+    fits = forecast.fit_changepoints(_history(c))
+    return fits.select("series", "points", *[round_half_up(F.col(x), 2).alias(x)
+                                             for x in ("slope_start", "slope_end", "yhat_last", "yhat_next")])

@@ -1021,3 +1021,51 @@ SQL["strategy_summary"] = """
       CASE WHEN bool_or(s = 'base_table') THEN 'base_table'
            ELSE coalesce(arg_min(s, event_id) FILTER (s <> 'unknown'), 'unknown') END AS strategy
     FROM log GROUP BY 1"""
+
+
+def _changepoints() -> str:
+    """The hinge trend of forecast.fit_changepoints: same basis, sums, ridge and elimination."""
+    # Stated here, not imported: five candidate bends over the first 80 % of the span, ridge 1.
+    k, size, ridge, share = 5, 7, 1.0, 0.8
+
+    def basis(t: str) -> list[str]:
+        return ["1.0", f"{t} / 12.0"] + [f"greatest(({t} - floor(span * {share} * {c} / {k + 1})) / 12.0, 0.0)" for c in range(1, k + 1)]
+
+    x = basis("t")
+    a = "[" + ", ".join("[" + ", ".join(f"sum(({x[min(i, j)]}) * ({x[max(i, j)]}))" + (f" + {ridge}" if i == j and i >= 2 else "")
+                                        for j in range(size)) + "]" for i in range(size)) + "]"
+    b = "[" + ", ".join(f"sum(({x[i]}) * ys)" for i in range(size)) + "]"
+    beta = [f"(beta[{i + 1}] * unit)" for i in range(size)]
+
+    def value(t: str) -> str:
+        out = "0.0"
+        for p, c in zip(basis(t), beta):
+            out = f"({out} + ({p}) * {c})"
+        return out
+
+    end = "0.0"
+    for c in beta[1:]:
+        end = f"({end} + {c})"
+    steps = f"""ends AS (SELECT series, min(ds) AS first_ds, max(ds) AS last_ds, count(*) AS points, avg(abs(y)) AS scale
+          FROM h WHERE y IS NOT NULL AND ds IS NOT NULL GROUP BY series HAVING count(*) >= 4),
+        pts AS (SELECT h.series, e.points, e.scale, CAST(datediff('month', e.first_ds, h.ds) AS DOUBLE) AS t,
+          CAST(datediff('month', e.first_ds, e.last_ds) AS DOUBLE) AS span,
+          h.y / CASE WHEN e.scale > 0 THEN e.scale ELSE 1.0 END AS ys
+          FROM h JOIN ends e USING (series) WHERE h.y IS NOT NULL AND h.ds IS NOT NULL),
+        sys AS (SELECT series, points, scale, span, {a} AS a, {b} AS b FROM pts GROUP BY series, points, scale, span),
+        ge AS (SELECT series, 0 AS k, a, b FROM sys
+          UNION ALL
+          SELECT series, k + 1,
+            list_transform(range({size}), lambda i: CASE WHEN i = k THEN list_transform(a[k + 1], lambda v: v / a[k + 1][k + 1])
+              ELSE list_transform(range({size}), lambda j: a[i + 1][j + 1] - a[i + 1][k + 1] / a[k + 1][k + 1] * a[k + 1][j + 1]) END),
+            list_transform(range({size}), lambda i: CASE WHEN i = k THEN b[k + 1] / a[k + 1][k + 1]
+              ELSE b[i + 1] - a[i + 1][k + 1] / a[k + 1][k + 1] * b[k + 1] END)
+          FROM ge WHERE k < {size}),
+        fit AS (SELECT s.series, s.points, s.span, ge.b AS beta, CASE WHEN s.scale > 0 THEN s.scale ELSE 1.0 END AS unit
+          FROM sys s JOIN ge ON s.series = ge.series AND ge.k = {size})"""
+    body = f"""SELECT series, points, {rnd(f'{beta[1]} / 12', 2)} AS slope_start, {rnd(f'{end} / 12', 2)} AS slope_end,
+        {rnd(value('span'), 2)} AS yhat_last, {rnd(value('(span + 1)'), 2)} AS yhat_next FROM fit"""
+    return on_many([M, ST, CAT], body, _HISTORY, steps).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+SQL["forecast_changepoints"] = _changepoints()
