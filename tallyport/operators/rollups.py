@@ -7,6 +7,9 @@ Every builder returns the published columns followed by additive components
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -235,17 +238,58 @@ def versions(spark: SparkSession, root: str) -> list[str]:
     return [n for n in names if n.startswith("v") and files.exists(path(f"{root}/{n}/{COMPLETE}"))]
 
 
+def _manifest(spark: SparkSession, root: str, version: str) -> dict[str, str]:
+    """Rollup name -> data folder of a complete version; a version of the first layout lists its own folders."""
+    path, files = _files(spark, root)
+    marker = path(f"{root}/{version}/{COMPLETE}")
+    stream = files.open(marker)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    if text.strip():
+        return json.loads(text)
+    return {n: f"{root}/{version}/{n}" for n in BUILDERS if files.exists(path(f"{root}/{version}/{n}"))}
+
+
+def _publish(spark: SparkSession, root: str, written: dict[str, str], attempts: int = 20) -> str:
+    """Commit `written` over the newest manifest as the next version; the rest is carried over.
+
+    The marker is created only if absent, so of two writers that take the same number one
+    fails to create it, reads the newer manifest and tries the number after it.
+    """
+    path, files = _files(spark, root)
+    for _ in range(attempts):
+        done = versions(spark, root)
+        carried = _manifest(spark, root, done[-1]) if done else {}
+        version = f"v{int(done[-1][1:]) + 1 if done else 1:010d}"
+        try:
+            out = files.create(path(f"{root}/{version}/{COMPLETE}"), False)
+        except Exception as error:  # another writer took this number
+            if "AlreadyExists" not in str(error) and "already exists" not in str(error):
+                raise
+            continue
+        try:
+            out.write(bytearray(json.dumps(carried | written, sort_keys=True).encode()))
+        finally:
+            out.close()
+        return version
+    raise RuntimeError(f"could not publish rollups below {root} after {attempts} attempts")
+
+
 def refresh(spark: SparkSession, c: Commerce, root: str, names: Sequence[str] = (), kept_versions: int = 2) -> DataFrame:
     """Rebuild all rollups (or those in `names`) under `root` and report (rollup, row_count).
 
-    They go to a new version folder whose marker is written last. Readers take the
-    newest complete version, so they see all rollups of one refresh, and a refresh that
-    fails half-way is never seen. Versions beyond the newest `kept_versions` are deleted.
+    Each rollup goes to a data folder of its own; a manifest, the version's marker, then
+    names the folder of every rollup: the rebuilt ones and, carried over from the
+    previous version, all others. Readers take the newest manifest, so a partial refresh
+    hides nothing, and a refresh that fails before its manifest is never seen. Versions
+    beyond the newest `kept_versions` are deleted, and data folders that no kept manifest
+    names and that are older than the oldest kept one.
     """
-    done = versions(spark, root)
-    version = f"v{int(done[-1][1:]) + 1 if done else 1:010d}"
-    folder = f"{root}/{version}"
     wanted = [n for n in BUILDERS if not names or n in names]
+    batch = uuid.uuid4().hex
+    written = {n: f"{root}/data/{n}-{batch}" for n in wanted}
     with Staging(spark, root) as stage:
         frames = {n: BUILDERS[n](c) for n in wanted}
         if {"mv_monthly_sales", "mv_state_sales"} <= set(wanted):
@@ -256,22 +300,34 @@ def refresh(spark: SparkSession, c: Commerce, root: str, names: Sequence[str] =
             # Ranges over the whole key keep the ym statistics of each file tight and
             # split a month that holds most rows.
             keys = ROLLUP_KEYS[name]
-            frame.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(f"{folder}/{name}")
+            frame.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(written[name])
+    _publish(spark, root, written)
+    _tidy(spark, root, kept_versions)
+    return row_counts({n: spark.read.parquet(written[n]) for n in wanted})
+
+
+def _tidy(spark: SparkSession, root: str, kept_versions: int) -> None:
     path, files = _files(spark, root)
-    files.create(path(f"{folder}/{COMPLETE}")).close()
-    for old in versions(spark, root)[:-kept_versions]:
+    done = versions(spark, root)
+    for old in done[:-kept_versions]:
         files.delete(path(f"{root}/{old}"), True)
-    return row_counts({n: spark.read.parquet(f"{folder}/{n}") for n in wanted})
+    kept = done[-kept_versions:]
+    if not kept or not files.exists(path(f"{root}/data")):
+        return
+    named = {p for v in kept for p in _manifest(spark, root, v).values()}
+    oldest = files.getFileStatus(path(f"{root}/{kept[0]}/{COMPLETE}")).getModificationTime()
+    for status in files.listStatus(path(f"{root}/data")):
+        folder = f"{root}/data/{status.getPath().getName()}"
+        if folder not in named and status.getModificationTime() < oldest:
+            files.delete(status.getPath(), True)
 
 
 def read_all(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The stored rollups of the newest complete version as a dict of lazy frames."""
+    """The stored rollups named by the newest complete version, as a dict of lazy frames."""
     done = versions(spark, root)
     if not done:
         raise FileNotFoundError(f"no complete rollups below {root}")
-    path, files = _files(spark, root)
-    folder = f"{root}/{done[-1]}"
-    return {n: spark.read.parquet(f"{folder}/{n}") for n in BUILDERS if files.exists(path(f"{folder}/{n}"))}
+    return {n: spark.read.parquet(folder) for n, folder in sorted(_manifest(spark, root, done[-1]).items())}
 
 
 def row_counts(frames: dict[str, DataFrame]) -> DataFrame:

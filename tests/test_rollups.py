@@ -131,3 +131,38 @@ def test_reconcile_finds_a_stale_view(spark, shop, tmp_path):
     later = later.unionByName(base.limit(1).withColumn("customer_state", F.lit("ZZ")))
     stale = reconcile.reconcile(view, later, keys, measures).first()
     assert stale.unmatched_keys == 1 and stale.max_diff_total_orders >= 1
+
+
+def test_partial_refresh_carries_the_others_over(spark, shop, tmp_path):
+    root = str(tmp_path)
+    rollups.refresh(spark, shop, root)
+    every = set(rollups.read_all(spark, root))
+    assert every == set(rollups.BUILDERS)
+    for _ in range(3):
+        rollups.refresh(spark, shop, root, ["mv_state_sales"], kept_versions=2)
+    stored = rollups.read_all(spark, root)
+    assert set(stored) == every
+    assert all(frame.count() >= 0 for frame in stored.values())
+
+
+def test_two_writers_of_one_number_both_publish(spark, shop, tmp_path):
+    root = str(tmp_path)
+    rollups.refresh(spark, shop, root, ["mv_monthly_sales"])
+    first = rollups._manifest(spark, root, "v0000000001")
+    # Another writer took number 2 in between: ours becomes number 3 over it.
+    (tmp_path / "v0000000002").mkdir()
+    (tmp_path / "v0000000002" / rollups.COMPLETE).write_text(
+        '{"mv_monthly_sales": "%s", "mv_payment_dist": "%s"}' % (first["mv_monthly_sales"], first["mv_monthly_sales"]))
+    version = rollups._publish(spark, root, {"mv_state_sales": first["mv_monthly_sales"]})
+    assert version == "v0000000003"
+    assert set(rollups._manifest(spark, root, version)) == {"mv_monthly_sales", "mv_payment_dist", "mv_state_sales"}
+
+
+def test_crash_before_commit_is_not_read(spark, shop, tmp_path):
+    root = str(tmp_path)
+    rollups.refresh(spark, shop, root, ["mv_state_sales"])
+    before = rollups._manifest(spark, root, "v0000000001")
+    (tmp_path / "data" / "mv_state_sales-broken").mkdir(parents=True)
+    (tmp_path / "v0000000002").mkdir()
+    assert rollups.versions(spark, root) == ["v0000000001"]
+    assert rollups._manifest(spark, root, rollups.versions(spark, root)[-1]) == before
