@@ -65,9 +65,9 @@ def collided(docs: DataFrame) -> list[int]:
     The vocabulary pass: distinct (first, second) hash pairs of all words, combined on the
     map side, then grouped by the first. Expected empty below some 10^9 distinct words.
     """
-    hashed = F.transform(_words(F.col("text")), lambda w: F.struct(F.xxhash64(w).alias("h"),
-                                                                   F.xxhash64(w, F.lit(SECOND_SEED)).alias("h2")))
-    pairs = docs.select(F.explode(F.array_distinct(hashed)).alias("p")).select("p.h", "p.h2")
+    # Repeats are removed by the map-side side of `distinct`, in a hash table per task.
+    words = docs.select(F.explode(_words(F.col("text"))).alias("w"))
+    pairs = words.select(F.xxhash64("w").alias("h"), F.xxhash64("w", F.lit(SECOND_SEED)).alias("h2"))
     shared = pairs.distinct().groupBy("h").agg(F.count(F.lit(1)).alias("words")).where("words > 1")
     found = [r["h"] for r in shared.limit(MAX_COLLIDED + 1).collect()]
     if len(found) > MAX_COLLIDED:
