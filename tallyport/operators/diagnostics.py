@@ -15,6 +15,7 @@ from tallyport.operators.facts import (
     order_review_scores,
     product_categories,
 )
+from tallyport.operators.quantiles import exact_percentile
 from tallyport.roles import Commerce
 from tallyport.sources.staging import Keep, in_place
 
@@ -375,20 +376,18 @@ def trim_p95(points: DataFrame, x: str, y: str, min_points: int = 10) -> DataFra
     """Drop points above the 95th percentile of either axis.
 
     Needs more than `min_points` points, and falls back to all of them when fewer
-    than `min_points` would stay. `points` are aggregated chart points.
+    than `min_points` would stay. `points` are aggregated chart points; the percentiles
+    are exact, found in rounds of bounded memory.
     """
-    limits = points.agg(
-        F.struct(
-            F.percentile(x, F.lit(0.95)).alias("x"),
-            F.percentile(y, F.lit(0.95)).alias("y"),
-            F.count(F.lit(1)).alias("n"),
-        )
-    ).scalar()
-    marked = points.withColumn("_limits", limits)
-    inside = (F.col(x) <= F.col("_limits.x")) & (F.col(y) <= F.col("_limits.y"))
-    kept = marked.agg(F.count_if(inside)).scalar()
-    trims = (F.col("_limits.n") > min_points) & (kept >= min_points)
-    return marked.filter(~trims | inside).drop("_limits")
+    limit_x, limit_y = exact_percentile(points, x, 0.95), exact_percentile(points, y, 0.95)
+    n = points.count()
+    if limit_x is None or limit_y is None:
+        return points
+    inside = (F.col(x) <= F.lit(limit_x)) & (F.col(y) <= F.lit(limit_y))
+    kept = points.agg(F.count_if(inside)).first()[0]
+    if n > min_points and kept >= min_points:
+        return points.filter(inside)
+    return points
 
 
 def axis_ranges(points: DataFrame, x: str, y: str) -> DataFrame:

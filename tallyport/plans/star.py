@@ -895,3 +895,14 @@ def returning_customers(c):
     return got.join(exact, "ym", "left").select(
         "ym", "next_ym", "returning", F.coalesce("exact_returning", F.lit(0)).alias("exact_returning"),
         (F.abs(F.col("returning") - F.coalesce("exact_returning", F.lit(0))) <= F.col("error_bound")).alias("within_bound"))
+
+
+@query
+def price_quantiles(c):
+    """Median, 95th and 99th percentile of all item prices, exact, found in rounds of bounded memory."""
+    from tallyport.operators.quantiles import exact_percentile
+
+    items = c.order_items.select("price")
+    values = [exact_percentile(items, "price", p) for p in (0.5, 0.95, 0.99)]
+    row = c.order_items.sparkSession.createDataFrame([tuple(values)], "p50 double, p95 double, p99 double")
+    return row.select(*[round_half_up(F.col(x), 2).alias(x) for x in ("p50", "p95", "p99")])

@@ -1090,3 +1090,6 @@ SQL["returning_customers"] = with_roles(
     "seen AS (SELECT DISTINCT ym, unique_id FROM buyers)",
     "months AS (SELECT ym, lead(ym) OVER (ORDER BY ym) AS next_ym FROM (SELECT DISTINCT ym FROM seen))",
 )
+SQL["price_quantiles"] = f"""SELECT {rnd('quantile_cont(l_extendedprice, 0.5)', 2)} AS p50,
+    {rnd('quantile_cont(l_extendedprice, 0.95)', 2)} AS p95, {rnd('quantile_cont(l_extendedprice, 0.99)', 2)} AS p99
+    FROM lineitem"""
