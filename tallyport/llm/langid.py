@@ -1,7 +1,7 @@
 """Language identification: script ranges narrow the candidates, Viterbi labels spans.
 
 Training (Spark): letter words of labelled documents (lower-cased runs of letters) are
-cut into character grams of one to GRAM letters with word-boundary marks; counts per
+cut into character grams of GRAM characters, word-boundary marks included; counts per
 (language, gram) are summed with map-side combining, and each language keeps its
 MAX_GRAMS commonest grams (a documented bound on the model; counting covers every
 training document). Each language also learns which writing systems its letters use.
@@ -24,6 +24,7 @@ is `und`. Extra columns are carried where the caller asks for them.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,11 +35,13 @@ from tallyport.session import Tables
 
 GRAM = 3
 MAX_GRAMS = 20_000
+# Labelled documents per language that train the model: a bounded, documented sample.
+TRAIN_PER_LANGUAGE = 2_000
 SWITCH = 6.0
 MIN_SCRIPT_SHARE = 0.01
 UNDETERMINED = "und"
 # Padded words x documents of one lockstep Viterbi group.
-CELLS = 1 << 18
+CELLS = 1 << 20
 
 # Named code-point ranges of writing systems (start, end inclusive).
 SCRIPTS = [
@@ -68,25 +71,33 @@ def held_out(doc_id: Column) -> Column:
 
 def _grams(word: str) -> list[str]:
     marked = f"<{word}>"
-    return [marked[i : i + n] for n in range(1, GRAM + 1) for i in range(len(marked) - n + 1)]
+    return [marked[i : i + GRAM] for i in range(len(marked) - GRAM + 1)]
 
 
-def fit(docs: DataFrame) -> dict:
-    """The model from training rows of `docs` (doc_id, text, lang): bounded in size, collected once."""
+def fit(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE) -> dict:
+    """The model from training rows of `docs` (doc_id, text, lang), counted in one pass, collected once.
+
+    The training rows are the `per_language` rows of each language with the smallest hash of
+    their id (a bounded sample, the only one); their ids reach the texts by a broadcast of at
+    most `per_language` x languages keys, so no text is shuffled.
+    """
     train = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    words = train.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(LETTER_WORD), F.lit(0))).alias("w"))
-    marked = F.concat(F.lit("<"), F.col("w"), F.lit(">"))
-    grams = words.select("lang", F.explode(F.flatten(F.transform(F.sequence(F.lit(1), F.lit(GRAM)), lambda n: F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length(marked) - n + 1, F.lit(1))),
-        lambda i: F.substring(marked, i, n))))).alias("gram"))
-    counts = grams.where(F.length("gram") > 0).groupBy("lang", "gram").count()
-    totals = {r["lang"]: (r["total"], r["distinct"]) for r in counts.groupBy("lang").agg(
-        F.sum("count").alias("total"), F.count(F.lit(1)).alias("distinct")).collect()}
-    top = counts.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "gram"))) \
-        .where(F.col("r") <= MAX_GRAMS).drop("r")
-    kept = top.collect()
-    langs = sorted(totals)
-    return {"langs": langs, "totals": totals, "grams": [(r["lang"], r["gram"], r["count"]) for r in kept]}
+    keys = train.select("doc_id", "lang", F.xxhash64("doc_id", "text").alias("pick"))
+    chosen = keys.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("pick", "doc_id"))) \
+        .where(F.col("r") <= per_language).select("lang", "pick")
+    sample = train.withColumn("pick", F.xxhash64("doc_id", "text")).join(F.broadcast(chosen), ["lang", "pick"], "left_semi")
+    words = sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(LETTER_WORD), F.lit(0))).alias("w"))
+    marked = words.select("lang", F.concat(F.lit("<"), F.col("w"), F.lit(">")).alias("m"))
+    grams = marked.select("lang", F.explode(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.length("m") - GRAM + 1, F.lit(1))), lambda i: F.substring("m", i, GRAM))).alias("gram"))
+    counts = grams.groupBy("lang", "gram").count().collect()
+    totals: dict[str, int] = {}
+    by_lang: dict[str, list[tuple[int, str]]] = {}
+    for r in counts:
+        totals[r["lang"]] = totals.get(r["lang"], 0) + r["count"]
+        by_lang.setdefault(r["lang"], []).append((-r["count"], r["gram"]))
+    kept = [(lang, g, -n) for lang, rows in by_lang.items() for n, g in sorted(rows)[:MAX_GRAMS]]
+    return {"langs": sorted(totals), "totals": {k: (v, 0) for k, v in totals.items()}, "grams": kept}
 
 
 class Model:
@@ -97,6 +108,7 @@ class Model:
         lang_ix = {lang: i for i, lang in enumerate(self.langs)}
         vocab = sorted({g for _, g, _ in fitted["grams"]})
         self.row = {g: i for i, g in enumerate(vocab)}
+        self.index = pd.Index(vocab, dtype=object)
         size = max(1, len(vocab))
         counts = np.zeros((len(vocab) + 1, len(self.langs)))
         for lang, gram, n in fitted["grams"]:
@@ -109,33 +121,47 @@ class Model:
         self.ends = np.array([b for _, b, _ in bounds])
         self.script_of = np.array([s for _, _, s in bounds])
         # Script shares of each language from its single-letter grams.
+        self.char_script: dict[str, int] = {}
         share = np.zeros((OTHER + 1, len(self.langs)))
         for lang, gram, n in fitted["grams"]:
-            if len(gram) == 1 and gram not in "<>":
-                share[self.script(gram), lang_ix[lang]] += n
+            for ch in gram.strip("<>"):
+                share[self.script(ch), lang_ix[lang]] += n
         share /= np.maximum(share.sum(axis=0, keepdims=True), 1)
         mask = share >= MIN_SCRIPT_SHARE
         self.allowed = np.where(mask.any(axis=1, keepdims=True), mask, True)
-        self.cache: dict[str, tuple[np.ndarray, int]] = {}
+        self.cache: dict[str, np.ndarray] = {}
 
     def script(self, word: str) -> int:
-        points = np.frombuffer(word.encode("utf-32-le"), np.uint32)
-        at = np.searchsorted(self.starts, points, side="right") - 1
-        inside = (at >= 0) & (points <= self.ends[np.maximum(at, 0)])
-        kinds = np.where(inside, self.script_of[np.maximum(at, 0)], OTHER)
-        return int(np.bincount(kinds, minlength=OTHER + 1).argmax())
-
-    def emissions(self, words: list[str]) -> np.ndarray:
-        """words x languages log-likelihoods; non-candidates at minus infinity."""
+        """The writing system of a word's first letter (words are runs of letters)."""
+        got = self.char_script.get(word[0])
+        if got is None:
+            point = ord(word[0])
+            at = int(np.searchsorted(self.starts, point, side="right")) - 1
+            got = int(self.script_of[at]) if at >= 0 and point <= self.ends[at] else OTHER
+            self.char_script[word[0]] = got
+        return got
+
+    def emissions(self, words) -> np.ndarray:
+        """words x languages log-likelihoods of distinct words; non-candidates at minus infinity."""
         out = np.empty((len(words), len(self.langs)))
+        todo = []
         for k, w in enumerate(words):
             got = self.cache.get(w)
             if got is None:
-                rows = [self.row.get(g, self.unseen) for g in _grams(w)]
-                got = np.where(self.allowed[self.script(w)], self.logp[rows].sum(axis=0), -np.inf)
-                if len(self.cache) < 200_000:
-                    self.cache[w] = got
-            out[k] = got
+                todo.append(k)
+            else:
+                out[k] = got
+        if todo:
+            grams = [_grams(words[k]) for k in todo]
+            sizes = np.fromiter(map(len, grams), np.int64, len(grams))
+            found = self.index.get_indexer([g for gs in grams for g in gs])
+            flat = np.where(found < 0, self.unseen, found)
+            sums = np.add.reduceat(self.logp[flat], np.r_[0, np.cumsum(sizes)[:-1]], axis=0)
+            allowed = self.allowed[[self.script(words[k]) for k in todo]]
+            fresh = np.where(allowed, sums, -np.inf)
+            out[todo] = fresh
+            if len(self.cache) < 200_000:
+                self.cache.update(zip((words[k] for k in todo), fresh))
         return out
 
 
@@ -169,13 +195,17 @@ def viterbi(scores: list[np.ndarray], switch: float) -> list[np.ndarray]:
             # Finished documents keep their last values.
             live = (t < lengths)[:, None]
             value = np.where(live, nxt, value)
+        # Back from each document's own end, all documents of the group at once.
+        at = np.arange(len(group))
+        state = value.argmax(axis=1)
+        path = np.zeros((longest, len(group)), np.int64)
+        for t in range(longest - 1, -1, -1):
+            live = t < lengths
+            path[t] = state
+            if t:
+                state = np.where(live, back[t, at, state], state)
         for j, i in enumerate(group):
-            n = lengths[j]
-            path = np.empty(n, int)
-            path[-1] = int(np.argmax(value[j]))
-            for t in range(n - 1, 0, -1):
-                path[t - 1] = back[t, j, path[t]]
-            paths[i] = path
+            paths[i] = path[: lengths[j], j]
     return paths
 
 
@@ -183,8 +213,15 @@ def label(model: Model, texts: list[str | None]) -> tuple[list[str], list[float]
     words = [regex.findall(LETTER_WORD, t.lower()) if t else [] for t in texts]
     if not model.langs:
         return [UNDETERMINED] * len(texts), [0.0] * len(texts)
-    scores = [model.emissions(ws) for ws in words]
+    # Each distinct word of the batch is scored once.
+    flat = [w for ws in words for w in ws]
+    codes, distinct = pd.factorize(pd.Series(flat, dtype=object)) if flat else (np.zeros(0, np.int64), [])
+    table = model.emissions(list(distinct))
+    ends = np.cumsum([len(ws) for ws in words])
+    scores = [table[codes[e - len(ws) : e]] for ws, e in zip(words, ends)]
     paths = viterbi(scores, SWITCH)
+    names = np.array(model.langs, dtype=object)
+    rank = np.argsort(np.argsort(names))  # smaller code first on full ties
     langs, shares = [], []
     for s, path in zip(scores, paths):
         if not len(path):
@@ -193,7 +230,7 @@ def label(model: Model, texts: list[str | None]) -> tuple[list[str], list[float]
             continue
         n = np.bincount(path, minlength=len(model.langs))
         sums = np.where(np.isfinite(s), s, 0).sum(axis=0)
-        best = max(range(len(model.langs)), key=lambda k: (n[k], sums[k], [-ord(c) for c in model.langs[k]]))
+        best = max(range(len(model.langs)), key=lambda k: (n[k], sums[k], -rank[k]))
         langs.append(model.langs[best])
         shares.append(float(n[best] / len(path)))
     return langs, shares
