@@ -462,14 +462,17 @@ SQL["metric_gmv_and_payments"] = with_roles(
 )
 SQL["reconcile_state_sales"] = on(
     ST,
-    """SELECT count(v.customer_state) AS view_rows, count(b.customer_state) AS base_rows,
-         count(*) FILTER (v.customer_state IS NULL OR b.customer_state IS NULL) AS unmatched_keys,
+    """SELECT count(v.in_v) AS view_rows, count(b.in_b) AS base_rows,
+         count(*) FILTER (v.in_v IS NULL OR b.in_b IS NULL) AS unmatched_keys,
          coalesce(max(abs(v.total_gmv - b.total_gmv)), 0) AS max_diff_total_gmv,
-         CAST(coalesce(max(abs(v.total_orders - b.total_orders)), 0) AS DOUBLE) AS max_diff_total_orders
-       FROM v FULL JOIN b ON v.customer_state = b.customer_state""",
-    f"""v AS (SELECT customer_state, {money('total_gmv')} AS total_gmv, sum(total_orders) AS total_orders
+         CAST(coalesce(max(abs(v.total_orders - b.total_orders)), 0) AS DOUBLE) AS max_diff_total_orders,
+         count(*) FILTER (v.in_v = 1 AND b.in_b = 1 AND ((v.total_gmv IS NULL) <> (b.total_gmv IS NULL))) AS null_mismatch_total_gmv,
+         count(*) FILTER (v.in_v = 1 AND b.in_b = 1 AND ((v.total_orders IS NULL) <> (b.total_orders IS NULL)))
+           AS null_mismatch_total_orders
+       FROM v FULL JOIN b ON v.customer_state IS NOT DISTINCT FROM b.customer_state""",
+    f"""v AS (SELECT customer_state, {money('total_gmv')} AS total_gmv, sum(total_orders) AS total_orders, 1 AS in_v
         FROM mv WHERE ym LIKE '{YEAR}%' GROUP BY 1)""",
-    f"b AS ({_BASE_RANKING})",
+    f"b AS (SELECT *, 1 AS in_b FROM ({_BASE_RANKING}))",
 )
 
 # --- anomalies and what-if ---------------------------------------------------

@@ -166,3 +166,11 @@ def test_crash_before_commit_is_not_read(spark, shop, tmp_path):
     (tmp_path / "v0000000002").mkdir()
     assert rollups.versions(spark, root) == ["v0000000001"]
     assert rollups._manifest(spark, root, rollups.versions(spark, root)[-1]) == before
+
+
+def test_reconcile_counts_null_against_value_and_matches_null_keys(spark):
+    view = spark.createDataFrame([("A", None), (None, 5.0), ("B", 1.0)], "k string, m double")
+    base = spark.createDataFrame([("A", 500.0), (None, 7.0), ("C", 2.0)], "k string, m double")
+    row = reconcile.reconcile(view, base, ["k"], ["m"]).first()
+    assert (row.view_rows, row.base_rows, row.unmatched_keys) == (3, 3, 2)
+    assert row.max_diff_m == 2.0 and row.null_mismatch_m == 1
