@@ -711,10 +711,10 @@ def followup_context(tables, root):
 
 @table_query
 def resolved_questions(tables, root):
-    """Follow-ups with their thread's memory: states are the first words of the answers, findings the last one's start."""
+    """Follow-ups with their thread's memory: states are the first words of the answers, findings the whole last answer."""
     turns = tables.parquet(f"{root}/conversations.parquet")
     answers = turns.filter("role <> 'user'").select("conv_id", "turn", "text", F.split("text", " ")[0].alias("state"))
-    last = F.max_by(F.substring("text", 1, 30), F.struct("turn", "text"))
+    last = F.max_by("text", F.struct("turn", "text"))
     findings = answers.groupBy("conv_id").agg(last.alias("findings"), F.lit(None).cast("string").alias("anomalies"))
     entities = questions.focus_entities(answers, "conv_id", questions.ENTITY_COLUMNS, k=2)
     asked = questions.follow_up_context(turns, rules=RULES)

@@ -949,7 +949,7 @@ SQL["resolved_questions"] = f"""WITH f AS ({SQL['followup_context']}),
     n AS (SELECT conv_id, state, count(*) AS n FROM a WHERE state <> '' GROUP BY 1, 2),
     e AS (SELECT conv_id, string_agg(state, ', ' ORDER BY n DESC, state) AS states
       FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY n DESC, state) AS rn FROM n) WHERE rn <= 2 GROUP BY 1),
-    l AS (SELECT conv_id, trim(arg_max(substring(text, 1, 30), (turn, text))) AS findings FROM a GROUP BY 1),
+    l AS (SELECT conv_id, trim(arg_max(text, (turn, text))) AS findings FROM a GROUP BY 1),
     m AS (SELECT f.*, states, memory_context || coalesce(chr(10) || 'Previous focus states: ' || states, '')
         || CASE WHEN findings <> '' THEN chr(10) || 'Previous findings: ' || findings ELSE '' END AS memory
       FROM f LEFT JOIN e USING (conv_id) LEFT JOIN l USING (conv_id))
