@@ -41,7 +41,11 @@ SWITCH = 6.0
 MIN_SCRIPT_SHARE = 0.01
 UNDETERMINED = "und"
 # Padded words x documents of one lockstep Viterbi group.
-CELLS = 1 << 20
+CELLS = 1 << 18
+# Characters of text labelled at once in a task.
+SLICE_CHARS = 2_000_000
+# Texts in one Arrow batch of the registered query.
+BATCH_ROWS = 1_000
 
 # Named code-point ranges of writing systems (start, end inclusive).
 SCRIPTS = [
@@ -249,10 +253,21 @@ def predict(docs: DataFrame, fitted: dict, carry: list[str]) -> DataFrame:
     def run(batches):
         model = Model(shared.value)
         for batch in batches:
-            langs, shares = label(model, list(batch["text"]))
-            out = batch.drop(columns=["text"])
-            out["lang_pred"], out["score"] = langs, shares
-            yield out
+            # Slices of at most SLICE_CHARS characters (one text at least) bound the words held at once.
+            sizes = batch["text"].str.len().fillna(0).to_numpy()
+            starts = [0]
+            total = 0
+            for k, size in enumerate(sizes):
+                if total and total + size > SLICE_CHARS:
+                    starts.append(k)
+                    total = 0
+                total += size
+            for a, b in zip(starts, starts[1:] + [len(batch)]):
+                part = batch.iloc[a:b]
+                langs, shares = label(model, list(part["text"]))
+                out = part.drop(columns=["text"])
+                out["lang_pred"], out["score"] = langs, shares
+                yield out
 
     rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)], F.col("text").cast("string").alias("text"))
     got = rows.mapInPandas(run, schema)
@@ -261,6 +276,8 @@ def predict(docs: DataFrame, fitted: dict, carry: list[str]) -> DataFrame:
 
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = Tables(spark)
+    # The job's own session: Arrow batches of a bounded number of texts.
+    tables.spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     docs = tables.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     out = predict(docs, fit(docs), carry=["doc_id"])
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
