@@ -8,8 +8,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Verbs that change data.
-BLOCKED_VERBS = ("DROP", "DELETE", "INSERT", "UPDATE", "TRUNCATE", "ALTER", "CREATE")
+# Verbs that change data or run code, and INTO, which writes wherever it stands.
+BLOCKED_VERBS = ("DROP", "DELETE", "INSERT", "UPDATE", "TRUNCATE", "ALTER", "CREATE", "MERGE", "REPLACE", "GRANT",
+                 "REVOKE", "RENAME", "CALL", "LOAD")
 
 # Source prefix and suffix of table names, and names to correct.
 TABLE_PREFIX = "olist_"
@@ -20,8 +21,9 @@ TABLE_NAMES = {
     "order_item": "order_items",
 }
 
-# What SQL text is made of: literals, quoted names, comments, and all else.
-SQL_PIECES = r"""(?s)'(?:[^']|'')*'|"(?:[^"]|"")*"|--[^\n]*|/\*.*?\*/|[^'"/-]+|."""
+# What SQL text is made of: literals (a backslash escapes the next character, as in
+# MySQL), quoted names, comments, and all else.
+SQL_PIECES = r"""(?s)'(?:[^'\\]|\\.|'')*'|"(?:[^"]|"")*"|--[^\n]*|/\*.*?\*/|[^'"/-]+|."""
 
 
 def stripped(text: Column) -> Column:
@@ -36,10 +38,17 @@ def unfenced(text: Column, language: str) -> Column:
 
 
 def table_names(code: Column) -> Column:
-    """Names without the source's prefix and suffix, known wrong ones corrected, in any case."""
-    bare = F.regexp_replace(code, rf"(?i)\b(?:{TABLE_PREFIX})?([a-z_]\w*?)(?:{TABLE_SUFFIX})?\b", "$1")
+    """Table names without the source's prefix and suffix, known wrong ones corrected, in any case.
+
+    Only names after FROM or JOIN and qualifiers before a dot are tables; column names and
+    aliases stay as they are.
+    """
+    name = rf"(?:{TABLE_PREFIX})?([a-z_]\w*?)(?:{TABLE_SUFFIX})?"
+    bare = F.regexp_replace(code, rf"(?i)\b(FROM|JOIN)(\s+){name}\b", "$1$2$3")
+    bare = F.regexp_replace(bare, rf"(?i)\b{name}\.", "$1.")
     for wrong, right in TABLE_NAMES.items():
-        bare = F.regexp_replace(bare, rf"(?i)\b{wrong}\b", right)
+        bare = F.regexp_replace(bare, rf"(?i)\b(FROM|JOIN)(\s+){wrong}\b", f"$1$2{right}")
+        bare = F.regexp_replace(bare, rf"(?i)\b{wrong}\.", f"{right}.")
     return bare
 
 
@@ -64,13 +73,16 @@ def outline(sql: Column) -> Column:
 
 
 def changes_data(sql: Column) -> Column:
-    """More than one statement, or a verb that changes data where a statement or a part of it begins.
+    """More than one statement, INTO, or a verb that changes data where a statement begins.
 
-    Such a verb may follow the WITH list or stand in it, so it is looked for after brackets too.
+    A statement begins at the start, after a semicolon, after the WITH list (a closing
+    bracket) and inside a bracket that is no function call, so `count(update)` and
+    `replace(a, b, c)` pass while `WITH x AS (...) MERGE INTO ...` does not.
     """
     bones = outline(sql)
-    verb = bones.rlike(r"(?i)(^|[();])\s*(" + "|".join(BLOCKED_VERBS) + r")\b")
-    return verb | bones.rlike(r";\s*[^\s;]")
+    start = r"(?:^|[;)]|(?<![\w\s])\s*\(|\b(?:AS|FROM|JOIN|IN|EXISTS)\s*\()"
+    verb = bones.rlike(r"(?i)" + start + r"\s*(?:" + "|".join(BLOCKED_VERBS) + r")\b(?!\s*\()")
+    return verb | bones.rlike(r"(?i)\bINTO\b") | bones.rlike(r";\s*[^\s;]")
 
 
 def screen_sql(log: DataFrame, column: str = "sql") -> DataFrame:

@@ -232,3 +232,26 @@ def test_follow_ups_carry_findings_and_a_closing_line(spark):
         "Previous question: Which", "Previous focus states: AL", "Previous findings: Late in AL", "Previous anomaly scan: No spikes"]
     assert got[2].resolved_question.endswith(questions.MEMORY_CLOSING) and "states=AL" in got[2].resolved_question
     assert got[4].resolved_question == "Total" and got[4].memory_context == ""
+
+
+SCREEN_CASES = [
+    ("SELECT '\\''; DROP TABLE orders; -- '", "blocked"), ("WITH x AS (SELECT 1) MERGE INTO t USING x ON 1 = 1", "blocked"),
+    ("WITH x AS (SELECT 1) REPLACE INTO t VALUES (1)", "blocked"), ("SELECT * INTO backup FROM orders", "blocked"),
+    ("SELECT count(update) FROM t", "ok"), ("SELECT replace(a, 'x', 'y') FROM t", "ok"),
+    ("WITH x AS (DELETE FROM t) SELECT 1", "blocked"), ("SELECT 'it''s; drop' FROM t", "ok"),
+]
+
+
+def test_screen_literals_verbs_and_into(spark):
+    from tallyport.operators import logs
+
+    frame = spark.createDataFrame(SCREEN_CASES, "sql string, want string")
+    got = {r.sql: r.verdict for r in logs.screen_sql(frame).collect()}
+    assert got == dict(SCREEN_CASES)
+
+
+def test_only_table_names_are_repaired(spark):
+    from tallyport.operators import logs
+
+    frame = spark.createDataFrame([("SELECT a AS my_dataset, olist_orders_dataset.b FROM olist_orders_dataset",)], "sql string")
+    assert logs.screen_sql(frame).first().clean_sql == "SELECT a AS my_dataset, orders.b FROM orders"
