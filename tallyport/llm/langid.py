@@ -35,8 +35,10 @@ from tallyport.session import Tables
 
 GRAM = 3
 MAX_GRAMS = 20_000
-# Labelled documents per language that train the model: a bounded, documented sample.
-TRAIN_PER_LANGUAGE = 2_000
+# Labelled documents per language that train the model: a bounded, documented sample. At
+# most 1,000 (Spark's window group limit), so that each task keeps only its own first rows
+# before the shuffle, and a language with most rows is no hot group.
+TRAIN_PER_LANGUAGE = 1_000
 SWITCH = 6.0
 MIN_SCRIPT_SHARE = 0.01
 UNDETERMINED = "und"
