@@ -906,3 +906,13 @@ def price_quantiles(c):
     values = [exact_percentile(items, "price", p) for p in (0.5, 0.95, 0.99)]
     row = c.order_items.sparkSession.createDataFrame([tuple(values)], "p50 double, p95 double, p99 double")
     return row.select(*[round_half_up(F.col(x), 2).alias(x) for x in ("p50", "p95", "p99")])
+
+
+@query
+def items_with_seller_state(c):
+    """Every item with its seller's state; a seller with a large share of items is joined where its items lie."""
+    from tallyport.operators import hotkeys
+
+    items = c.order_items.select("order_id", "order_item_id", "seller_id", "price")
+    sellers = c.sellers.select("seller_id", "seller_state")
+    return hotkeys.skew_join(items, sellers, "seller_id").select("order_id", "order_item_id", "seller_id", "seller_state", "price")

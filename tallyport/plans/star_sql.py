@@ -1096,3 +1096,5 @@ SQL["returning_customers"] = with_roles(
 SQL["price_quantiles"] = f"""SELECT {rnd('quantile_cont(l_extendedprice, 0.5)', 2)} AS p50,
     {rnd('quantile_cont(l_extendedprice, 0.95)', 2)} AS p95, {rnd('quantile_cont(l_extendedprice, 0.99)', 2)} AS p99
     FROM lineitem"""
+SQL["items_with_seller_state"] = with_roles(
+    "i s", "SELECT order_id, order_item_id, seller_id, seller_state, price FROM i JOIN s USING (seller_id)")
