@@ -92,9 +92,10 @@ def test_stages_on_an_empty_table_and_more_columns(spark, corpus, make_docs):
 
 def test_registered():
     names = set(entry.queries())
-    assert {"pipeline", *queries.QUERIES} <= names and len(queries.QUERIES) == 10
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
-    assert set(queries.SQL) == {"op1_line_dedup", "op7_substring_dedup", "op8_decontaminate", "op10_mix_sources"}
+    assert {"pipeline", *queries.QUERIES} <= names and len(queries.QUERIES) == 13
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
+    assert set(queries.SQL) == {"op1_line_dedup", "op7_substring_dedup", "op8_decontaminate", "op10_mix_sources",
+                                "op12_filter_audit"}
 
 
 @pytest.mark.parametrize("name", sorted(queries.SQL))
