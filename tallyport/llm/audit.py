@@ -38,6 +38,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tallyport.llm.common import WORD, Stage
+from tallyport.operators.hotkeys import skew_join
 from tallyport.session import Tables
 
 LETTERS = "ABCDE"
@@ -126,18 +127,22 @@ def _keys() -> list[Column]:
             F.xxhash64(F.col("doc_id").isNull(), "text", "source").alias("k2")]
 
 
-def flags(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row per key: part, copies, the five failures, good and toxic."""
+def flags(docs: DataFrame, labels: DataFrame, stage: Stage) -> DataFrame:
+    """One row per key: part, copies, the five failures, good and toxic.
+
+    The rows of one key (no text) are written once; a text shared by a large share of
+    them meets its first doc_id by broadcast where its rows lie, the rest by shuffle.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
     upper = F.length(text) - F.length(F.regexp_replace(text, "[A-Z]", ""))
     attrs = docs.select(*_keys(), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("source", F.lit("")).alias("part"),
                         F.unhex(F.sha2(text, 256)).alias("digest"),
                         (100 * upper > UPPER_PERCENT * F.length(text)).alias("fc"),
                         F.regexp_like(text, F.lit(MARKS)).alias("fd"))
-    per_key = attrs.groupBy("k1", "k2").agg(*[F.first(c).alias(c) for c in ("doc_id", "part", "digest", "fc", "fd")],
-                                            F.count(F.lit(1)).alias("copies"))
-    first = attrs.groupBy("digest").agg(F.min("doc_id").alias("first_id"))
-    marked = per_key.join(first, "digest").withColumn("fe", F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False)))
+    per_key = stage.keep(attrs.groupBy("k1", "k2").agg(*[F.first(c).alias(c) for c in ("doc_id", "part", "digest", "fc", "fd")],
+                                                       F.count(F.lit(1)).alias("copies")))
+    first = per_key.groupBy("digest").agg(F.min("doc_id").alias("first_id"))
+    marked = skew_join(per_key, first, "digest").withColumn("fe", F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False)))
     lab = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality", "toxic").where("doc_id IS NOT NULL") \
         .groupBy("doc_id").agg(F.max(F.col("quality") == 1).alias("good"), F.max(F.col("toxic") == 1).alias("bad"))
     return marked.join(lab, "doc_id", "left").select(
@@ -159,7 +164,7 @@ def _steps() -> Column:
 def audit(docs: DataFrame, labels: DataFrame, stage: Stage) -> DataFrame:
     """part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, shapley."""
     stats = matrix_stats(docs)
-    rows = flags(docs, labels).join(stats, ["k1", "k2"])
+    rows = flags(docs, labels, stage).join(stats, ["k1", "k2"])
     fails = {"A": F.col("n_words") < LEAST_WORDS, "B": 100 * F.col("n_terms") < DISTINCT_PERCENT * F.col("n_words"),
              "C": F.col("fc"), "D": F.col("fd"), "E": F.col("fe")}
     mask = sum(F.when(fails[x], 1 << i).otherwise(0) for i, x in enumerate(LETTERS))
