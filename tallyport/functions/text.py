@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once per row, however often body uses it."""
+    return F.transform(F.array(value), body)[0]
+
 
 def _plain_letters() -> tuple[str, str]:
     """Lower-case letters of the Latin blocks that decompose to one letter and marks, and those letters."""

@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyport.functions.text import let
+
 # Verbs that change data or run code, and INTO, which writes wherever it stands.
 BLOCKED_VERBS = ("DROP", "DELETE", "INSERT", "UPDATE", "TRUNCATE", "ALTER", "CREATE", "MERGE", "REPLACE", "GRANT",
                  "REVOKE", "RENAME", "CALL", "LOAD")
@@ -44,12 +46,18 @@ def table_names(code: Column) -> Column:
     aliases stay as they are.
     """
     name = rf"(?:{TABLE_PREFIX})?([a-z_]\w*?)(?:{TABLE_SUFFIX})?"
-    bare = F.regexp_replace(code, rf"(?i)\b(FROM|JOIN)(\s+){name}\b", "$1$2$3")
-    bare = F.regexp_replace(bare, rf"(?i)\b{name}\.", "$1.")
-    for wrong, right in TABLE_NAMES.items():
-        bare = F.regexp_replace(bare, rf"(?i)\b(FROM|JOIN)(\s+){wrong}\b", f"$1$2{right}")
-        bare = F.regexp_replace(bare, rf"(?i)\b{wrong}\.", f"{right}.")
-    return bare
+    after_from = F.regexp_replace(code, rf"(?i)\b(FROM|JOIN)(\s+){name}\b", "$1$2$3")
+    # The cheap look first: most code has no qualifier and no wrong name.
+    bare = F.when(code.contains("."), F.regexp_replace(after_from, rf"(?i)\b{name}\.", "$1.")).otherwise(after_from)
+
+    def corrected(bare: Column) -> Column:
+        right_names = bare
+        for wrong, right in TABLE_NAMES.items():
+            right_names = F.regexp_replace(right_names, rf"(?i)\b(FROM|JOIN)(\s+){wrong}\b", f"$1$2{right}")
+            right_names = F.regexp_replace(right_names, rf"(?i)\b{wrong}\.", f"{right}.")
+        return F.when(bare.rlike("(?i)" + "|".join(TABLE_NAMES)), right_names).otherwise(bare)
+
+    return let(bare, corrected)
 
 
 def sql_pieces(sql: Column) -> Column:
@@ -79,10 +87,9 @@ def changes_data(sql: Column) -> Column:
     bracket) and inside a bracket that is no function call, so `count(update)` and
     `replace(a, b, c)` pass while `WITH x AS (...) MERGE INTO ...` does not.
     """
-    bones = outline(sql)
     start = r"(?:^|[;)]|(?<![\w\s])\s*\(|\b(?:AS|FROM|JOIN|IN|EXISTS)\s*\()"
-    verb = bones.rlike(r"(?i)" + start + r"\s*(?:" + "|".join(BLOCKED_VERBS) + r")\b(?!\s*\()")
-    return verb | bones.rlike(r"(?i)\bINTO\b") | bones.rlike(r";\s*[^\s;]")
+    verb = r"(?i)" + start + r"\s*(?:" + "|".join(BLOCKED_VERBS) + r")\b(?!\s*\()"
+    return let(outline(sql), lambda bones: bones.rlike(verb) | bones.rlike(r"(?i)\bINTO\b") | bones.rlike(r";\s*[^\s;]"))
 
 
 def screen_sql(log: DataFrame, column: str = "sql") -> DataFrame:
@@ -154,12 +161,16 @@ def mended_json(text: Column) -> Column:
 
     Quotes that are all escaped are taken as quotes.
     """
-    inside = F.regexp_extract(text, r"(?s)\{.*", 0)
-    plain = F.when(inside.rlike(r'^\{\s*\\"'), F.replace(inside, F.lit('\\"'), F.lit('"'))).otherwise(inside)
-    missing = F.regexp_count(plain, F.lit(r"\{")) - F.regexp_count(plain, F.lit(r"\}"))
-    # What follows the last bracket is no part of a complete object.
-    ended = F.when(missing <= 0, F.regexp_extract(plain, r"(?s).*\}", 0)).otherwise(F.regexp_replace(plain, r",\s*$", ""))
-    return F.concat(F.regexp_replace(ended, r",(\s*[\]}])", "$1"), F.repeat(F.lit("}"), F.greatest(missing, F.lit(0))))
+    def closed(plain: Column) -> Column:
+        def with_brackets(missing: Column) -> Column:
+            # What follows the last bracket is no part of a complete object.
+            ended = F.when(missing <= 0, F.regexp_extract(plain, r"(?s).*\}", 0)).otherwise(F.regexp_replace(plain, r",\s*$", ""))
+            return F.concat(F.regexp_replace(ended, r",(\s*[\]}])", "$1"), F.repeat(F.lit("}"), F.greatest(missing, F.lit(0))))
+
+        return let(F.regexp_count(plain, F.lit(r"\{")) - F.regexp_count(plain, F.lit(r"\}")), with_brackets)
+
+    unescaped = lambda t: F.when(t.rlike(r'^\{\s*\\"'), F.replace(t, F.lit('\\"'), F.lit('"'))).otherwise(t)
+    return let(F.regexp_extract(text, r"(?s)\{.*", 0), lambda inside: let(unescaped(inside), closed))
 
 
 def _read(text: Column, kind: ResponseType) -> Column:
@@ -170,9 +181,9 @@ def _read(text: Column, kind: ResponseType) -> Column:
     """
     options = {"columnNameOfCorruptRecord": "_broken", "allowUnquotedFieldNames": "true", "allowSingleQuotes": "true"}
     schema = ", ".join(f"{n} {t}" for n, t in {**kind.fields, "_broken": "string"}.items())
-    parsed = F.from_json(text, schema, options)
-    sound = text.rlike(r"^\s*\{") & ~text.rlike(r":\s*'")
-    return F.when(sound & parsed["_broken"].isNull(), parsed)
+    sound = lambda t: t.rlike(r"^\s*\{") & ~t.rlike(r":\s*'")
+    whole = lambda parsed: F.when(parsed["_broken"].isNull(), parsed)
+    return let(text, lambda t: F.when(sound(t), let(F.from_json(t, schema, options), whole)))
 
 
 def _usable(read: Column, kind: ResponseType) -> Column:
@@ -205,10 +216,12 @@ def parse_responses(responses: DataFrame, column: str = "response", kind: Respon
     The object is read as it stands in the fence or the text, else with its usual
     damage mended; what is no object, or breaks a rule of its type, has null fields.
     """
-    body = unfenced(F.col(column), "json")
-    asis, mended = _read(F.regexp_extract(body, r"(?s)\{.*\}", 0), kind), _read(mended_json(body), kind)
-    hit = F.coalesce(*[F.when(_usable(r, kind), r) for r in (asis, mended)])
-    found = responses.withColumn("_hit", hit)
+    def hit(body: Column) -> Column:
+        # Every step is named once, and a text is mended only where it is no use as it stands.
+        readings = (F.regexp_extract(body, r"(?s)\{.*\}", 0), mended_json(body))
+        return F.coalesce(*[let(_read(t, kind), lambda r: F.when(_usable(r, kind), r)) for t in readings])
+
+    found = responses.withColumn("_hit", let(unfenced(F.col(column), "json"), hit))
     fields = {n: F.when(F.col("_hit").isNotNull(), _field(F.col("_hit"), n, kind)) for n in kind.fields}
     return found.withColumns({**fields, "parsed": F.col("_hit").isNotNull()}).drop("_hit")
 

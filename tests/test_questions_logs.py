@@ -255,3 +255,17 @@ def test_only_table_names_are_repaired(spark):
 
     frame = spark.createDataFrame([("SELECT a AS my_dataset, olist_orders_dataset.b FROM olist_orders_dataset",)], "sql string")
     assert logs.screen_sql(frame).first().clean_sql == "SELECT a AS my_dataset, orders.b FROM orders"
+
+
+@pytest.mark.parametrize("kind", list(logs.RESPONSE_TYPES))
+def test_a_response_is_read_once_as_it_stands_and_once_mended(spark, kind):
+    rows = spark.createDataFrame([("{}",)], "response string")
+    plan = logs.parse_responses(rows, kind=logs.RESPONSE_TYPES[kind])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 2
+    # The object is cut out of the text once for each reading.
+    assert plan.count(r"(?s)\{.*,") == 1 and plan.count(r"(?s)\{.*\},") == 1
+
+
+def test_the_outline_of_a_statement_is_made_once(spark):
+    plan = spark.range(1).select(logs.changes_data(F.concat(F.col("id").cast("string"), F.lit("x"))).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1
