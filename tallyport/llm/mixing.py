@@ -82,11 +82,14 @@ def targets_of(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
 
 
 def lay_out(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: str = SEED,
-            rows_per_bucket: int = ROWS_PER_BUCKET, carry: list[str] | None = None, targets: DataFrame | None = None) -> DataFrame:
+            rows_per_bucket: int = ROWS_PER_BUCKET, carry: list[str] | None = None, targets: DataFrame | None = None,
+            reached: bool = False) -> DataFrame:
     """Each document's place in its source's line, and the words taken from it.
 
     Returns doc (the row, or its columns in `carry`), size, source_size, target, place (of the source),
-    quota (words of the source in the mix), start (first word in the line), taken.
+    quota (words of the source in the mix), start (first word in the line), taken. With `reached`
+    buckets that start behind the quota, from which no word is taken, are left out before
+    anything is shuffled.
     """
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in carry or docs.columns]).alias("doc"),
@@ -107,9 +110,12 @@ def lay_out(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOS
         "place", "bucket",
         (F.sum("words").over(W.partitionBy("place").orderBy("bucket")) - F.col("words")).alias("bucket_start"),
     )
+    # A row for each ROWS_PER_BUCKET documents, so it goes to the documents where they lie.
+    begun = placed.join(F.broadcast(starts), ["place", "bucket"])
+    if reached:
+        begun = begun.filter("size > 0 and (quota >= source_size or bucket_start < quota)")
     in_bucket = W.partitionBy("place", "bucket").orderBy("key", "size").rowsBetween(W.unboundedPreceding, 0)
-    ordered = placed.withColumn("before", F.sum("size").over(in_bucket) - F.col("size"))
-    out = ordered.join(starts, ["place", "bucket"]).withColumn("start", F.col("bucket_start") + F.col("before"))
+    out = begun.withColumn("start", F.col("bucket_start") + F.sum("size").over(in_bucket) - F.col("size"))
     size, start, whole = F.col("size"), F.col("start"), F.expr("quota div greatest(source_size, 1)")
     part = F.greatest(F.lit(0), F.least(start + size, F.col("quota") - whole * F.col("source_size")) - start)
     return out.withColumn("taken", whole * size + part).select(
@@ -160,7 +166,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, s
     """
     targets = Stage(docs.sparkSession, "mix").keep(targets_of(docs, weights, most)) if targets is None else targets
     shards = shards or shards_for(int(targets.agg(F.sum("source_size")).first()[0] or 0))
-    laid = lay_out(docs, weights, most, seed, targets=targets)
+    laid = lay_out(docs, weights, most, seed, targets=targets, reached=True)
     dealt = deal_blocks(targets.select("place", "quota", "total"), shards, blocks_per_shard, seed)
     per_source = dealt.groupBy("place").agg(F.first("n_blocks").alias("n_blocks"))
     passes = (
@@ -196,7 +202,7 @@ def drawn(docs: DataFrame, **given) -> DataFrame:
     stage = Stage(docs.sparkSession, "mix")
     targets = stage.keep(targets_of(docs))
     # Written as a mix is: shards in their order, texts cut. What is drawn is counted in the texts.
-    mixed = stage.keep(mix(docs, targets=targets, with_start=True, **given))
+    mixed = stage.keep(mix(docs, targets=targets, with_start=True, **given), compression="zstd")
     words = mixed.groupBy(F.col("mix_place").alias("place"), F.col("mix_start").alias("start")).agg(F.sum(words_in(F.col("text"))).alias("words"))
     # A document without words starts where the next one does.
     taken = F.when(F.col("size") > 0, F.coalesce("words", F.lit(0))).otherwise(0).cast("long")

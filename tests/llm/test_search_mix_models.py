@@ -119,6 +119,16 @@ def test_op10_runs_the_mix(spark, make_docs, tmp_path, monkeypatch):
     assert mixing.op10(spark, str(tmp_path)).count() == len(sources()) and calls
 
 
+def test_buckets_behind_the_quota_are_not_laid_out(make_docs):
+    docs = make_docs([(i, "w " * (1 + i % 5), "abc"[i % 3]) for i in range(300)])
+    columns = ["doc.doc_id", "size", "start", "taken"]
+    whole = mixing.lay_out(docs, rows_per_bucket=5).select(*columns).collect()
+    got = mixing.lay_out(docs, rows_per_bucket=5, reached=True).select(*columns).collect()
+    # c has a third of the words and an eighth of the mix.
+    assert len(got) < 270 and set(got) <= set(whole)
+    assert {r for r in got if r.taken} == {r for r in whole if r.taken}
+
+
 def test_mixing_empty(make_docs):
     assert mixing.mix(make_docs([])).collect() == []
     assert [r.taken for r in mixing.lay_out(make_docs([(1, None), (2, "")])).select("taken").collect()] == [0, 0]
