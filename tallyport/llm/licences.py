@@ -19,7 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyport.llm.common import let, lower_ascii, row_key, table
+from tallyport.functions.text import contains_any
+from tallyport.llm.common import Stage, let, lower_ascii, row_key, table
 
 # Spellings that licence matching guidelines treat as equal.
 SAME_SPELLING = {
@@ -34,6 +35,16 @@ SAME_SPELLING = {
     "signalling": "signaling", "sublicence": "sublicense", "sub license": "sublicense", "utilisation": "utilization",
     "whilst": "while", "wilful": "willful", "https": "http",
 }
+
+
+def either(words: list[str]) -> str:
+    """A regular expression for any of the words that tries each letter once, as a tree of common beginnings."""
+    ends = {w[0]: [v[1:] for v in words if v[:1] == w[0]] for w in words if w}
+    branches = [f"{head}{either(rest)}" for head, rest in ends.items()] + [""] * ("" in words)
+    return branches[0] if len(branches) == 1 else "(?:" + "|".join(branches) + ")"
+
+
+ANY_RESPELT = rf"\b{either(list(SAME_SPELLING))}\b"
 PUNCTUATION = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # A notice: a copyright sign or word followed by a year or another sign, or by at most six words that begin no
 # sentence of a licence; or the reservation alone. Other lines that begin so are text.
@@ -41,6 +52,8 @@ NOT_A_NAME = r"(the\s+)?(above\s|holder|owner|notice|licen[sc]e|law|statement|in
     r"in\b|is\b|are\b|as\b|to\b|of\b|on\b|for\b|that\b|which\b|you\b|may\b|must\b|shall\b|if\b|information)"
 COPYRIGHT = r"^[^a-z0-9]*((copyright|\(c\)|©)[\s:,]*(by\s+)?(\(c\)|©|copyright\s*(\(c\)|©|[0-9])|[<\[{(]?([0-9]{4}|y{4}|year)\b)|" \
     rf"©|(copyright|\(c\))[\s:,]+(by\s+)?(?!{NOT_A_NAME})\S+(\s+\S+){{0,5}}\s*$|all rights reserved[^a-z0-9]*$)"
+# Each match of COPYRIGHT holds one of these.
+COPYRIGHT_SIGNS = ("copyright", "(c)", "©", "all rights reserved")
 
 # Licence texts and one-line notices.
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
@@ -88,11 +101,10 @@ def canonical_line(line: Column) -> Column:
             out = F.regexp_replace(out, rf"\b{word}\b", other)
         return out
 
-    any_word = r"\b(" + "|".join(SAME_SPELLING) + r")\b"
-
     def body(low: Column) -> Column:
         plain = F.trim(F.regexp_replace(low, PUNCTUATION, " "))
-        return F.when(low.rlike(COPYRIGHT), "").otherwise(let(plain, lambda p: F.when(p.rlike(any_word), respell(p)).otherwise(p)))
+        notice = contains_any(low, COPYRIGHT_SIGNS) & low.rlike(COPYRIGHT)
+        return F.when(notice, "").otherwise(let(plain, lambda p: F.when(p.rlike(ANY_RESPELT), respell(p)).otherwise(p)))
 
     return let(lower_ascii(line), body)
 
@@ -113,15 +125,18 @@ def known_digests(known: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
-    """doc_id, digest, licences (ids of the whole text), notices (ids of its lines), both sorted, joined by commas."""
+    """doc_id, digest, licences (ids of the whole text), notices (ids of its lines), both sorted, joined by commas.
+
+    Digests are written once: rows and lines are both read from there, no text is made canonical again.
+    """
+    rows = Stage(docs.sparkSession, "licences").keep(digests(docs, *row_key(), F.col("doc_id")))
     ids = known_digests(known)
     whole = ids.groupBy("known_digest").agg(F.array_join(F.array_sort(F.collect_set("licence_id")), ",").alias("licences"))
     by_line = ids.select(F.unhex("known_digest").alias("line"), "licence_id")
-    lines = digests(docs, *row_key()).select("k1", "k2", F.explode("lines").alias("line"))
+    lines = rows.select("k1", "k2", F.explode("lines").alias("line"))
     notices = lines.join(by_line, "line").groupBy("k1", "k2").agg(
         F.array_join(F.array_sort(F.collect_set("licence_id")), ",").alias("notices"))
-    rows = digests(docs, *row_key(), F.col("doc_id")).drop("lines")
-    met = rows.join(whole, rows.digest == whole.known_digest, "left").join(notices, ["k1", "k2"], "left")
+    met = rows.drop("lines").join(whole, rows.digest == whole.known_digest, "left").join(notices, ["k1", "k2"], "left")
     return met.select("doc_id", "digest", F.coalesce("licences", F.lit("")).alias("licences"), F.coalesce("notices", F.lit("")).alias("notices"))
 
 

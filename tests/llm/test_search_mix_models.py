@@ -1,6 +1,7 @@
 """Decontamination, mixing, search, classifier, language model, licence and secret scans."""
 
 import random
+import re
 
 import brute
 import numpy as np
@@ -247,6 +248,25 @@ def test_language_model(make_docs):
 
 # -- licences
 
+def test_licences_read_each_text_once(spark, make_docs):
+    read = spark.sparkContext.accumulator(0)
+    docs = make_docs([(i, f"Copyright 2020 A. Author\nline {i}\nReleased under the MIT licence.\n\nline") for i in range(40)] + [(7, None)])
+    texts = docs.withColumn("text", F.udf(lambda t: (read.add(1), t)[1])("text"))
+    got = licences.scan(texts, licences.built_in(spark)).collect()
+    assert read.value == 41
+    assert sorted((r.doc_id, r.notices) for r in got) == sorted([(i, "MIT") for i in range(40)] + [(7, "")])
+
+
+def test_licences_either_is_the_plain_choice():
+    rng = random.Random(5)
+    for _ in range(200):
+        some = ["".join(rng.choice("ab ") for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(1, 8))]
+        tree, plain = re.compile(rf"\b{licences.either(some)}\b"), re.compile(r"\b(" + "|".join(some) + r")\b")
+        for _ in range(20):
+            text = "".join(rng.choice("ab ") for _ in range(8))
+            assert bool(tree.search(text)) == bool(plain.search(text)), (some, text)
+
+
 def test_licences(make_docs):
     respelt = licences.MIT.replace("the", "THE").replace(", ", " ,  ").replace("sublicense", "sublicence")
     docs = make_docs([
