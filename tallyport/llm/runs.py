@@ -7,9 +7,12 @@ from its two Lyndon arrays: for every i and order, q = lambda[i], the stretch is
 forward by LCE(i, i + q) and backward by the longest common extension to the left,
 and kept where it spans at least 2q (the theorem's candidates), then deduplicated.
 
-Per text, in numpy inside Spark tasks (no shuffle): words are ranked (code-point order);
-suffix ranks come from prefix doubling, whose levels also answer LCE queries by binary
-lifting; the Lyndon array is the distance to the next smaller suffix, found for all
+Per text, in numpy inside Spark tasks (no shuffle): words are numbered (a run has the
+same place under any order of words). A run of at least 6 words and 4 periods holds each
+of its words four times, so words that are rarer in a text, and stretches of less than
+6 others, cannot lie in one: each such gap becomes one separator that occurs once, and
+the Lyndon arrays are taken over what is left of the text. Suffix ranks come from prefix
+doubling, whose levels also answer LCE queries by binary lifting; the Lyndon array is the distance to the next smaller suffix, found for all
 positions at once by lifting over a sparse table of ranks. Memory per text grows as
 n log n words.
 
@@ -27,11 +30,9 @@ import zlib
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tallyport.llm.common import WORD
 from tallyport.session import Tables
 
 LEAST_LENGTH, LEAST_REPEATS = 6, 4
@@ -46,10 +47,11 @@ def doubling(ranks: np.ndarray) -> list[np.ndarray]:
     while n and rank.max() < n - 1 and k < n:
         second = np.full(n, -1, np.int64)
         second[: n - k] = rank[k:]
-        order = np.lexsort((second, rank))
-        a, b = rank[order], second[order]
+        both = rank * (n + 1) + second + 1
+        order = np.argsort(both)
+        there = both[order]
         new = np.empty(n, np.int64)
-        new[order] = np.cumsum(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]) - 1
+        new[order] = np.cumsum(np.r_[True, there[1:] != there[:-1]]) - 1
         rank, k = new, 2 * k
         levels.append(np.r_[rank, -1])
     return levels
@@ -85,6 +87,30 @@ def lyndon(isa: np.ndarray) -> np.ndarray:
 
 def find_runs(ids: np.ndarray) -> list[tuple[int, int, int]]:
     """(start, length, period) of every run of length >= max(6, 4 * period), by start then period."""
+    if len(ids) < LEAST_LENGTH:
+        return []
+    short, place = without_gaps(ids)
+    return [(int(place[start]), length, period) for start, length, period in lyndon_runs(short)]
+
+
+def without_gaps(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """`ids` with one separator, found nowhere else, for each gap that no run can touch; and the places of what is left.
+
+    Every word of a run occurs LEAST_REPEATS times in it; so does a neighbour that would extend it. Runs of the
+    result are therefore those of `ids`, and no run holds a separator.
+    """
+    number, count = np.unique(ids, return_inverse=True, return_counts=True)[1:]
+    apart = np.r_[True, count[number] < LEAST_REPEATS, True]
+    edges = np.flatnonzero(apart)
+    # Each place lies behind its last edge; a stretch between two edges has one word less than they are apart.
+    gap = (np.repeat(np.diff(edges), np.diff(edges)) <= LEAST_LENGTH)[1:] | apart[1:-1]
+    first = gap & ~np.r_[False, gap[:-1]]
+    place = np.flatnonzero(~gap | first)
+    return np.where(gap, len(count) + np.arange(len(ids)), number)[place], place
+
+
+def lyndon_runs(ids: np.ndarray) -> list[tuple[int, int, int]]:
+    """The same as find_runs, from the Lyndon arrays of all of `ids`."""
     n = len(ids)
     if n < LEAST_LENGTH:
         return []
@@ -108,7 +134,7 @@ def find_runs(ids: np.ndarray) -> list[tuple[int, int, int]]:
     return sorted(found, key=lambda r: (r[0], r[2]))
 
 
-def planted(doc_id, words: list[str]) -> list[str]:
+def planted(doc_id, words: list[bytes]) -> list[bytes]:
     """The input of a document: periodic words planted by its id where the rule says so."""
     n = len(words)
     if doc_id is None or n == 0:
@@ -123,19 +149,22 @@ def planted(doc_id, words: list[str]) -> list[str]:
 
 
 def describe(doc_id, text: str | None) -> dict:
-    words = planted(doc_id, regex.findall(WORD, text) if text else [])
-    ids = np.unique(np.array(words, dtype=object).astype(str), return_inverse=True)[1] if words else np.zeros(0, np.int64)
+    # bytes.split() parts at the same six characters as common.WORD.
+    words = planted(doc_id, text.encode().split() if text else [])
+    number: dict[bytes, int] = {}
+    ids = np.array([number.setdefault(w, len(number)) for w in words], np.int64)
     runs = find_runs(ids)
     drop = np.zeros(len(words), bool)
     for start, length, period in runs:
         drop[start + period : start + length] = True
     best = max(runs, key=lambda r: (r[1], -r[0], -r[2])) if runs else None
+    kept = [w for w, d in zip(words, drop.tolist()) if not d] if runs else words
     return {
         "n_runs": len(runs),
         "start": best[0] if best else None, "length": best[1] if best else None, "period": best[2] if best else None,
         "exponent_milli": 1000 * best[1] // best[2] if best else None,
         "runs_sha256": hashlib.sha256("".join(f"{s},{ln},{p}\n" for s, ln, p in runs).encode()).hexdigest(),
-        "collapsed_sha256": hashlib.sha256(" ".join(w for w, d in zip(words, drop) if not d).encode()).hexdigest(),
+        "collapsed_sha256": hashlib.sha256(b" ".join(kept)).hexdigest(),
     }
 
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -44,6 +45,33 @@ def test_runs_against_brute_force():
         assert runs.find_runs(np.array(w, np.int64)) == brute(w)
 
 
+def test_rare_words_are_gaps():
+    rng = random.Random(2)
+    for _ in range(1500):
+        w = []
+        for _ in range(rng.randint(0, 8)):
+            some = [rng.randrange(rng.choice([2, 6, 60])) for _ in range(rng.randint(1, 4))]
+            w += (some * rng.randint(1, 8))[: rng.randint(1, 30)] + [rng.randrange(60) for _ in range(rng.randint(0, 3))]
+        ids = np.array(w, np.int64)
+        assert runs.find_runs(ids) == runs.lyndon_runs(ids) == brute(w)
+    short, place = runs.without_gaps(np.array([*range(100, 400), *[1, 2] * 4, 5, *[7] * 5, 6, *[1, 2] * 3, 8]))
+    assert len(short) == 17 and place.tolist() == [0, *range(300, 309), *range(315, 322)]
+    assert runs.find_runs(np.arange(10_000)) == []
+
+
+def test_long_words_take_no_room_for_others():
+    tracemalloc.start()
+    got = runs.describe(None, "a b " * 1500 + "x" * 50_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (got["start"], got["length"], got["period"]) == (0, 3000, 2)
+    assert peak < 20_000_000
+
+
+def test_words_that_end_in_a_zero_byte_are_words_of_their_own():
+    assert runs.describe(None, "a a\0 a a\0 a a\0 a a\0")["period"] == 2
+
+
 def plain(doc_id, text):
     words = text.split() if text else []
     n = len(words)
