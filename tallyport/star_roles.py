@@ -28,6 +28,9 @@ TRANSLATION = [
 ESTIMATED_DAYS = 30
 LEAD_DAYS = 45  # delivery takes 0-43 days, the last value means "no date"
 
+# Narrow rows are stored compactly: a step per order shuffles about as many bytes as its tables take in storage.
+INPUT_PER_PARTITION = 64 * 1024 * 1024
+
 
 def _orders(orders: DataFrame) -> DataFrame:
     bought = F.col("o_orderdate")
@@ -157,7 +160,7 @@ def _geolocation(customers: DataFrame, nations: DataFrame) -> DataFrame:
 
 
 def from_star(spark: SparkSession, root: str, tables: Tables | None = None) -> Commerce:
-    tables = tables or Tables(spark)
+    tables = tables or Tables(spark, INPUT_PER_PARTITION)
     spark = tables.spark
 
     def table(name: str) -> DataFrame:

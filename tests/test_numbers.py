@@ -3,8 +3,10 @@ from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import functions as F
 
+from tallyport import star_roles
 from tallyport.functions.numbers import exact_avg, exact_sum, percent, ratio, round_half_up
 from tallyport.session import Tables, shuffle_partitions
+from tallyport.star_roles import from_star
 
 
 def test_exact_sum_does_not_depend_on_row_order(spark):
@@ -60,3 +62,25 @@ def test_each_job_has_its_own_sizes(spark, tmp_path):
     two._opened("larger", two.spark.range(10**12))  # known size of 8 TB
     assert one.spark.conf.get(key) == "4" and int(two.spark.conf.get(key)) == -(-8 * 10**12 // 2**29)
     assert spark.conf.get(key, None) == before
+
+
+def test_shuffle_reads_of_a_job_are_small_unless_the_caller_says_otherwise(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    assert Tables(spark).spark.conf.get(key) == "16m" and spark.conf.get(key) == before
+    caller = spark.newSession()
+    caller.conf.set(key, "8m")
+    assert Tables(caller).spark.conf.get(key) == "8m"
+
+
+def test_star_jobs_start_with_partitions_of_their_own_size(spark, tmp_path, monkeypatch):
+    star_root = str(tmp_path)
+    spark.sql("SELECT id AS o_orderkey, id AS o_custkey, 'F' AS o_orderstatus, 1.0D AS o_totalprice, "
+              "timestamp'1997-01-01' AS o_orderdate, 'x' AS o_orderpriority FROM range(10)").write.parquet(f"{star_root}/orders.parquet")
+    sizes = Tables(spark, 64 * 1024 * 1024)
+    sizes._opened("lines", sizes.spark.range(10**9))  # known size of 8 GB
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert int(sizes.spark.conf.get(key)) == -(-8 * 10**9 // 2**26)
+    assert from_star(spark, star_root).orders.sparkSession.conf.get(key) == "4"
+    monkeypatch.setattr(star_roles, "INPUT_PER_PARTITION", 100)
+    assert int(from_star(spark, star_root).orders.sparkSession.conf.get(key)) > 4
