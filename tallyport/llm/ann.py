@@ -1,19 +1,24 @@
 """Nearest neighbours by a permutation index.
 
-Pivots are vectors of the table. Every vector is represented by all pivots in order of
-nearness; the index posts it in the inverted file of each pivot, with the pivot's place
-in that order. A query adds up, file by file, how well the places agree; that sum is
-the footrule distance of the two orders up to a constant. The best quarter of the ranking
-is reranked by inner product in double precision.
+Pivots are directions of vectors of the table. A vector is represented by its FILES
+nearest pivots in order of nearness; the index posts it in the inverted file of each of
+these, with the pivot's place in that order. A query reads the files of its own nearest
+pivots only and adds up how well the places agree; that sum is the footrule distance of
+the two cut orders up to a constant. The best of the ranking are reranked by inner
+product in double precision, and more of them as long as the later ones yield any.
+
+Pivots and vectors reranked grow as the square root of the number of different vectors,
+up to PIVOTS_MOST pivots, so the postings a query reads and its first reranking grow as
+that root, not as the table. Only ranking still passes over one number per vector.
 
 The index is cut into blocks of rows and the queries into blocks of queries; a task
 holds one block of each, whatever the size of the table. Each block keeps its 20 best
 for each query, and these are merged. Vectors that are equal are one entry of a block
 and take one place in its ranking, so very many copies crowd nothing out.
 
-Every row is indexed. Only the pivots are a sample: PIVOTS different vectors out of the
-4 * PIVOTS rows with the least hash of their id. tests/llm measures recall against
-brute force; README has figures. The work for a query grows with the number of rows.
+Every row is indexed. Only the pivots are a sample: out of the 4 * pivots rows with the
+least hash of their id those farthest from each other, so that near copies do not crowd
+them. tests/llm measures recall against brute force; README has figures.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components take
 no part, nor do rows with a null id; of rows that share an id the least vector counts;
@@ -33,10 +38,15 @@ from pyspark.sql import functions as F
 from tallyport.llm.common import table
 
 NEAREST = 20
-PIVOTS = 192
-# Share of a block that is reranked, and the least number of vectors.
-RERANKED, RERANKED_LEAST = 0.25, 512
-BLOCK, QUERY_BLOCK = 8_192, 1_024
+# Files that a vector is posted in and a query reads.
+FILES = 64
+# Pivots for the square root of the number of different vectors.
+PIVOTS, PIVOTS_LEAST, PIVOTS_MOST = 4, 192, 2_048
+# Vectors reranked first, for that root, over all blocks; the least number in a block.
+RERANKED, RERANKED_LEAST = 28, 512
+# Rows of a block, for the square root of the number of rows.
+BLOCK, BLOCK_LEAST, BLOCK_MOST = 64, 16_384, 65_536
+QUERY_BLOCK = 16_384
 HIT = "query_id long, vec_id long, score double"
 
 
@@ -54,39 +64,86 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return whole.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(whole), -1)
 
 
-def places_of(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    """For each vector the place of every pivot among its pivots by nearness, nearest highest."""
-    order = np.argsort(x @ pivots.T, axis=1, kind="stable")
-    places = np.empty(order.shape, np.int16)
-    np.put_along_axis(places, order, np.arange(order.shape[1], dtype=np.int16)[None, :], axis=1)
-    return places
-
-
-def search_block(ids: np.ndarray, x: np.ndarray, places: np.ndarray, query_ids: np.ndarray, queries: np.ndarray,
-                 query_places: np.ndarray, nearest: int, reranked: float, least: int) -> pd.DataFrame:
-    """The `nearest` of one block for each query, by footrule and then inner product."""
+def spread_pivots(vectors: np.ndarray, pivots: int) -> np.ndarray:
+    """Different directions, each the farthest from those before, so that near copies do not crowd the orders."""
+    unit = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    chosen, nearest = [0], unit @ unit[0]
+    while len(chosen) < min(pivots, len(unit)):
+        nearest[chosen[-1]] = np.inf
+        chosen.append(int(np.argmin(nearest)))
+        np.maximum(nearest, unit @ unit[chosen[-1]], out=nearest)
+    return unit[chosen]
+
+
+def files_of(x: np.ndarray, pivots: np.ndarray, files: int) -> np.ndarray:
+    """For each vector its `files` nearest pivots, nearest last."""
+    found = np.empty((len(x), files), np.int16)
+    for at in range(0, len(x), 1_024):
+        near = x[at : at + 1_024] @ pivots.T
+        last = np.argpartition(near, near.shape[1] - files, axis=1)[:, -files:]
+        by_nearness = np.argsort(np.take_along_axis(near, last, axis=1), axis=1, kind="stable")
+        found[at : at + 1_024] = np.take_along_axis(last, by_nearness, axis=1)
+    return found
+
+
+def best_scored(kinds: np.ndarray, q: np.ndarray, top: int, largest: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places in `kinds` and inner products of the `top` with the largest, largest first; no number in `kinds` is above `largest`."""
+    pick = np.arange(len(kinds))
+    # A product by BLAS, and what lies so near below the last of the top that rounding may have put it there.
+    number = np.finfo(np.float64)
+    slack = 4 * len(q) * number.eps * np.abs(q).sum() * largest + number.tiny
+    if top < len(kinds) and np.isfinite(slack):
+        rough = kinds @ q
+        pick = np.flatnonzero(rough >= np.partition(rough, len(rough) - top)[len(rough) - top] - slack)
+    score = (kinds[pick] * q).sum(axis=1)
+    order = np.argsort(-score, kind="stable")[:top]
+    return pick[order], score[order]
+
+
+def search_block(ids: np.ndarray, x: np.ndarray, files: np.ndarray, query_ids: np.ndarray, queries: np.ndarray,
+                 query_files: np.ndarray, pivots: int, nearest: int, share: float, least: int, front: int) -> pd.DataFrame:
+    """The `nearest` of one block for each query, by footrule over the query's files and then inner product.
+
+    As long as more than a tenth of the `front` nearest come from the later half of what
+    was reranked, twice as many are.
+    """
     by_id = np.argsort(ids, kind="stable")
-    ids, x, places = ids[by_id], x[by_id], places[by_id]
+    ids, x, files = ids[by_id], x[by_id], files[by_id]
     _, first, group = np.unique(x.view(np.dtype((np.void, x.shape[1] * 8))).ravel(), return_index=True, return_inverse=True)
-    members = np.split(np.argsort(group, kind="stable"), np.cumsum(np.bincount(group))[:-1])
-    kinds, n = x[first], len(first)
-    files = np.ascontiguousarray(places[first].T)  # a pivot's inverted file: the place it has with each vector
-    take = min(n, max(least, nearest + 1, int(np.ceil(n * reranked))))
+    by_kind, copies = ids[np.argsort(group, kind="stable")], np.bincount(group)
+    begin, copies = np.cumsum(copies) - copies, np.minimum(copies, nearest + 1)
+    kinds, n, largest = x[first], len(first), float(np.abs(x).max())
+    # The inverted files, one after another: the vectors posted in each and the place its pivot has with them.
+    posted = files[first].ravel()
+    by_file, sizes = np.argsort(posted, kind="stable"), np.bincount(posted, minlength=pivots)
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    vector, place = by_file // files.shape[1], (by_file % files.shape[1] + 1).astype(np.uint8)
+    places = np.arange(1, files.shape[1] + 1, dtype=np.uint8)
+    first_take = min(n, max(least, nearest + 1, int(np.ceil(n * share))))
     out_q, out_i, out_s = [], [], []
-    for qid, q, own_places in zip(query_ids.tolist(), queries, query_places):
-        best = np.arange(n)
+    for qid, q, own in zip(query_ids.tolist(), queries, query_files):
+        take = first_take
         if take < n:
-            # Sum of |a - b| over all pivots is a constant less twice the sum of min(a, b).
-            agree = np.add.reduce(np.minimum(files, own_places[:, None]), axis=0, dtype=np.int16)
+            # Sum of |a - b| over all pivots, those without a place at 0, is a constant less twice the sum of min(a, b).
+            read = [slice(a, b) for a, b in zip(starts[own].tolist(), ends[own].tolist())]
+            both = np.minimum(np.concatenate([place[r] for r in read]), np.repeat(places, sizes[own]))
+            agree = np.bincount(np.concatenate([vector[r] for r in read]), both, minlength=n)
+        while take < n:
             best = np.argpartition(agree, n - take)[n - take :]
-        score = (kinds[best] * q).sum(axis=1)
-        found_i, found_s = [], []
-        for b in np.argsort(-score, kind="stable")[: nearest + 1].tolist():
-            same = ids[members[best[b]][: nearest + 1]]
-            same = same[same != qid]
-            found_i.append(same)
-            found_s.append(np.full(len(same), score[b]))
-        i, s = np.concatenate(found_i), np.concatenate(found_s)
+            found, score = best_scored(kinds.take(best, axis=0), q, nearest + 1, largest)
+            found = best[found]
+            half = np.partition(agree[best], take // 2)[take // 2]
+            if np.count_nonzero(agree[found[:front]] < half) * 10 <= front:
+                break
+            take = min(n, 2 * take)
+        else:
+            found, score = best_scored(kinds, q, nearest + 1, largest)
+        each = copies[found]
+        i = by_kind[np.repeat(begin[found] - np.cumsum(each) + each, each) + np.arange(each.sum())]
+        s = np.repeat(score, each)
+        i, s = i[i != qid], s[i != qid]
         top = np.lexsort((i, -s))[:nearest]
         out_q.append(np.full(len(top), qid))
         out_i.append(i[top])
@@ -94,33 +151,41 @@ def search_block(ids: np.ndarray, x: np.ndarray, places: np.ndarray, query_ids:
     return pd.DataFrame({"query_id": np.concatenate(out_q), "vec_id": np.concatenate(out_i), "score": np.concatenate(out_s)})
 
 
-def search(vectors: DataFrame, is_query: Column, nearest: int = NEAREST, pivots: int = PIVOTS,
-           reranked: float = RERANKED, least: int = RERANKED_LEAST, block: int = BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
+def search(vectors: DataFrame, is_query: Column, nearest: int = NEAREST, files: int = FILES, pivots: int | None = None,
+           reranked: float = RERANKED, least: int = RERANKED_LEAST, block: int | None = None, query_block: int = QUERY_BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): the nearest found for each row where `is_query`.
 
-    `vectors` has vec_id and embedding; `is_query` is a condition on vec_id.
+    `vectors` has vec_id and embedding; `is_query` is a condition on vec_id. Pivots and
+    block follow from the table where they are not given.
     """
-    if not 0 < pivots <= 256:
-        raise ValueError("sums of places are kept in 16 bits: at most 256 pivots")
+    if not 0 < files <= 255 or pivots is not None and not 0 < pivots < 2**15:
+        raise ValueError("places are kept in 8 bits and pivots in 16: at most 255 files a vector and 32767 pivots")
     rows = usable(vectors)
-    lengths = rows.groupBy(F.size("v").alias("length")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "length").limit(1).collect()
+    lengths = rows.groupBy(F.size("v").alias("length")).agg(
+        F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64("v"), 0.01).alias("kinds")).orderBy(F.desc("n"), "length").limit(1).collect()
     if not lengths:
         return rows.select(F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.lit(0.0).alias("score")).limit(0)
-    rows, n = rows.filter(F.size("v") == lengths[0].length), lengths[0].n
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(4 * pivots).select("v").toPandas()["v"]
+    rows, n, root = rows.filter(F.size("v") == lengths[0].length), lengths[0].n, max(1.0, lengths[0].kinds ** 0.5)
+    pivots = pivots or min(PIVOTS_MOST, max(PIVOTS_LEAST, round(PIVOTS * root)))
+    block = block or min(BLOCK_MOST, max(BLOCK_LEAST, round(BLOCK * n**0.5)))
+    # Hashes are spread evenly: about twice the sample has hashes so small, and the tasks send no more between them.
+    in_sample = F.xxhash64("vec_id") < F.lit(min(2**63 - 1, 2**64 * 8 * pivots // n - 2**63))
+    sample = rows.filter(in_sample).orderBy(F.xxhash64("vec_id"), "vec_id").limit(4 * pivots).select("v").toPandas()["v"]
     found = np.unique(np.stack(sample.to_numpy()), axis=0)
-    pivot = found[np.random.default_rng(0).permutation(len(found))[:pivots]]
+    pivot = spread_pivots(found[np.random.default_rng(0).permutation(len(found))], pivots)
+    files = min(files, len(pivot))
     n_blocks = -(-n // block)
+    front = min(nearest, 5 + -(-nearest // n_blocks))
     n_query_blocks = max(1, -(-rows.filter(is_query).count() // query_block))
 
     def index(batches):
         for batch in batches:
-            order = places_of(_matrix(batch.column("v")), pivot)
+            near = files_of(_matrix(batch.column("v")), pivot, files)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("vec_id"), batch.column("v"), pa.array([r.tobytes() for r in order], pa.binary())],
-                ["vec_id", "v", "places"])
+                [batch.column("vec_id"), batch.column("v"), pa.array([r.tobytes() for r in near], pa.binary())],
+                ["vec_id", "v", "files"])
 
-    indexed = rows.mapInArrow(index, "vec_id long, v array<double>, places binary")
+    indexed = rows.mapInArrow(index, "vec_id long, v array<double>, files binary")
     spread = lambda column, seed, parts: F.pmod(F.xxhash64(column, F.lit(seed)), F.lit(parts)).cast("int")
     every = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
     posted = indexed.withColumn("block", spread("vec_id", 1, n_blocks)).withColumn("query_block", every(n_query_blocks))
@@ -132,8 +197,8 @@ def search(vectors: DataFrame, is_query: Column, nearest: int = NEAREST, pivots:
         if not len(queries) or not len(postings):
             return empty
         part = lambda t: (t["vec_id"].to_numpy(), _matrix(t["v"]),
-                          np.frombuffer(b"".join(t["places"].to_pylist()), np.int16).reshape(len(t), len(pivot)))
-        hits = search_block(*part(postings), *part(queries), nearest, reranked, least)
+                          np.frombuffer(b"".join(t["files"].to_pylist()), np.int16).reshape(len(t), files))
+        hits = search_block(*part(postings), *part(queries), len(pivot), nearest, reranked / root, least, front)
         return pa.Table.from_pandas(hits, preserve_index=False)
 
     keys = ["block", "query_block"]

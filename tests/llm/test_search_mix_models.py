@@ -165,6 +165,46 @@ def test_nearest_recall(spark, block):
     assert np.mean(recall) >= 0.9
 
 
+def test_nearest_work_grows_less_than_the_rows(monkeypatch):
+    rng, reranked, scored = np.random.default_rng(4), [], ann.best_scored
+    monkeypatch.setattr(ann, "best_scored", lambda kinds, *rest: reranked.append(len(kinds)) or scored(kinds, *rest))
+    work = []
+    for n in (4_000, 16_000):
+        x = rng.normal(size=(n, 64))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        pivots = round(ann.PIVOTS * n**0.5)
+        files = ann.files_of(x, ann.spread_pivots(x[: 4 * pivots], pivots), ann.FILES)
+        q = np.arange(0, n, n // 50)
+        reranked.clear()
+        got = ann.search_block(np.arange(n), x, files, q, x[q], files[q], pivots, 20, ann.RERANKED / n**0.5, 1, 20)
+        want = x[q] @ x.T
+        want[np.arange(len(q)), q] = -1
+        least = dict(zip(q.tolist(), np.sort(want, axis=1)[:, -20]))
+        assert np.mean([s >= least[i] - 1e-12 for i, s in zip(got.query_id, got.score)]) >= 0.9
+        read = np.bincount(files.ravel(), minlength=pivots)[files[q]].sum(axis=1).mean()
+        work.append((sum(reranked) / len(q), read))
+    assert all(large < 2.8 * small for small, large in zip(*work)), work  # four times the rows
+
+
+def test_pivots_are_not_crowded_by_near_copies():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 32))
+    x[:300] = x[0] + 0.01 * rng.normal(size=(300, 32))
+    chosen = ann.spread_pivots(x, 50)
+    assert (chosen @ chosen[0] > 0.99).sum() == 1 and len(chosen) == 50
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e200, 1e-200])
+def test_best_scored_is_the_full_sort(scale):
+    rng = np.random.default_rng(6)
+    x, q = rng.integers(-2, 3, (500, 8)) * scale, rng.integers(-2, 3, 8) * scale
+    with np.errstate(all="ignore"):
+        score = (x * q).sum(axis=1)
+        at, got = ann.best_scored(x, q, 21, float(np.abs(x).max()))
+    order = np.argsort(-score, kind="stable")[:21]
+    assert at.tolist() == order.tolist() and np.array_equal(got, score[order], equal_nan=True)
+
+
 def test_nearest_odd_vectors(spark):
     x = [[1, 0], [0.5, 0], [0.5, 0], [0, 0], None, [float("nan"), 1], [float("inf"), 0], [None, 1], [1, 2, 3], [-1, 0]]
     frame = vectors(spark, x).union(spark.createDataFrame([(0, [9.0, 0.0]), (None, [1.0, 1.0])], "vec_id long, embedding array<float>"))
