@@ -87,7 +87,8 @@ def near_links(classes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     low, high = "((a ^ b) & 4294967295L)", "shiftrightunsigned(a ^ b, 32)"
     here, there = f"(CASE WHEN {second} THEN {high} ELSE {low} END)", low
     once = f"(({here} = 0 AND {bit} = 0) OR {here} <> 0) AND (NOT {second} OR bit_count({there}) > 1)"
-    return a.join(b, "variant").filter(f"a < b AND bit_count(a ^ b) <= {int(distance)} AND {once}").select("a", "b")
+    # Spark sizes the 64 rows of a fingerprint as one, so left to itself it broadcasts them all.
+    return a.join(b.hint("merge"), "variant").filter(f"a < b AND bit_count(a ^ b) <= {int(distance)} AND {once}").select("a", "b")
 
 
 def judged(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:

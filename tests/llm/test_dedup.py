@@ -132,6 +132,15 @@ def test_near_links_are_all_and_once(spark, distance):
     assert sorted(got) == sorted(want)
 
 
+def test_variants_are_not_broadcast(spark, tmp_path):
+    """Fingerprints whose file is below the broadcast threshold make 64 times as many rows, which must not reach the driver."""
+    spark.range(2000).select(F.xxhash64("id").alias("fp")).write.parquet(f"{tmp_path}/classes")
+    links = simhash.near_links(spark.read.parquet(f"{tmp_path}/classes"))
+    links.collect()
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components(spark):
     pairs = [(i, i + 1) for i in range(40, 75)] + [(0, i) for i in range(100, 130)] + [(7, 5), (5, 7), (9, 5)]
     nodes = {n for p in pairs for n in p}
