@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from tallyport.llm import queries
+from tallyport.llm import queries, simhash
 
 RNG = np.random.default_rng(2)
 WORDS = [f"wort{i}" for i in range(400)]
@@ -73,6 +73,16 @@ def test_each_stage_does_its_work(spark, corpus):
         assert abs(taken.get(s, 0) - t) <= 0.5 + 1e-6
 
 
+def test_near_dedup_stage_broadcasts_no_variants(spark, corpus, monkeypatch):
+    """64 rows of each fingerprint, which Spark sizes as one: none of them may go through the driver."""
+    plans, plain = [], simhash.components
+    monkeypatch.setattr(simhash, "components", lambda links, stage: (
+        plans.append(links._jdf.queryExecution().executedPlan().toString()), plain(links, stage))[1])
+    docs = spark.read.parquet(f"{corpus[0]}/documents.parquet")
+    dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, docs, corpus[0]).collect()
+    assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "BroadcastExchange" not in plans[0]
+
+
 def test_run_gives_the_last_stage(spark, corpus):
     out = corpus_pipeline.run(spark, corpus[0])
     again = corpus_pipeline.run(spark, corpus[0])
