@@ -286,6 +286,82 @@ def test_language_model(make_docs):
     assert lmscore.scored(make_docs([]), lmscore.train(make_docs([]))).collect() == []
 
 
+@pytest.fixture(scope="module")
+def pairs(make_docs):
+    """Two common words, then a word that only its own other word follows; all 160 pairs are as frequent, so classes hold many."""
+    rng = random.Random(4)
+    head = [f"the{i}" for i in range(40)]
+    rows = []
+    for i in range(400):
+        rows.append((i, " ".join(f"{rng.choice(head)} {rng.choice(head)} a{k:03} b{k:03}" for k in rng.choices(range(160), k=400))))
+    docs = make_docs(rows)
+    return docs, lmscore.train(docs)
+
+
+def test_language_model_tells_words_of_a_class_apart(pairs):
+    _, model = pairs
+    words = {k: lmscore.tokens(f"a{k:03} b{k:03}", model.vocabulary).tolist() for k in range(160)}
+    alike = {}
+    for k, (a, b) in words.items():
+        alike.setdefault((model.classes[a], model.classes[b]), []).append(k)
+    turned = [(k, other) for ks in alike.values() if len(ks) > 1 for k, other in zip(ks, ks[1:] + ks[:1])]
+    assert len(turned) > 100
+    right = " ".join(f"the1 the2 a{k:03} b{k:03}" for k, _ in turned)
+    wrong = " ".join(f"the1 the2 a{k:03} b{other:03}" for k, other in turned)
+    n, s = model.score(right)
+    assert n == 4 * len(turned) and s > model.score(wrong)[1] + len(turned)  # the same classes everywhere
+
+
+def test_language_model_is_a_distribution_over_all_tokens(pairs):
+    _, model = pairs
+    edge, every = model.vocabulary.edge, np.arange(model.vocabulary.edge)
+    for left, right in lmscore.tokens("a003 the1 b150 a007 unseen word", model.vocabulary).reshape(3, 2):
+        flat = np.stack([np.full_like(every, edge), np.full_like(every, left), every, np.full_like(every, right)], 1).ravel()
+        logs = model.log_probs(np.append(flat, edge)).reshape(-1)[2::4]
+        assert np.exp(logs).sum() == pytest.approx(1, abs=1e-4)
+
+
+def test_language_model_sums_every_token(pairs):
+    """The sums behind the tokens' vectors against plain loops over the texts."""
+    docs, model = pairs
+    corpus = lmscore.tokenised(docs.filter("doc_id < 20"), model.vocabulary)
+    got, products = model.output_sums(corpus)
+    want, wanted = np.zeros_like(got), np.zeros_like(products)
+    out, edge = model.class_layer[0].astype(float), model.vocabulary.edge
+    sides = np.zeros((2 * edge, lmscore.HIDDEN))
+    base = lmscore.Model(model.vocabulary, np.concatenate([model.triples.ravel(), model.by_token.astype(np.int64)]))
+    p = np.exp(base.log_triple.reshape(lmscore.SIDE, lmscore.SIDE, lmscore.CLASSES).astype(float))
+    for row in docs.filter("doc_id < 20").collect():
+        token = [edge, *lmscore.tokens(row.text, model.vocabulary).tolist(), edge]
+        for left, t, right in zip(token, token[1:], token[2:]):
+            c, cl, cr = model.classes[t], *[lmscore.CLASSES if s == edge else model.classes[s] for s in (left, right)]
+            hidden = np.tanh(base.left[left].astype(float) + base.right[right])
+            gradient = (out[c] - p[cl, cr] @ out) * (1 - hidden * hidden)
+            for s, first in ((left, 0), (right, edge)):
+                if lmscore.OWN_CLASS <= s < edge:
+                    sides[first + s] += gradient
+            if t >= lmscore.OWN_CLASS:
+                h = np.tanh(model.left[left].astype(float) + model.right[right])
+                want[t] += h
+                wanted[c] += np.outer(h, h)
+    assert np.abs(got - want).max() < 0.01 and np.abs(products - wanted).max() < 0.05
+    assert np.abs(model.side_sums(corpus) - sides).max() < 0.01 and np.abs(sides).max() > 1
+    halves = [model.output_sums(lmscore.tokenised(docs.filter(f), model.vocabulary))[0] for f in ("doc_id < 10", "doc_id between 10 and 19")]
+    assert np.abs(halves[0] + halves[1] - got).max() < 0.01
+
+
+def test_vocabulary_grows_with_the_corpus(spark, make_docs, monkeypatch):
+    assert lmscore.vocabulary_size(10**6) < lmscore.vocabulary_size(10**8) < lmscore.vocabulary_size(10**10)
+    monkeypatch.setattr(lmscore, "VOCABULARY", 4)
+    monkeypatch.setattr(lmscore, "LIKE_HEAPS", 1)
+    stage = lmscore.Stage(spark, "test")
+    few = make_docs(["d d d D a a b b c", None, "", "e"])
+    assert lmscore.frequent_words(few, stage) == ["d", "a", "b", "c"]
+    more = make_docs([" ".join(f"w{i}" for i in range(70)) + " w7"])
+    assert lmscore.frequent_words(more, stage) == ["w7", *sorted(f"w{i}" for i in range(70) if i != 7)[:7]]
+    assert lmscore.frequent_words(make_docs([]), stage) == []
+
+
 # -- licences
 
 def test_licences_read_each_text_once(spark, make_docs):
